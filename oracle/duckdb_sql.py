@@ -449,7 +449,7 @@ def _contract() -> str:
 
 def _projections() -> dict[str, str]:
     def r4(value: str, name: str) -> str:
-        return f"round({value}, 4) + 0 as {name}"
+        return f"floor(({value}) * 10000 + 0.5) / 10000 as {name}"
 
     schedule = ", ".join(
         [
@@ -476,8 +476,8 @@ def _projections() -> dict[str, str]:
         ),
         "h3_time_to_goal": with_relations(
             _RATES,
-            """select account_key, round(min(year) filter (closing >= goal), 4) as goal_year
-               from schedule group by account_key""",
+            f"""select account_key, {r4("min(year) filter (closing >= goal)", "goal_year")}
+                from schedule group by account_key""",
         ),
         "h4_projection_summary": with_relations(
             _RATES,
@@ -486,7 +486,7 @@ def _projections() -> dict[str, str]:
                        {r4("arg_max(paid * period, period)", "total_contrib")},
                        {r4("arg_max(closing - principal - paid * period, period)",
                            "total_interest")},
-                       round(min(year) filter (real_closing >= goal), 4) as goal_year
+                       {r4("min(year) filter (real_closing >= goal)", "goal_year")}
                 from schedule group by account_key""",
         ),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,14 @@ from tillwork.functions import average, pct, ratio
 from tillwork.operators.weekly import DECLINED
 
 
-def trailing_months(txns: DataFrame, months_back: int = 6) -> DataFrame:
-    """Transactions of the last ``months_back`` months that occur in the data."""
-    newest = txns.agg(F.max("txn_month")).scalar()
+def trailing_months(
+    txns: DataFrame, months_back: int = 6, newest: date | None = None
+) -> DataFrame:
+    """Transactions of the ``months_back`` months up to the newest one.
+
+    The newest month is read from all transactions unless it is given.
+    """
+    newest = txns.agg(F.max("txn_month")).scalar() if newest is None else F.lit(newest)
     return txns.where(
         F.col("txn_month").between(F.add_months(newest, 1 - months_back), newest)
     )
@@ -129,6 +135,7 @@ def merchant_health(
     weights: tuple[str, str, str] = ("2", "1", "1"),
     thresholds: tuple[str, str, str] = ("0.02", "0.15", "0.05"),
     min_repeat: int = 2,
+    newest: date | None = None,
 ) -> DataFrame:
     """Scorecard per merchant with at least ``min_txns`` attempts.
 
@@ -136,7 +143,7 @@ def merchant_health(
     score and the flag use unrounded rates; reversals are measured against
     settled transactions, so a merchant without any has a NULL score.
     """
-    recent = trailing_months(txns, months_back)
+    recent = trailing_months(txns, months_back, newest)
     totals = _merchant_totals(
         merchant_customers(recent, accounts), merchants, min_repeat
     ).where(F.col("attempted_txns") >= min_txns)

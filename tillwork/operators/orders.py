@@ -84,7 +84,9 @@ def churn_flags(
     Recency counts from the newest order that has lines.
     """
     fact = order_fact(header, detail)
-    newest = fact.agg(F.max("OrderDate")).scalar()
+    # The newest order is picked together with its revenue: the lines are then summed
+    # as in the main query, and Spark shares that shuffle instead of reading them twice.
+    newest = fact.agg(F.max(F.struct("OrderDate", "OrderRevenue"))).scalar()["OrderDate"]
     lifetime = fact.groupBy("CustomerID").agg(
         *_order_span(),
         F.count("*").alias("LifetimeOrders"),

@@ -29,8 +29,9 @@ def project_balances(
 ) -> DataFrame:
     """One row per account and period.
 
-    A row fans out to years * periods-per-year rows.  ``partitions`` spreads the
-    still narrow accounts first, for inputs that arrive in few large splits.
+    A row fans out to years * periods-per-year rows, so the still narrow accounts
+    are first spread over ``partitions`` (default: the session's shuffle
+    partitions); grouping by account afterwards needs no other shuffle.
     ``carry`` names account columns to keep, such as the goal.  An unknown
     compounding, frequency or timing fails the query; an account whose horizon
     rounds to no period has no rows.
@@ -56,8 +57,7 @@ def time_to_goal(
 ) -> DataFrame:
     """Year in which each account first reaches the goal; NULL if it never does.
 
-    ``goal`` is a number or a column carried by the schedule, so the schedule is
-    folded where it is generated and one row per account is shuffled.
+    ``goal`` is a number or a column carried by the schedule.
     """
     balance = "real_end_balance" if use_real else "end_balance"
     return schedule.groupBy("account_key").agg(
@@ -121,8 +121,8 @@ def _first_year(balance: Column, goal: Column | float) -> Column:
 def _schedule(
     accounts: DataFrame, carry: Sequence[str], partitions: int | None
 ) -> DataFrame:
-    if partitions is not None:
-        accounts = accounts.repartition(partitions, "account_key")
+    if partitions is None:
+        partitions = int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_year = _option("compounding", PERIODS_PER_YEAR)
     paid_per_year = F.col("contribution") * _option("contrib_frequency", CONTRIBUTIONS_PER_YEAR)
     terms = accounts.select(
@@ -138,16 +138,17 @@ def _schedule(
     ).where(F.col("periods") >= 1)
 
     rate, paid, upfront = F.col("rate"), F.col("contribution"), F.col("upfront")
-    elapsed = F.col("period") - 1
-    growth = F.pow(1 + rate, elapsed)
-    grown = F.col("principal") * growth + paid * (1 + upfront * rate) * (growth - 1) / rate
+    principal, elapsed = F.col("principal"), F.col("period") - 1
+    growth = F.col("growth")
+    grown = principal * growth + paid * (1 + upfront * rate) * (growth - 1) / rate
     earning = F.col("start_balance") + upfront * paid
     return (
-        terms.withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
+        terms.repartition(partitions, "account_key")
+        .withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
         .withColumn("year", F.col("period") / F.col("per_year"))
+        .withColumn("growth", F.pow(1 + rate, elapsed))
         .withColumn(
-            "start_balance",
-            F.when(rate == 0, F.col("principal") + paid * elapsed).otherwise(grown),
+            "start_balance", F.when(rate == 0, principal + paid * elapsed).otherwise(grown)
         )
         .withColumn("interest", earning * rate)
         .withColumn("end_balance", F.col("start_balance") + paid + F.col("interest"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions import month_start, seeded_draw
-from tillwork.sources.contracts import SCHEMAS
+from tillwork.sources.tables import constant_rows
 
 # The plans on offer.
 PLANS = [
@@ -68,7 +68,7 @@ def active_subscribers(subs: DataFrame) -> DataFrame:
 
 
 def plans_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PLANS, SCHEMAS["plans"])
+    return constant_rows(spark, PLANS, "plans")
 
 
 def user_ids(spark: SparkSession, n: int = 500) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions import pct
-from tillwork.sources.contracts import SCHEMAS
+from tillwork.sources.tables import constant_rows
 
 # The shipped SLA rules, percent targets.
 # (kpi_name, scope, channel, owner_team, target_value, comparator, severity, is_active)
@@ -23,7 +23,7 @@ _RULE_FIELDS = ["owner_team", "target_value", "comparator", "severity", "scope"]
 
 
 def default_sla_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_RULES, SCHEMAS["kpi_sla_rules"])
+    return constant_rows(spark, DEFAULT_RULES, "kpi_sla_rules")
 
 
 def kpi_long(

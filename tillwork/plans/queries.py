@@ -187,6 +187,6 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
         if isinstance(field.dataType, DecimalType):
             column = column.cast("double").alias(field.name)
         elif rounded and isinstance(field.dataType, DoubleType):
-            column = F.round(column, 4).alias(field.name)
+            column = (F.floor(column * 10000 + 0.5) / 10000).alias(field.name)
         columns.append(column)
     return result.select(*columns)

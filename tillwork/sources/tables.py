@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tillwork.sources.contracts import conform
+from tillwork.sources.contracts import conform, schema_of
 
 
 def read_relation(
@@ -16,6 +18,17 @@ def read_relation(
     return conform(spark.read.parquet(path), relation, clean_status)
 
 
+def constant_rows(spark: SparkSession, rows: Sequence[tuple], relation: str) -> DataFrame:
+    """A few fixed rows as a local relation.
+
+    The planner knows its size and broadcasts it under its own threshold, which
+    it cannot for rows parallelised from Python.
+    """
+    schema = schema_of(relation)
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)))
+
+
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a Parquet table."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
