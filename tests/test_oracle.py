@@ -1,0 +1,39 @@
+"""Every registered query against its DuckDB statement, also on skewed tables."""
+
+import pytest
+
+import __spark_entry__ as entry_module
+from tests import plain
+from tests.compare import assert_close, assert_same, duck_rows, spark_rows
+from tests.conftest import duck
+
+QUERIES = entry_module.queries()
+ORACLE = entry_module.oracle_sql()
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_matches_oracle(spark, sf_dir, name):
+    expected = duck_rows(duck(sf_dir), ORACLE[name])
+    assert expected[1]
+    assert_same(spark_rows(QUERIES[name](spark, sf_dir)), expected)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("g8", "g9", "h"))])
+def test_matches_oracle_on_skewed_keys(spark, skewed_dir, name):
+    expected = duck_rows(duck(skewed_dir), ORACLE[name])
+    assert_same(spark_rows(QUERIES[name](spark, skewed_dir)), expected)
+
+
+@pytest.mark.parametrize("name", plain.PLAIN)
+def test_matches_plain_form(spark, skewed_dir, name):
+    left = spark_rows(QUERIES[name](spark, skewed_dir))
+    right = spark_rows(plain.queries()[name](spark, skewed_dir))
+    (assert_close if name.startswith("h") else assert_same)(left, right)
+
+
+def test_entry(spark):
+    assert entry_module.entry(spark).count() > 0
