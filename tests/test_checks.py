@@ -1,0 +1,74 @@
+"""Contract checks on planted violations."""
+
+import pytest
+
+from tillwork.operators import checks
+from tillwork.operators.sla import default_sla_rules
+from tillwork.sources.testdata import TestData
+
+
+def found(df) -> dict:
+    return {(r.table_name, r.rule, r.column_name): r.violations for r in df.collect()}
+
+
+def test_planted_violations(spark):
+    child = spark.createDataFrame(
+        [(1, 1, "A"), (1, 2, "B"), (2, None, "C"), (None, 9, None), (None, 9, "A")],
+        "id int, parent int, status string",
+    )
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    got = found(
+        checks.check_contract(
+            {"child": child, "parent": parent},
+            [
+                checks.NotNull("child", "status"),
+                checks.NotNull("child", "id"),
+                checks.Accepted("child", "status", ("A", "B")),
+                checks.Unique("child", ("id",)),
+                checks.Unique("parent", ("id",)),
+                checks.ForeignKey("child", "parent", "parent", "id"),
+            ],
+        )
+    )
+    assert got == {
+        ("child", "not_null", "status"): 1,
+        ("child", "not_null", "id"): 2,
+        ("child", "accepted_values", "status"): 1,
+        ("child", "unique", "id"): 2,
+        ("parent", "unique", "id"): 0,
+        ("child", "foreign_key", "parent"): 2,
+    }
+
+
+def test_repeated_line_numbers_are_counted(spark):
+    lines = TestData(spark, "/root/testdata/sf0.01").table("lineitem")
+    rule = checks.Unique("lineitem", ("l_orderkey", "l_linenumber"))
+    assert checks.check_contract({"lineitem": lines}, [rule]).first().violations == 14168
+
+
+def test_shipped_rules_hold(spark):
+    rules = checks.check_contract({"kpi_sla_rules": default_sla_rules(spark)}, checks.SLA_RULES)
+    assert rules.where("violations > 0").count() == 0
+
+
+def test_generated_tables_hold(spark):
+    import datetime as dt
+
+    from tillwork.operators import saas
+
+    users = saas.gen_users(saas.user_ids(spark, 200), 3, dt.date(2024, 1, 1))
+    subs = saas.gen_subscriptions(users, 3)
+    tables = {
+        "users": users,
+        "plans": saas.plans_df(spark),
+        "subscriptions": subs,
+        "payments": saas.gen_payments(subs, saas.plans_df(spark), 3),
+    }
+    rules = checks.USER_RULES + checks.PLAN_RULES + checks.SUBSCRIPTION_RULES
+    got = checks.check_contract(tables, rules + checks.PAYMENT_RULES)
+    assert got.where("violations > 0").collect() == []
+
+
+def test_no_rules_is_an_error():
+    with pytest.raises(ValueError):
+        checks.check_contract({}, [])

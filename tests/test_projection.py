@@ -1,0 +1,165 @@
+"""Closed-form balances against a plain loop over the periods."""
+
+import math
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tillwork.operators import projection
+
+
+def loop(account: dict) -> list[dict]:
+    """Step through the periods one by one."""
+    per_year = {"daily": 252, "monthly": 12, "yearly": 1}[account["compounding"]]
+    rate = (1 + account["annual_return"]) ** (1 / per_year) - 1
+    prices = (1 + account["inflation"]) ** (1 / per_year) - 1
+    payments = {"monthly": 12, "yearly": 1}[account["contrib_frequency"]]
+    paid = account["contribution"] * payments / per_year
+    balance, earned, steps = account["principal"], 0.0, []
+    for period in range(1, int(round(account["years"] * per_year)) + 1):
+        opening = balance
+        base = opening + paid if account["contribution_timing"] == "start" else opening
+        interest = base * rate
+        earned += interest
+        balance = opening + paid + interest
+        steps.append(
+            {
+                "period": period,
+                "year": period / per_year,
+                "start_balance": opening,
+                "interest": interest,
+                "contribution": paid,
+                "end_balance": balance,
+                "real_end_balance": balance / (1 + prices) ** period,
+                "total_contrib": paid * period,
+                "total_interest": earned,
+            }
+        )
+    return steps
+
+
+def account(key: int = 1, **fields) -> dict:
+    base = {
+        "account_key": key,
+        "principal": 10000.0,
+        "annual_return": 0.07,
+        "years": 2.0,
+        "contribution": 300.0,
+        "contrib_frequency": "monthly",
+        "compounding": "monthly",
+        "inflation": 0.02,
+        "contribution_timing": "end",
+        "goal": 15000.0,
+    }
+    return {**base, **fields}
+
+
+def random_accounts(n: int) -> list[dict]:
+    draw = random.Random(11)
+    return [
+        account(
+            key,
+            principal=draw.uniform(0, 200000),
+            annual_return=draw.choice([0.0, draw.uniform(-0.2, 0.3)]),
+            years=draw.choice([0.5, 1.0, 2.5, 7.0]),
+            contribution=draw.uniform(0, 5000),
+            contrib_frequency=draw.choice(["monthly", "yearly"]),
+            compounding=draw.choice(["daily", "monthly", "yearly"]),
+            inflation=draw.uniform(0, 0.1),
+            contribution_timing=draw.choice(["start", "end"]),
+            goal=draw.uniform(0, 500000),
+        )
+        for key in range(n)
+    ]
+
+
+def close(a, b, scale: float) -> bool:
+    return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9 * max(1.0, scale))
+
+
+def test_schedule_matches_loop(table):
+    accounts = random_accounts(40)
+    rows = projection.project_real_balances(table("projection_accounts", *accounts)).collect()
+    got = {(r.account_key, r.period): r for r in rows}
+    expected = {(a["account_key"], s["period"]): s for a in accounts for s in loop(a)}
+    assert set(got) == set(expected)
+    for key, step in expected.items():
+        for name, value in step.items():
+            assert close(got[key][name], value, step["end_balance"]), (key, name)
+
+
+def test_summary_matches_loop(table):
+    accounts = random_accounts(40)
+    for use_real in (False, True):
+        summary = projection.projection_summary(
+            table("projection_accounts", *accounts), F.col("goal"), use_real
+        )
+        got = {r.account_key: r for r in summary.collect()}
+        for a in accounts:
+            steps = loop(a)
+            if not steps:
+                assert a["account_key"] not in got
+                continue
+            row, last = got[a["account_key"]], steps[-1]
+            assert close(row.final_nominal, last["end_balance"], 1)
+            assert close(row.final_real, last["real_end_balance"], 1)
+            assert close(row.total_contrib, last["total_contrib"], 1)
+            assert close(row.total_interest, last["total_interest"], last["end_balance"])
+            name = "real_end_balance" if use_real else "end_balance"
+            hits = [s["year"] for s in steps if s[name] >= a["goal"]]
+            assert row.goal_year == (hits[0] if hits else None)
+
+
+def test_balance_is_principal_plus_payments_plus_interest(table):
+    rows = projection.project_real_balances(table("projection_accounts", *random_accounts(20)))
+    off = F.abs(
+        F.col("start_balance") + F.col("contribution") + F.col("interest") - F.col("end_balance")
+    )
+    assert rows.where(off > 1e-6).count() == 0
+
+
+def test_zero_return(table):
+    rows = projection.project_balances(
+        table("projection_accounts", account(annual_return=0.0, years=1.0))
+    ).orderBy("period")
+    assert [r.end_balance for r in rows.collect()] == [10000 + 300 * t for t in range(1, 13)]
+
+
+def test_total_loss(table):
+    row = projection.project_balances(
+        table("projection_accounts", account(annual_return=-1.0, years=1.0, compounding="yearly"))
+    ).first()
+    assert (row.start_balance, row.interest, row.end_balance) == (10000.0, -10000.0, 3600.0)
+
+
+@pytest.mark.parametrize("years, periods", [(2.5, 2), (3.5, 4), (0.5, 0), (0.4, 0), (1.5, 2)])
+def test_periods_round_half_to_even(table, years, periods):
+    accounts = table("projection_accounts", account(years=years, compounding="yearly"))
+    assert projection.project_balances(accounts).count() == periods
+
+
+def test_goal_year_is_the_first_period_that_reaches_it(table):
+    schedule = projection.project_balances(table("projection_accounts", account()))
+    got = {
+        goal: projection.time_to_goal(schedule, goal).first().goal_year
+        for goal in (0, 10358.0, 1e12)
+    }
+    assert got[0] == 1 / 12
+    assert got[10358.0] == 2 / 12
+    assert got[1e12] is None
+
+
+@pytest.mark.parametrize("field", ["compounding", "contrib_frequency", "contribution_timing"])
+def test_unknown_option_fails(table, field):
+    accounts = table("projection_accounts", account(**{field: "weekly"}))
+    with pytest.raises(PySparkException, match=f"{field} must be one of"):
+        projection.project_balances(accounts).collect()
+
+
+def test_grouping_needs_no_second_shuffle(table):
+    schedule = projection.project_balances(table("projection_accounts", account()), ["goal"])
+    plan = projection.time_to_goal(schedule, F.col("goal"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1

@@ -1,0 +1,112 @@
+"""Relations that hold on any data."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.compare import assert_same, spark_rows
+from tillwork.operators import cohort, merchant, orders, sla
+from tillwork.plans.queries import BUILDS, YEARS, TestData
+
+
+@pytest.fixture(params=["even", "skewed"])
+def data(request, spark, sf_dir, skewed_dir):
+    return TestData(spark, sf_dir if request.param == "even" else skewed_dir)
+
+
+def test_month_zero_retains_everyone(data):
+    retention = BUILDS["e3_cohort_retention"](data)
+    first = retention.where("month_number = 0")
+    assert first.where("retention_pct <> 100 or active_customers <> cohort_size").count() == 0
+    assert first.count() == retention.select("cohort_month").distinct().count()
+    assert retention.where("month_number < 0 or retention_pct > 100").count() == 0
+
+
+def test_cohort_sizes_add_up_to_the_customers(data):
+    active = BUILDS["e1_customer_active_months"](data)
+    total = cohort.cohort_sizes(active).agg(F.sum("cohort_size")).first()[0]
+    assert total == active.select("customer_id").distinct().count()
+
+
+def test_matrix_is_the_pivot_of_the_long_form(data):
+    long = {
+        (r.cohort_month, r.month_number): r.retention_pct
+        for r in BUILDS["e3_cohort_retention"](data).collect()
+    }
+    for row in BUILDS["e4_cohort_matrix"](data).collect():
+        for m in range(7):
+            assert row[f"m{m}"] == long.get((row.cohort_month, m))
+
+
+def test_year_sets_are_disjoint_and_complete(data):
+    header = data.order_header()
+    sets = orders.year_over_year_cohorts(header, *YEARS)
+    assert sets.count() == sets.select("CustomerID").distinct().count()
+    expected = header.where(F.year("OrderDate").isin(*YEARS)).select("CustomerID").distinct()
+    assert_same(spark_rows(sets.select("CustomerID")), spark_rows(expected))
+
+
+def test_pass_means_no_positive_breach(data):
+    board = BUILDS["c4_sla_scoreboard"](data)
+    assert board.where("(sla_status = 'PASS') <> (breach_amount <= 0)").count() == 0
+
+
+def test_summary_covers_the_scoreboard(data):
+    board = BUILDS["c4_sla_scoreboard"](data)
+    summary = sla.sla_breach_summary(board).agg(F.sum("total_rows")).first()[0]
+    assert summary == board.count()
+
+
+def test_dashboard_and_cohorts_cover_the_revenue(data):
+    revenue = (
+        BUILDS["f1_order_fact_day"](data)
+        .join(data.order_customer(), "CustomerID")
+        .agg(F.sum("OrderRevenue"), F.count("*"))
+        .first()
+    )
+    sales = BUILDS["f11_monthly_sales"](data).agg(F.sum("Revenue"), F.sum("Orders")).first()
+    assert (sales[0], sales[1]) == (revenue[0], revenue[1])
+    cells = orders.segmented_cohort(
+        data.order_header(), data.order_detail(), data.order_customer(), max_month=10_000
+    )
+    total = cells.agg(F.sum("Revenue"), F.sum("ActiveOrders")).first()
+    assert (total[0], total[1]) == (revenue[0], revenue[1])
+
+
+def test_merchant_totals_cover_the_base(data):
+    base = BUILDS["d2_merchant_base"](data)
+    totals = BUILDS["d4_merchant_agg"](data)
+    assert totals.agg(F.sum("attempted_txns"), F.sum("attempted_usd")).first() == base.agg(
+        F.count("*"), F.sum("amount_usd")
+    ).first()
+    assert totals.count() == base.select("merchant_id").distinct().count()
+
+
+def test_score_falls_with_the_fraud_weight(data):
+    def scores(weight):
+        rows = merchant.merchant_health(
+            data.transactions(),
+            data.accounts(),
+            data.merchants(),
+            months_back=12,
+            min_txns=1,
+            weights=(weight, "1", "1"),
+        )
+        return {r.merchant_id: r.quality_score for r in rows.collect()}
+
+    light, heavy = scores("1"), scores("2")
+    for key, score in light.items():
+        assert score is None or heavy[key] <= score
+    assert all(isinstance(s, Decimal) for s in light.values() if s is not None)
+
+
+@pytest.mark.parametrize("name", ["a3_top_customers", "c5_sla_breach_summary", "f8_segmented_cohort"])
+def test_results_do_not_depend_on_partitioning(spark, data, name):
+    expected = spark_rows(BUILDS[name](data))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    try:
+        assert_same(spark_rows(BUILDS[name](data)), expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -20,7 +20,8 @@ def ratio(
     num: Column, den: Column, result: str, num_type: str = WHOLE, den_type: str = WHOLE
 ) -> Column:
     """``num / den`` as the decimal type ``result``."""
-    return (num.cast(num_type) / F.nullif(den.cast(den_type), F.lit(0))).cast(result)
+    divisor = den.cast(den_type)
+    return F.when(divisor != 0, num.cast(num_type) / divisor).cast(result)
 
 
 def pct(num: Column, den: Column, scale: int = 2) -> Column:

@@ -89,9 +89,10 @@ def merchant_risk_top(
     exact_rate = ratio(F.col("fraud_txns"), F.col("txns"), "decimal(38,18)")
     return (
         busy.join(merchants.select("merchant_id", "merchant_name", "country"), "merchant_id")
-        .orderBy(exact_rate.desc(), F.desc("txns"), F.asc("merchant_id"))
+        .withColumns({"exact_rate": exact_rate, "fraud_rate_pct": _fraud_rate()})
+        .orderBy(F.desc("exact_rate"), F.desc("txns"), F.asc("merchant_id"))
         .limit(n)
-        .select("merchant_name", "country", "txns", "fraud_txns", _fraud_rate())
+        .select("merchant_name", "country", "txns", "fraud_txns", "fraud_rate_pct")
     )
 
 
