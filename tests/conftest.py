@@ -17,10 +17,8 @@ USED_TABLES = ["nation", "customer", "supplier", "orders", "lineitem"]
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(cpus=8, memory="4g", app="tests")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -150,7 +150,7 @@ def merchant_health(d: TestData) -> DataFrame:
         "declined_txns",
         pct(F.col("declined_txns"), tried).alias("decline_rate_pct"),
         "reversed_txns",
-        pct(F.col("reversed_txns"), settled).alias("reversal_rate_pct"),
+        pct(F.col("reversed_txns"), settled, precision=20).alias("reversal_rate_pct"),
         "fraud_txns",
         pct(F.col("fraud_txns"), tried).alias("fraud_rate_pct"),
         "unique_customers",
@@ -161,7 +161,7 @@ def merchant_health(d: TestData) -> DataFrame:
         F.col("avg_ticket_usd").cast("decimal(12,2)").alias("avg_ticket_usd"),
         (F.col("settled_usd") - F.col("reversed_usd")).alias("net_settled_usd"),
         (100 - 200 * fraud - 100 * declined - 100 * reversed_)
-        .cast("decimal(10,2)")
+        .cast("decimal(20,2)")
         .alias("quality_score"),
         F.expr(
             """case when fraud_txns >= 0.02 * attempted_txns then 'HIGH_FRAUD'
@@ -269,7 +269,7 @@ def churn_flags(d: TestData) -> DataFrame:
         .join(order_gaps(d), "CustomerID", "left")
         .withColumn("RecencyDays", F.datediff("newest", "LastOrderDate"))
         .withColumn(
-            "LifetimeAOV", average(F.col("LifetimeRevenue"), F.col("LifetimeOrders"), "decimal(12,2)")
+            "LifetimeAOV", average(F.col("LifetimeRevenue"), F.col("LifetimeOrders"), "decimal(20,2)")
         )
         .withColumn("AvgDaysBetweenOrders", F.col("AvgDaysBetweenOrders").cast("decimal(12,2)"))
         .withColumn("ChurnFlag_90d", F.when(F.col("RecencyDays") > 90, 1).otherwise(0))
@@ -343,11 +343,11 @@ def segmented_cohort(d: TestData) -> DataFrame:
         ratio(c("ActiveCustomers"), c("CohortCustomers"), "decimal(10,4)").alias(
             "CustomerRetentionRate"
         ),
-        ratio(c("Revenue"), c("CohortRevenue"), "decimal(10,4)", MONEY, MONEY).alias(
+        ratio(c("Revenue"), c("CohortRevenue"), "decimal(20,4)", MONEY, MONEY).alias(
             "RevenueRetentionRate"
         ),
-        average(c("Revenue"), c("ActiveOrders"), "decimal(12,2)").alias("AOV"),
-        ratio(c("ActiveOrders"), c("ActiveCustomers"), "decimal(12,4)").alias("OrdersPerCustomer"),
+        average(c("Revenue"), c("ActiveOrders"), "decimal(20,2)").alias("AOV"),
+        ratio(c("ActiveOrders"), c("ActiveCustomers"), "decimal(20,4)").alias("OrdersPerCustomer"),
         ratio(c("online"), c("ActiveOrders"), "decimal(10,4)").alias("OnlineOrderPct"),
         ratio(c("shares"), c("ActiveOrders"), "decimal(10,4)", "decimal(24,6)").alias(
             "AvgDiscountedLinePct"

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tillwork.operators import merchant
 from tillwork.plans.queries import BUILDS, TestData
 
 
@@ -102,3 +103,28 @@ def test_churn_shares_the_line_totals(spark, sf_dir):
     df = BUILDS["f5_churn_flags"](TestData(spark, sf_dir))
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_account_is_split_in_the_row_level_join(spark, skewed_dir):
+    """Enriched rows cannot be combined first; Spark splits their skewed partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        d = TestData(spark, skewed_dir)
+        df = merchant.merchant_base(
+            d.transactions().repartition(6), d.accounts(), d.merchants()
+        )
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan

@@ -2,7 +2,8 @@
 
 Rates are divided as decimals and rounded once, half away from zero, so a value
 such as 23 of 4,000 gives 0.58 percent and not the 0.57 that doubles yield.  A
-zero denominator gives NULL.
+zero denominator gives NULL.  A cast that does not fit fails the query, so results
+that no total bounds get types wide enough for a group with most of the data.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ def ratio(
     return F.when(divisor != 0, num.cast(num_type) / divisor).cast(result)
 
 
-def pct(num: Column, den: Column, scale: int = 2) -> Column:
-    """100 * num / den of two counts, as decimal(10, scale)."""
-    return ratio(num.cast(WHOLE) * 100, den, f"decimal(10,{scale})", "decimal(24,0)")
+def pct(num: Column, den: Column, scale: int = 2, precision: int = 10) -> Column:
+    """100 * num / den of two counts, as decimal(precision, scale)."""
+    return ratio(num.cast(WHOLE) * 100, den, f"decimal({precision},{scale})", "decimal(24,0)")
 
 
 def average(total: Column, n: Column, result: str) -> Column:

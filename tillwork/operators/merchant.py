@@ -176,7 +176,7 @@ def merchant_health(
         "declined_txns",
         pct(F.col("declined_txns"), attempted).alias("decline_rate_pct"),
         "reversed_txns",
-        pct(F.col("reversed_txns"), settled).alias("reversal_rate_pct"),
+        pct(F.col("reversed_txns"), settled, precision=20).alias("reversal_rate_pct"),
         "fraud_txns",
         pct(F.col("fraud_txns"), attempted).alias("fraud_rate_pct"),
         "unique_customers",
@@ -186,9 +186,9 @@ def merchant_health(
         ),
         F.col("avg_ticket_usd").cast("decimal(12,2)").alias("avg_ticket_usd"),
         (F.col("settled_usd") - F.col("reversed_usd"))
-        .cast("decimal(18,2)")
+        .cast("decimal(24,2)")
         .alias("net_settled_usd"),
-        score.cast("decimal(10,2)").alias("quality_score"),
+        score.cast("decimal(20,2)").alias("quality_score"),
         flag.alias("primary_flag"),
     )
 

@@ -108,7 +108,7 @@ def churn_flags(
             "RecencyDays",
             "LifetimeOrders",
             "LifetimeRevenue",
-            average(F.col("LifetimeRevenue"), F.col("LifetimeOrders"), "decimal(12,2)").alias(
+            average(F.col("LifetimeRevenue"), F.col("LifetimeOrders"), "decimal(20,2)").alias(
                 "LifetimeAOV"
             ),
             gap.alias("AvgDaysBetweenOrders"),
@@ -177,10 +177,10 @@ def segmented_cohort(
             "CustomerRetentionRate"
         ),
         ratio(
-            F.col("Revenue"), F.col("CohortRevenue"), "decimal(10,4)", MONEY, MONEY
+            F.col("Revenue"), F.col("CohortRevenue"), "decimal(20,4)", MONEY, MONEY
         ).alias("RevenueRetentionRate"),
-        average(F.col("Revenue"), orders, "decimal(12,2)").alias("AOV"),
-        ratio(orders, customers, "decimal(12,4)").alias("OrdersPerCustomer"),
+        average(F.col("Revenue"), orders, "decimal(20,2)").alias("AOV"),
+        ratio(orders, customers, "decimal(20,4)").alias("OrdersPerCustomer"),
         *_order_mix("decimal(10,4)", "ActiveOrders"),
     )
 
