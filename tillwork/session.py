@@ -15,6 +15,8 @@ def local_session(cpus: int = 8, memory: str = "8g", app: str = "tillwork") -> S
         .config("spark.ui.showConsoleProgress", "false")
         # call-site capture costs several JVM calls per column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # a session of many reports compiles more stages than the default cache keeps
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")

@@ -43,7 +43,7 @@ class TestData:
     def transactions(self) -> DataFrame:
         line = F.col("l_linenumber")
         moment = F.when(F.col("l_quantity") != 50, F.col("l_shipdate"))
-        tax = F.round(F.col("l_tax") * 100).cast("int")
+        tax = _hundredths(F.col("l_tax"))
         return self.table("lineitem").select(
             _txn_id(line).alias("txn_id"),
             F.col("l_orderkey").alias("account_id"),
@@ -113,7 +113,7 @@ class TestData:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("SalesOrderID"),
             (price * (1 - discount)).cast("decimal(18,4)").alias("LineTotal"),
-            F.when(F.round(F.col("l_discount") * 100) > 5, discount)
+            F.when(_hundredths(F.col("l_discount")) > 5, discount)
             .otherwise(0)
             .cast("decimal(4,2)")
             .alias("UnitPriceDiscount"),
@@ -202,6 +202,11 @@ class TestData:
         )
 
 
+def _hundredths(fraction: Column) -> Column:
+    """A non-negative fraction with two decimals as a whole number."""
+    return F.floor(fraction * 100 + 0.5)
+
+
 def _txn_id(line: Column) -> Column:
     return F.col("l_orderkey") * 10 + line
 
