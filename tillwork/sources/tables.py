@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillwork.sources.contracts import conform, schema_of
 
@@ -26,7 +25,7 @@ def constant_rows(spark: SparkSession, rows: Sequence[tuple], relation: str) ->
     """
     schema = schema_of(relation)
     records = [dict(zip(schema.names, row, strict=True)) for row in rows]
-    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)))
+    return spark.createDataFrame(pa.Table.from_pylist(records), schema)
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
