@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwork.llm import pii
+from tillwork.llm import pieces, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +21,19 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_read(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    told = pieces.decode(pieces.encode(_read(spark, sf_dir, "documents"), model), model)
+    return told.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii,)}
+    return {f.__name__: f for f in (op1_pii, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
