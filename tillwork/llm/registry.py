@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import pieces, pii
+from tillwork.llm import idfiles, pieces, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_read(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return idfiles.digests(idfiles.round_trip(_read(spark, sf_dir, "documents"), tokenizer))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     told = pieces.decode(pieces.encode(_read(spark, sf_dir, "documents"), model), model)
@@ -33,7 +38,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op7_token_files, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
