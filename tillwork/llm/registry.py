@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import idfiles, pieces, pii, simhash
+from tillwork.llm import idfiles, langid, pieces, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_read(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -42,7 +46,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op4_simhash, op7_token_files, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op7_token_files, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
