@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import idfiles, langid, pieces, pii, simhash
+from tillwork.llm import idfiles, langid, pieces, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return idfiles.digests(idfiles.round_trip(_read(spark, sf_dir, "documents"), tokenizer))
@@ -46,7 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op7_token_files, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op7_token_files, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
