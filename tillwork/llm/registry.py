@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import idfiles, langid, pieces, pii, simhash, toxicity
+from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.digests(idfiles.round_trip(_read(spark, sf_dir, "documents"), tokenizer))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(_read(spark, sf_dir, "conversations"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     told = pieces.decode(pieces.encode(_read(spark, sf_dir, "documents"), model), model)
@@ -49,9 +57,37 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Openings are compared as text here, turn by turn, where the operator compares hashes.
+OP8_SQL = """
+with turns as (
+    select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn, role, text) as place
+    from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)
+),
+openings as (
+    select conv_id, place, count(*) over (partition by conv_id) as n,
+        string_agg(coalesce(role, chr(2)) || chr(31) || coalesce(text, chr(2)), chr(30)) over (
+            partition by conv_id order by place rows between unbounded preceding and current row) as opening
+    from turns
+),
+whole as (
+    select opening, place as n_turns, min(conv_id) as conv_id, count(*) as n_copies
+    from openings where place = n group by opening, place
+),
+kept as (
+    select conv_id, n_turns, n_copies from whole
+    where not exists (select 1 from openings o where o.place < o.n and o.place = whole.n_turns and o.opening = whole.opening)
+)
+select k.conv_id, k.n_turns, k.n_copies,
+    string_agg('<|' || replace(coalesce(t.role, 'unknown'), '<|', '< |') || '|>' || chr(10)
+        || replace(coalesce(t.text, ''), '<|', '< |') || '<|end|>', chr(10) order by t.place) as rendered
+from kept k join turns t on t.conv_id = k.conv_id
+group by k.conv_id, k.n_turns, k.n_copies
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op7_token_files, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_formatting": OP8_SQL}
