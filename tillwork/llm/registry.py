@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, simhash, toxicity
+from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, simhash, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return idfiles.digests(idfiles.round_trip(_read(spark, sf_dir, "documents"), tokenizer))
@@ -86,7 +90,7 @@ group by k.conv_id, k.n_turns, k.n_copies
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op6_embedding_dedup, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
