@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.shared import pick, small_batches
+from tillwork.llm.shared import pick, ready
 
 Q = 8
 #: Edits allowed, as a share of an item's characters.
@@ -246,7 +246,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], index: Index, text: int, spans:
 
 def _with_spans(rows: DataFrame, text: str, benchmark: DataFrame, item_col: str, item_text_col: str, q: int, error: float) -> DataFrame:
     """``rows`` (names all different) and a last column ``spans``."""
-    small_batches(rows.sparkSession)
+    ready(rows.sparkSession)
     items = pick(benchmark, item_id=item_col, text=item_text_col).where("text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)

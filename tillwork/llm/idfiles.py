@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from tillwork.llm.shared import documents, shared_folder, small_batches, texts
+from tillwork.llm.shared import documents, ready, shared_folder, texts
 
 MAGIC = b"PFOR1\0\0\0"
 HEAD = struct.Struct("<8sIIIIQ")
@@ -241,7 +241,7 @@ def write_ids(
     empty table makes no file.  What comes back has one entry for every IDS_PER_FILE ids.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     told = documents(docs, id_col, text_col).where("doc_id is not null")
     # the text orders rows of equal doc_id, and no more

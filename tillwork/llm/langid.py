@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.shared import documents, pick, small_batches, texts
+from tillwork.llm.shared import documents, pick, ready, texts
 
 UNKNOWN = "und"
 SLOTS = 1 << 16
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", id_c
     hash of the id, and all rows of languages that have fewer.  One in five of them fits the temperature.
     Without labelled texts that have letters the model has no classes and calls everything ``und``.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     labelled = pick(docs, doc_id=id_col, lang=lang_col, text=text_col).where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
     if not counts:
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     Null texts and texts without a letter are ``und`` with score 0; of equal scores the language that sorts first wins;
     repeated rows are treated alike; nothing but the text is read.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     told = documents(docs, id_col, text_col)
     return told.mapInArrow(partial(_predicted, model=model), "doc_id long, lang_pred string, score double")
 

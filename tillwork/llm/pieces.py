@@ -22,7 +22,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tillwork.llm.shared import documents, pick, small_batches, texts
+from tillwork.llm.shared import documents, pick, ready, texts
 
 #: Words whose ids a Python worker keeps; the half that is older goes when there are more.
 KEPT_WORDS = 800_000
@@ -208,14 +208,14 @@ def encode(docs: DataFrame, model_file: str, *, id_col: str = "doc_id", text_col
     No begin or end ids.  Null and empty texts have no ids; repeated rows are treated alike; characters that no piece has
     become their bytes; other columns are ignored.  Nothing is shuffled.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     told = documents(docs, id_col, text_col)
     return told.mapInArrow(partial(_encoded, model_file=model_file), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_file: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per input row: doc_id, ids, decoded (the text of the ids; null for null ids)."""
-    small_batches(encoded.sparkSession)
+    ready(encoded.sparkSession)
     told = pick(encoded, doc_id=id_col, ids=ids_col)
     kind = "doc_id long, ids array<int>, decoded string"
     return told.mapInArrow(partial(_decoded, model_file=model_file), kind)

@@ -19,7 +19,7 @@ from functools import lru_cache, partial
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillwork.llm.shared import documents, small_batches, texts
+from tillwork.llm.shared import documents, ready, texts
 
 #: Used where the caller passes no key; a production run passes its own.
 DEMO_KEY = "tillwork demonstration key"
@@ -279,6 +279,6 @@ def pseudonymise(
     alike; numbers that fail their check and impossible dates stay as they are; the domain of an e-mail
     address and a country code stay; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     secret = key.encode()[:64]
     return documents(docs, id_col, text_col).mapInArrow(partial(_replaced, key=secret), RESULT)

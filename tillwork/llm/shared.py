@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +35,28 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Send few documents at a time to Python, unless the session asks for fewer."""
+def ready(spark: SparkSession) -> None:
+    """Make a session fit for the operators that run Python in tasks.
+
+    Few documents go to Python at a time, unless the session asks for fewer, and the executors get this package,
+    which need not be installed there.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if not 0 < now <= ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package = Path(__file__).resolve().parent.parent
+        packed = Path(tempfile.mkdtemp(prefix="tillwork-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(packed, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(packed))
+
+
+_shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

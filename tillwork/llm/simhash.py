@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.components import components
-from tillwork.llm.shared import documents, small_batches, stored, texts
+from tillwork.llm.shared import documents, ready, stored, texts
 
 SEED = 42
 BITS = 64
@@ -47,7 +47,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the fingerprint's bits as a long), one row per input row."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     told = documents(docs, id_col, text_col)
     return told.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.langid import remainder
-from tillwork.llm.shared import documents, pick, small_batches, stored, texts
+from tillwork.llm.shared import documents, pick, ready, stored, texts
 
 #: About so many labelled texts teach lexicon and trees (4 in 5) and calibration (1 in 5).
 SAMPLE = 16_000
@@ -165,7 +165,7 @@ class Model:
 
         Null and empty texts are scored by features that are all zero; repeated rows are treated alike; nothing but the text is read.
         """
-        small_batches(docs.sparkSession)
+        ready(docs.sparkSession)
         told = documents(docs, id_col, text_col)
         if self.trees is None:
             scored = told.select("doc_id", F.lit(float(self.constant)).alias("score"))
@@ -196,7 +196,7 @@ def fit(
     Labels are 0 or 1; null labels and ids are passed over, and an id with several labels counts as toxic if any says so.  The sample's
     ids are broadcast: ``sample`` bounds them.
     """
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     known = pick(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label is not null")
     known = known.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     total, positive = known.agg(F.count("*"), F.sum("label")).first()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.components import components
-from tillwork.llm.shared import pick, stored
+from tillwork.llm.shared import pick, ready, stored
 
 SEED = 20_240_607
 #: Chance that a pair just at the threshold shares a table.
@@ -222,6 +222,7 @@ def near_duplicates(
     null, empty, zero or holds a null or non-finite component, and one without an id, links with nothing and is its own
     component; so do vectors of different lengths.  Repeated rows are vectors of their own that link with each other.
     """
+    ready(vectors.sparkSession)
     told = pick(vectors, vec_id=id_col, vector=vector_col)
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
