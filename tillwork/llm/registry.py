@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, simhash, toxicity, vectors
+from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_read(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = repeats.remove_repeats(_read(spark, sf_dir, "documents"), window=20)
+    return told.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -90,7 +95,7 @@ group by k.conv_id, k.n_turns, k.n_copies
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_language_id, op4_simhash, op5_toxicity, op6_embedding_dedup, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_language_id, op4_simhash, op5_toxicity, op6_embedding_dedup, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
