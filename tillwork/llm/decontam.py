@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.shared import pick, ready
+from tillwork.llm.shared import kind_of, numbered, pick, ready
 
 Q = 8
 #: Edits allowed, as a share of an item's characters.
@@ -251,7 +251,7 @@ def _with_spans(rows: DataFrame, text: str, benchmark: DataFrame, item_col: str,
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)
     told = rows.withColumn("spans", F.expr(f"cast(array() as {SPANS})"))
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in told.schema)
+    kind = kind_of(told)
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = index_of([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], q, error)
@@ -293,7 +293,7 @@ def remove_leaking(
     item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no leak, with all their columns."""
-    flat = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    flat = numbered(docs)
     text = f"c{docs.columns.index(text_col)}"
     told = _with_spans(flat, text, benchmark, item_col, item_text_col, q, error)
     return told.where(F.size("spans") == 0).drop("spans").toDF(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.shared import documents, pick, ready, texts
+from tillwork.llm.shared import documents, kind_of, numbered, pick, ready, texts
 
 UNKNOWN = "und"
 SLOTS = 1 << 16
@@ -64,9 +64,9 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), pa.array(held[some], pa.int64())], ["slot", "n"])
 
 
-def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Smoothed logarithmic inverse document frequency of every slot, over all texts of ``docs``."""
-    counted = pick(docs, text=text_col).mapInArrow(_slot_counts, "slot long, n long")
+def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+    """Smoothed logarithmic inverse document frequency of every slot, over all values of ``text``."""
+    counted = docs.select("text").mapInArrow(_slot_counts, "slot long, n long")
     rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # SLOTS + 1 rows at most
     held, total = np.zeros(SLOTS), 0
     for slot, n in zip(rows["slot"], rows["n"], strict=True):
@@ -153,15 +153,28 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((lo + hi) / 2)
 
 
-def fit(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
+def fit(
+    docs: DataFrame,
+    *,
+    held_out: int | None = None,
+    folds: int = 1,
+    lang_col: str = "lang",
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    sample: int = SAMPLE,
+) -> Model:
     """Fit on the labelled rows of ``docs``; document frequencies count all its rows.
 
-    Training takes about ``sample`` texts: of each language the share of rows that gives it an equal part, chosen by a
-    hash of the id, and all rows of languages that have fewer.  One in five of them fits the temperature.
+    With ``held_out``, rows whose id falls into that fold (crc32 of the id as text, modulo ``folds``) are not read, nor are rows
+    without an id.  Training takes about ``sample`` texts: of each language the share of rows that gives it an equal part,
+    chosen by a hash of the id, and all rows of languages that have fewer.  One in five of them fits the temperature.
     Without labelled texts that have letters the model has no classes and calls everything ``und``.
     """
     ready(docs.sparkSession)
-    labelled = pick(docs, doc_id=id_col, lang=lang_col, text=text_col).where("lang is not null and text is not null")
+    told = pick(docs, doc_id=id_col, lang=lang_col, text=text_col)
+    if held_out is not None:
+        told = told.where(remainder("doc_id", folds) != held_out)
+    labelled = told.where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return Model([], np.zeros((SLOTS, 0), np.float32), np.zeros(0))
@@ -172,7 +185,7 @@ def fit(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", id_c
     rows = chosen.select("lang", F.xxhash64("doc_id").alias("place"), "text").mapInArrow(
         _features, "lang string, place long, slots array<int>, shares array<float>"
     )
-    inverse = SCALE * inverse_frequencies(docs, text_col)
+    inverse = SCALE * inverse_frequencies(told)
     classes = sorted(counts)
     return _trained(rows.toArrow(), classes, inverse)
 
@@ -229,7 +242,20 @@ def remainder(id_col: str, divisor: int) -> Column:
 
 def identify(docs: DataFrame, *, held_out: int = 1, folds: int = 3, **settings) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, by a model fitted on the folds other than ``held_out``."""
-    fold = remainder("doc_id", folds)
-    model = fit(docs.where(fold != held_out), **settings)
-    told = predict(docs, model)
-    return told.select("doc_id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    told = predict(docs, fit(docs, held_out=held_out, folds=folds, **settings))
+    out = F.coalesce(remainder("doc_id", folds) == held_out, F.lit(False))
+    return told.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def _identified(batches: Iterator[pa.RecordBatch], model: Model, text: int, least_score: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scored = (model.scores(t) if model.classes else None for t in batch.column(text).to_pylist())
+        yield batch.filter(pa.array([p is not None and p.max() >= least_score for p in scored], pa.bool_()))
+
+
+def keep_identified(docs: DataFrame, model: Model, *, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with this score at least; none that are ``und``."""
+    ready(docs.sparkSession)
+    flat = numbered(docs)
+    chosen = partial(_identified, model=model, text=docs.columns.index(text_col), least_score=least_score)
+    return flat.mapInArrow(chosen, kind_of(flat)).toDF(*docs.columns)

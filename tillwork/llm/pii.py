@@ -19,7 +19,7 @@ from functools import lru_cache, partial
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillwork.llm.shared import documents, ready, texts
+from tillwork.llm.shared import documents, kind_of, numbered, ready, texts
 
 #: Used where the caller passes no key; a production run passes its own.
 DEMO_KEY = "tillwork demonstration key"
@@ -282,3 +282,26 @@ def pseudonymise(
     ready(docs.sparkSession)
     secret = key.encode()[:64]
     return documents(docs, id_col, text_col).mapInArrow(partial(_replaced, key=secret), RESULT)
+
+
+def _replaced_rows(batches: Iterator[pa.RecordBatch], text: int, length: int | None, key: bytes) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = batch.columns
+        new = [None if t is None else replace(t, key)[0] for t in columns[text].to_pylist()]
+        columns[text] = pa.array(new, pa.string())
+        if length is not None:
+            kept = columns[length].to_pylist()
+            sizes = [n if n is None or t is None else len(t) for n, t in zip(kept, new, strict=True)]
+            columns[length] = pa.array(sizes, columns[length].type)
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
+def pseudonymise_rows(
+    docs: DataFrame, *, key: str = DEMO_KEY, text_col: str = "text", length_col: str | None = "n_chars"
+) -> DataFrame:
+    """The rows of ``docs`` with all their columns, pseudonyms in the text, and the length column, if there is one, made to fit."""
+    ready(docs.sparkSession)
+    flat, names = numbered(docs), docs.columns
+    length = names.index(length_col) if length_col in names else None
+    replaced = partial(_replaced_rows, text=names.index(text_col), length=length, key=key.encode()[:64])
+    return flat.mapInArrow(replaced, kind_of(flat)).toDF(*names)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,9 +95,24 @@ group by k.conv_id, k.n_turns, k.n_copies
 """
 
 
+QUERIES: tuple[Query, ...] = (
+    op1_pii,
+    op2_substring_dedup,
+    op3_language_id,
+    op4_simhash,
+    op5_toxicity,
+    op6_embedding_dedup,
+    op7_token_files,
+    op8_chat_formatting,
+    op9_decontamination,
+    op10_sentencepiece,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_language_id, op4_simhash, op5_toxicity, op6_embedding_dedup, op7_token_files, op8_chat_formatting, op9_decontamination, op10_sentencepiece)}
+    return {query.__name__: query for query in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_formatting": OP8_SQL}
+    found = {"op8_chat_formatting": OP8_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in found.items() if sql}

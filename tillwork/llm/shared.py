@@ -26,6 +26,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select(*(F.col(f"_{i}").alias(new) for i, new in zip(places, columns, strict=True)))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by place (c0, c1, ...), so that none can clash with another."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def kind_of(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` and ``text`` of a table of documents."""
     return pick(df, doc_id=id_col, text=text_col)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.components import components
-from tillwork.llm.shared import documents, ready, stored, texts
+from tillwork.llm.shared import documents, numbered, ready, stored, texts
 
 SEED = 42
 BITS = 64
@@ -99,3 +99,15 @@ def near_duplicates(
     return prints.join(of_class, F.col("fp") == F.col("of_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the first of their component; of rows with one id one stays.
+
+    Rows without an id cannot stand for a group nor be told apart, and all stay.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first_id")).distinct()
+    flat, key = numbered(docs), f"c{docs.columns.index(id_col)}"
+    kept = flat.join(first, F.col(key) == F.col("first_id"), "left_semi").dropDuplicates([key])
+    return kept.unionByName(flat.where(F.col(key).isNull())).toDF(*docs.columns)

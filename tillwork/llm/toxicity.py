@@ -223,9 +223,21 @@ def fit(
     return Model(positive / total, lexicon, trees, calibration)
 
 
-def assess(docs: DataFrame, labels: DataFrame, *, held_out: int = 2, folds: int = 4, **settings) -> DataFrame:
+def assess(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    held_out: int = 2,
+    folds: int = 4,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    **settings,
+) -> DataFrame:
     """doc_id, held_out, score, predicted of every row, by a model fitted on the folds other than ``held_out``."""
     fold = remainder("doc_id", folds)
-    model = fit(docs.where(fold != held_out), labels.where(fold != held_out), **settings)
-    told = model.score(docs)
-    return told.select("doc_id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+    told = documents(docs, id_col, text_col)
+    known = pick(labels, doc_id=id_col, toxic=label_col)
+    model = fit(told.where(fold != held_out), known.where(fold != held_out), **settings)
+    out = F.coalesce(fold == held_out, F.lit(False))
+    return model.score(told).select("doc_id", out.alias("held_out"), "score", "predicted")
