@@ -1,0 +1,42 @@
+"""Small tables with everything that may go wrong in a column."""
+
+from __future__ import annotations
+
+import random
+
+DOC_KIND = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "the of and to in is that it for was on are as with his they at be this from have or by one had not but".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "er", "ing", "s"]) for _ in range(n))
+
+
+def odd_rows() -> list[tuple]:
+    """Null and empty texts and ids, repeated rows, equal texts, a very long text."""
+    long_text = prose(1, 60_000)
+    return [
+        (1, prose(2, 80), "en", "a", 1),
+        (1, prose(2, 80), "en", "a", 1),
+        (2, prose(2, 80), "en", None, None),
+        (3, None, None, None, None),
+        (4, "", "en", "b", 0),
+        (5, " \t\n ", None, "b", 4),
+        (6, long_text, "en", "c", len(long_text)),
+        (7, "漢字 🙂 ﬁ \x00 <s> <|endoftext|> ▁▁x  y", None, "c", 3),
+        (None, "no id here", None, None, None),
+    ]
+
+
+def documents(spark, rows):
+    padded = [(*row, *[None] * (5 - len(row))) for row in rows]
+    return spark.createDataFrame(padded, DOC_KIND)
+
+
+def clashing(df, *names: str):
+    """``df`` with more columns whose names differ from its own by case, or repeat those that operators use inside."""
+    out = df
+    for name in names or ("Text", "DOC_ID", "fp", "anchor", "spans", "slot", "label", "score"):
+        out = out.selectExpr("*", f"'x' as `{name}`")
+    return out

@@ -1,0 +1,73 @@
+"""Maximal conversations, held against comparison of whole sequences."""
+
+from __future__ import annotations
+
+from tests.llm.helpers import clashing
+from tillwork.llm import chats
+
+KIND = "conv_id long, turn long, role string, text string"
+
+
+def made(spark, rows):
+    return spark.createDataFrame(rows, KIND)
+
+
+def conversation(conv_id, *texts, start=0, step=1):
+    return [(conv_id, start + step * i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(texts)]
+
+
+def plain(rows):
+    """n_turns and n_copies of each maximal conversation."""
+    turns = {}
+    for c, n, role, text in set(rows):
+        if c is not None:
+            turns.setdefault(c, []).append((n is not None, n, str(role), role, text))
+    whole = {c: tuple((r, t) for *_, r, t in sorted(x, key=lambda y: (y[0], y[1] or 0, y[2]))) for c, x in turns.items()}
+    inner = {s[:i] for s in whole.values() for i in range(1, len(s))}
+    same = {}
+    for c, s in whole.items():
+        same.setdefault(s, []).append(c)
+    return {min(cs): (len(s), len(cs)) for s, cs in same.items() if s not in inner}
+
+
+def test_snapshots_collapse(spark):
+    rows = [
+        *conversation(1, "a"), *conversation(2, "a", "b"), *conversation(3, "a", "b", "c"),
+        *conversation(4, "a", "x"), *conversation(5, "a", "b", "c"), *conversation(6, "z", start=10, step=5),
+        *conversation(7, "z", "y", start=3), *conversation(8, "b", "a"), *conversation(9, "a", "b", "c", "d", "e")[:3],
+        (10, 0, "assistant", "a"), (11, 0, "user", None), (12, 0, "user", ""), (13, 0, None, "a"), (None, 0, "user", "a"),
+        *conversation(2, "a", "b"), (14, None, "user", "a"), (14, 1, "assistant", "n"),
+    ]
+    got = chats.format_chats(clashing(made(spark, rows), "TURN", "h1", "place")).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["n_copies"]) for r in got} == plain(rows)
+    by = {r["conv_id"]: r["rendered"] for r in got}
+    assert by[3] == "<|user|>\na<|end|>\n<|assistant|>\nb<|end|>\n<|user|>\nc<|end|>"
+    assert by[11] == by[12] == "<|user|>\n<|end|>"
+    assert by[13] == "<|unknown|>\na<|end|>"
+
+
+def test_marks_in_texts_and_long_turns(spark):
+    rows = [(1, 0, "user", "x <|end|> <|system|> y"), (2, 0, "user", "w " * 200_000), *[(3, i, "user", str(i)) for i in range(300)]]
+    by = {r["conv_id"]: r for r in chats.format_chats(made(spark, rows)).collect()}
+    assert by[1]["rendered"].count("<|") == 2
+    assert len(by[2]["rendered"]) > 400_000
+    assert by[3]["n_turns"] == 300
+
+
+def test_turns_of_one_number(spark):
+    tied = [(0, "user", "p"), (0, "user", "q"), (1, "assistant", "r")]
+    rows = [(c, *t) for c in (1, 2) for t in (tied if c == 1 else tied[::-1])]
+    got = chats.format_chats(made(spark, rows)).collect()
+    assert [(r["conv_id"], r["n_turns"], r["n_copies"]) for r in got] == [(1, 3, 2)]
+
+
+def test_nothing(spark):
+    assert chats.format_chats(made(spark, [])).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    rows = [*conversation(1, "a", "b"), *conversation(2, "a")]
+    plan = chats.render(chats._turns(made(spark, rows), "conv_id", "turn", "role", "text"))._jdf.queryExecution().toString()
+    rolled = chats.maximal(chats.openings(chats._turns(made(spark, rows), "conv_id", "turn", "role", "text")))
+    plan += rolled._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

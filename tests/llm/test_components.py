@@ -1,0 +1,37 @@
+"""Connected components, held against a plain walk."""
+
+from __future__ import annotations
+
+import random
+
+from tillwork.llm.components import components
+
+
+def plain(links):
+    label = {x: x for pair in links for x in pair}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def test_chains_stars_and_random_graphs(spark):
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, 101 + i) for i in range(60)]
+    loose = [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
+    links = [x for x in chain + star + loose if x[0] != x[1]]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["node"]: r["component"] for r in got} == plain(links)
+    assert len(got) == len(plain(links))
+
+
+def test_loops_nulls_and_nothing(spark):
+    made = spark.createDataFrame([(1, 1), (None, 2), (3, None), (4, 5), (5, 4)], "a long, b long")
+    assert sorted(map(tuple, components(made).collect())) == [(4, 4), (5, 4)]
+    assert components(made.limit(0)).count() == 0

@@ -1,0 +1,63 @@
+"""Toxicity scores: held-out quality, leakage and odd rows."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import clashing, documents, prose
+from tillwork.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(500):
+        words, toxic = prose(i, 60).split(), int(i % 5 == 0)
+        for _ in range(3 * toxic):
+            words.insert(rng.randrange(60), rng.choice(["idiot", "scum", "blarghly", "blargher", "blarghing"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    rows += [(900, None), (901, ""), (902, "idiot " * 20_000), (None, "scum")]
+    labels += [(900, 1), (901, 0), (950, 1), (None, 1), (902, None), (3, 0)]
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_held_out_quality(tables):
+    docs, labels = tables
+    told = toxicity.assess(clashing(docs), clashing(labels, "LABEL", "text")).collect()
+    assert len(told) == docs.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in told)
+    held = [r for r in told if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 500]
+    assert len(held) > 80
+    positive = [r["score"] for r in held if r["doc_id"] % 5 == 0]
+    negative = [r["score"] for r in held if r["doc_id"] % 5]
+    assert np.mean([p > n for p in positive for n in negative]) > 0.95
+
+
+def test_lexicon_is_learnt(tables):
+    docs, labels = tables
+    told = docs.join(labels, "doc_id").where("toxic is not null").selectExpr("text", "cast(toxic as double) label")
+    assert "blarg*" in toxicity.learn_lexicon(told)
+
+
+def test_without_labels(spark, tables):
+    docs, labels = tables
+    small = docs.where("doc_id < 20")
+    assert {r["score"] for r in toxicity.assess(small, labels.limit(0)).collect()} == {0.0}
+    assert {r["score"] for r in toxicity.assess(small, labels.selectExpr("doc_id", "1 toxic")).collect()} == {1.0}
+    assert toxicity.assess(docs.limit(0), labels).count() == 0
+
+
+def test_features():
+    zero = toxicity.features(None, {})
+    assert zero == toxicity.features("", {}) == [0.0] * len(toxicity.FEATURES)
+    told = dict(zip(toxicity.FEATURES, toxicity.features("You IDIOT!! i-d-i-o-t 1d10t", {"idiot": 3.0}), strict=True))
+    assert told["hits"] > 0
+    assert told["near_second"] > 0
+    assert told["obfuscated_hits"] == 1
+    assert told["spelt_out"] > 0
+    assert told["repeated_marks"] > 0

@@ -1,0 +1,113 @@
+"""Embedding links, held against all pairs."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import clashing
+from tillwork.llm import vectors
+
+KIND = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, threshold=0.9):
+    """n_links and component of each row by all pairs; repeated rows are rows of their own."""
+    def sound(i, v):
+        return i is not None and v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    rows = [(i, np.array(v, np.float32).astype(float) if sound(i, v) else None) for i, v in rows]
+    near = [[False] * len(rows) for _ in rows]
+    for a, (_, v) in enumerate(rows):
+        for b, (_, w) in enumerate(rows):
+            if a != b and v is not None and w is not None and len(v) == len(w):
+                near[a][b] = v @ w / (np.linalg.norm(v) * np.linalg.norm(w)) >= threshold
+    label = [i for i, _ in rows]
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(len(rows)):
+                if near[a][b] and label[b] < label[a]:
+                    label[a], changed = label[b], True
+    return sorted(((i, sum(n), c) for (i, _), n, c in zip(rows, near, label, strict=True)), key=str)
+
+
+def clusters(dim=24, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for c in range(12):
+        centre = rng.normal(size=dim)
+        for j in range(8):
+            rows.append((100 * c + j, (centre + 0.15 * rng.normal(size=dim) * rng.uniform(0, 1.5)).tolist()))
+    rows += [(5000 + i, rows[0][1]) for i in range(5)]
+    return rows
+
+
+def told(spark, rows, **settings):
+    made = spark.createDataFrame([(i, v, 0) for i, v in rows], KIND)
+    got = vectors.near_duplicates(clashing(made, "VEC_ID", "code", "copies"), **settings).collect()
+    assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in got)
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str)
+
+
+def test_against_all_pairs(spark):
+    rows = clusters()
+    assert told(spark, rows, recall=0.999999) == plain(rows)
+
+
+def test_split_cells(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CHUNK", 7)
+    rows = clusters(seed=4)
+    assert told(spark, rows, recall=0.999999) == plain(rows)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 2.0]), (5, [nan, 1.0, 1.0]), (6, [inf, 1.0, 1.0]),
+        (7, [1.0, 2.0, 3.0]), (8, [2.0, 4.0, 6.0]), (9, [1.0, 2.0]), (10, [1e-30, 2e-30, 3e-30]), (11, [1e30, 2e30, 3e30]),
+        (12, [-1.0, -2.0, -3.0]), (None, [1.0, 2.0, 3.0]), (7, [1.0, 2.0, 3.0]),
+    ]
+    assert told(spark, rows, recall=0.999999) == plain(rows)
+    assert told(spark, []) == []
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(5)
+    a = vectors.unit(rng.normal(size=(300, 64)))
+    b = vectors.unit(a + 0.06 * rng.normal(size=a.shape))
+    codes, factors = vectors.encode(b)
+    signs = np.unpackbits(codes, axis=1, count=64, bitorder="little") * 2.0 - 1
+    turned = a @ vectors.rotation(64, 0).T
+    estimate = (turned * signs).sum(axis=1) / 8 / factors
+    truth = (a * b).sum(axis=1)
+    assert abs((estimate - truth).mean()) < 0.01
+    kept = vectors.undecided(codes, factors, a, 0.9)
+    close = a @ b.T >= 0.9
+    assert (kept | ~close).all()
+    assert kept.mean() < 0.05
+
+
+def test_rotation_is_orthogonal():
+    q = vectors.rotation(32, 3)
+    assert np.allclose(q @ q.T, np.eye(32))
+
+
+@pytest.mark.parametrize("n", [10, 10_000, 10**7])
+def test_tables(n):
+    signs, tables = vectors.tables_for(n, 0.9)
+    same = (1 - np.arccos(0.9) / np.pi) ** signs
+    assert 1 - (1 - same) ** tables >= vectors.RECALL
+
+
+def test_recall_on_the_given_vectors(spark, sf_dir):
+    made = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in made.collect()]
+    matrix = np.array([v for _, v in rows], float)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    degree = ((matrix @ matrix.T) >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(made).collect()}
+    found = np.array([got[i] for i, _ in rows])
+    assert (found <= degree).all()
+    assert found.sum() >= 0.9 * degree.sum()
