@@ -13,7 +13,7 @@ _MATCHED = _KPI + " long rule matched"
 _BASE = "txn acct merch recent base"
 _ACTIVE = "txn acct cust active cohorts"
 _ORDERS = "header line fact"
-_RATES = "saver rates schedule"
+_RATES = "saver rates growths schedule"
 
 
 def half_up(num: str, den: str, digits: int) -> str:
@@ -421,7 +421,21 @@ def _contract() -> str:
             f"select count(*) from {relation} where {column} not in ({allowed})",
         )
 
+    rule_columns = "kpi_name scope owner_team target_value comparator severity is_active"
     lines = [
+        surplus("plans", "plan", "plan_id"),
+        surplus("plans", "plan", "plan_name"),
+        *nulls("plans", "plans", "plan_id plan_name monthly_price"),
+        *nulls("kpi_sla_rules", "rules", rule_columns),
+        outside("kpi_sla_rules", "rules", "scope", "'GLOBAL', 'CHANNEL'"),
+        outside("kpi_sla_rules", "rules", "comparator", "'<=', '>='"),
+        outside("kpi_sla_rules", "rules", "severity", "'LOW', 'MED', 'HIGH'"),
+        surplus("accounts", "acct", "account_id"),
+        surplus("customers", "cust", "customer_id"),
+        surplus("merchants", "merch", "merchant_id"),
+        line("order_header", "unique", "SalesOrderID", "select count(*) - count(distinct oid) from header"),
+        line("order_customer", "unique", "CustomerID", "select count(*) - count(distinct cid) from ctype"),
+        surplus("projection_accounts", "saver", "account_key"),
         surplus("users", "member", "user_id"),
         *nulls("users", "member", "user_id signup_date country acquisition_channel"),
         surplus("subscriptions", "sub", "subscription_id"),
@@ -442,31 +456,34 @@ def _contract() -> str:
         orphans("transactions", "txn", "merchant_id", "merch", "merchant_id"),
     ]
     payment = ", payment as (select subscription_id as payment_id, * from pay)\n"
+    payment += ", plans as (select *, price as monthly_price from plan)\n"
+    payment += ", rules as (select *, target_e2 as target_value, true as is_active from rule)\n"
     return with_relations(
-        "txn acct merch plan sub pay member", payment + "\nunion all\n".join(lines)
+        "txn acct cust merch header ctype plan sub pay member rule saver",
+        payment + "\nunion all\n".join(lines),
     )
 
 
 def _projections() -> dict[str, str]:
-    def r4(value: str, name: str) -> str:
-        return f"floor(({value}) * 10000 + 0.5) / 10000 as {name}"
+    def r3(value: str, name: str) -> str:
+        return f"floor(({value}) * 1000 + 0.3714) / 1000 as {name}"
 
     schedule = ", ".join(
         [
             "account_key",
             "period::int as period",
-            r4("year", "year"),
-            r4("opening", "start_balance"),
-            r4("earned", "interest"),
-            r4("paid", "contribution"),
-            r4("closing", "end_balance"),
+            r3("year", "year"),
+            r3("opening", "start_balance"),
+            r3("earned", "interest"),
+            r3("paid", "contribution"),
+            r3("closing", "end_balance"),
         ]
     )
     totals = ", ".join(
         [
-            r4("real_closing", "real_end_balance"),
-            r4("paid * period", "total_contrib"),
-            r4("closing - principal - paid * period", "total_interest"),
+            r3("real_closing", "real_end_balance"),
+            r3("paid * period", "total_contrib"),
+            r3("closing - principal - paid * period", "total_interest"),
         ]
     )
     return {
@@ -476,17 +493,17 @@ def _projections() -> dict[str, str]:
         ),
         "h3_time_to_goal": with_relations(
             _RATES,
-            f"""select account_key, {r4("min(year) filter (closing >= goal)", "goal_year")}
+            f"""select account_key, {r3("min(year) filter (closing >= goal)", "goal_year")}
                 from schedule group by account_key""",
         ),
         "h4_projection_summary": with_relations(
             _RATES,
-            f"""select account_key, {r4("arg_max(closing, period)", "final_nominal")},
-                       {r4("arg_max(real_closing, period)", "final_real")},
-                       {r4("arg_max(paid * period, period)", "total_contrib")},
-                       {r4("arg_max(closing - principal - paid * period, period)",
+            f"""select account_key, {r3("arg_max(closing, period)", "final_nominal")},
+                       {r3("arg_max(real_closing, period)", "final_real")},
+                       {r3("arg_max(paid * period, period)", "total_contrib")},
+                       {r3("arg_max(closing - principal - paid * period, period)",
                            "total_interest")},
-                       {r4("min(year) filter (real_closing >= goal)", "goal_year")}
+                       {r3("min(year) filter (real_closing >= goal)", "goal_year")}
                 from schedule group by account_key""",
         ),
     }

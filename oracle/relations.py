@@ -1,5 +1,6 @@
 """The input relations as DuckDB CTEs over the provided tables."""
 
+# The country, channel, plan, rule and status values below are fixed values that both sides share.
 RELATIONS = {
     "txn": """
         select l_orderkey * 10 + l_linenumber as txn_id,
@@ -27,10 +28,9 @@ RELATIONS = {
         select c_custkey as customer_id, c_mktsegment as risk_segment, n_name as country
         from customer join nation on c_nationkey = n_nationkey""",
     "merch": """
-        select s_suppkey as merchant_id, s_name as merchant_name,
+        select s_suppkey as merchant_id, if(s_suppkey % 7 = 0, null, s_name) as merchant_name,
                'CITY_' || s_nationkey as city, n_name as country
-        from supplier join nation on s_nationkey = n_nationkey
-        where s_suppkey % 7 <> 0""",
+        from supplier join nation on s_nationkey = n_nationkey""",
     "header": """
         select o_orderkey as oid, o_custkey as cid, o_orderdate::date as day,
                date_trunc('month', o_orderdate)::date as month,
@@ -172,7 +172,7 @@ RELATIONS = {
         select c_custkey as user_id, min(o_orderdate)::date as signup_date,
                any_value(n_name) as country, any_value(c_mktsegment) as acquisition_channel
         from customer join nation on c_nationkey = n_nationkey
-                      join orders on o_custkey = c_custkey
+                      left join orders on o_custkey = c_custkey
         group by all""",
     "saver": """
         select c_custkey as account_key, abs(c_acctbal) as principal,
@@ -189,15 +189,21 @@ RELATIONS = {
                pow(1 + inflation, 1.0::double / per_year) - 1 as infl,
                paid_per_year / per_year as paid
         from saver""",
+    # ((1 + r) ^ t - 1) / r for t = period - 1, with the digits that subtracting 1 would lose
+    "growths": """
+        select *, if(e = 1, power_log, (e - 1) * power_log / ln(e)) / r as annuity
+        from (select *, (period - 1) * if(1 + r = 1, r, ln(1 + r) * r / ((1 + r) - 1)) as power_log,
+                     exp(power_log) as e
+              from (select *, unnest(range(1, periods + 1)) as period from rates))""",
     "schedule": """
         select *, period / per_year as year,
                if(r = 0, principal + paid * (period - 1),
                   principal * pow(1 + r, period - 1)
-                  + paid * (1 + upfront * r) * (pow(1 + r, period - 1) - 1) / r) as opening,
+                  + paid * (1 + upfront * r) * annuity) as opening,
                (opening + upfront * paid) * r as earned,
                opening + paid + earned as closing,
                closing / pow(1 + infl, period) as real_closing
-        from (select *, unnest(range(1, periods + 1)) as period from rates)""",
+        from growths""",
 }
 
 

@@ -110,70 +110,105 @@ SLA_RULES: list[Rule] = [
 ]
 
 
+#: One table's key is unique: of the tables whose duplicates would multiply rows in the reports.
+KEY_RULES: list[Rule] = [
+    Unique("accounts", ("account_id",)),
+    Unique("customers", ("customer_id",)),
+    Unique("merchants", ("merchant_id",)),
+    Unique("order_header", ("SalesOrderID",)),
+    Unique("order_customer", ("CustomerID",)),
+    Unique("projection_accounts", ("account_key",)),
+]
+
+
 def check_contract(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with the number of violating rows.
 
-    All row-level rules of a table share one pass.  Keys are counted before they
-    are compared, so a frequent key value is one row in the join.
+    A table is read once for all its row rules and once for all its keys: keys are
+    laid out as (rule, value) pairs, counted, and the counts compared with the parents'
+    values in one join, where a frequent value is one row.
     """
+    if not rules:
+        raise ValueError("no rules given")
+    numbered = list(enumerate(rules))
     parts = []
     for table in dict.fromkeys(rule.table for rule in rules):
-        row_rules = [r for r in rules if r.table == table and isinstance(r, NotNull | Accepted)]
+        mine = [(i, r) for i, r in numbered if r.table == table]
+        row_rules = [(i, r) for i, r in mine if isinstance(r, NotNull | Accepted)]
         if row_rules:
             parts.append(_row_rules(tables[table], row_rules))
-    for rule in rules:
-        if isinstance(rule, Unique):
-            parts.append(_unique(tables[rule.table], rule))
-        elif isinstance(rule, ForeignKey):
-            parts.append(_foreign_key(tables[rule.table], tables[rule.parent], rule))
-    if not parts:
-        raise ValueError("no rules given")
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _row_rules(df: DataFrame, rules: Sequence[NotNull | Accepted]) -> DataFrame:
-    counts, labels = [], []
-    for i, rule in enumerate(rules):
-        column = F.col(rule.column)
-        if isinstance(rule, NotNull):
-            kind, broken = "not_null", column.isNull()
-        else:
-            kind, broken = "accepted_values", ~column.isin(*rule.values)
-        counts.append(F.count_if(broken).alias(f"n{i}"))
-        labels.append(
-            F.struct(
-                F.lit(rule.table).alias("table_name"),
-                F.lit(kind).alias("rule"),
-                F.lit(rule.column).alias("column_name"),
-                F.col(f"n{i}").alias("violations"),
-            )
+    keys = [(i, r) for i, r in numbered if isinstance(r, Unique | ForeignKey)]
+    if keys:
+        parts.append(_key_rules(tables, keys))
+    counts = reduce(DataFrame.unionByName, parts)
+    labels = [
+        F.struct(
+            F.lit(i).alias("id"),
+            F.lit(r.table).alias("table_name"),
+            F.lit(_KINDS[type(r)]).alias("rule"),
+            F.lit(",".join(r.columns) if isinstance(r, Unique) else r.column).alias("column_name"),
         )
-    return df.agg(*counts).select(F.inline(F.array(*labels)))
-
-
-def _unique(df: DataFrame, rule: Unique) -> DataFrame:
-    repeated = df.groupBy(*rule.columns).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    return repeated.agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")
-    ).select(*_labels(rule.table, "unique", ",".join(rule.columns)), "violations")
+        for i, r in numbered
+    ]
+    # a rule that nothing breaks has no count
+    named = tables[rules[0].table].sparkSession.range(1).select(F.inline(F.array(*labels)))
+    return named.join(counts, "id", "left").select(
+        "table_name", "rule", "column_name", F.coalesce("violations", F.lit(0)).alias("violations")
+    )
 
 
-def _foreign_key(child: DataFrame, parent: DataFrame, rule: ForeignKey) -> DataFrame:
-    used = (
-        child.where(F.col(rule.column).isNotNull())
-        .groupBy(F.col(rule.column).alias("key"))
-        .agg(F.count("*").alias("n"))
-    )
-    known = parent.select(F.col(rule.parent_column).alias("key"))
-    orphans = used.join(known, "key", "left_anti")
-    return orphans.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")
-    ).select(*_labels(rule.table, "foreign_key", rule.column), "violations")
-
-
-def _labels(table: str, rule: str, column: str) -> list:
-    return [
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column_name"),
+_KINDS = {
+    NotNull: "not_null",
+    Accepted: "accepted_values",
+    Unique: "unique",
+    ForeignKey: "foreign_key",
+}
+
+
+def _row_rules(df: DataFrame, rules: Sequence[tuple[int, NotNull | Accepted]]) -> DataFrame:
+    broken = {
+        i: F.col(r.column).isNull() if isinstance(r, NotNull) else ~F.col(r.column).isin(*r.values)
+        for i, r in rules
+    }
+    counts = [F.count_if(holds).alias(f"n{i}") for i, holds in broken.items()]
+    found = [F.struct(F.lit(i).alias("id"), F.col(f"n{i}").alias("violations")) for i in broken]
+    return df.agg(*counts).select(F.inline(F.array(*found)))
+
+
+def _key_rules(
+    tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Unique | ForeignKey]]
+) -> DataFrame:
+    """Surplus rows of each key, and rows of each reference that has no parent."""
+    used = []
+    for table in dict.fromkeys(rule.table for _, rule in rules):
+        mine = [(i, r) for i, r in rules if r.table == table]
+        used.append(
+            _laid_out(
+                tables[table],
+                [(i, r.columns if isinstance(r, Unique) else (r.column,)) for i, r in mine],
+            )
+        )
+    counted = reduce(DataFrame.unionByName, used).groupBy("id", "key").agg(F.count("*").alias("n"))
+    references = [(i, r) for i, r in rules if isinstance(r, ForeignKey)]
+    known = F.lit(False)
+    if references:
+        parents = []
+        for parent in dict.fromkeys(r.parent for _, r in references):
+            wanted = [(i, (r.parent_column,)) for i, r in references if r.parent == parent]
+            parents.append(_laid_out(tables[parent], wanted))
+        stacked = reduce(DataFrame.unionByName, parents).distinct()
+        counted = counted.join(stacked.withColumn("known", F.lit(True)), ["id", "key"], "left")
+        known = F.coalesce("known", F.lit(False))
+    is_reference = F.col("id").isin(*[i for i, _ in references]) if references else F.lit(False)
+    orphan = is_reference & F.col("key")[0].isNotNull() & ~known
+    broken = F.when(orphan, F.col("n")).when(~is_reference, F.col("n") - 1).otherwise(0)
+    return counted.groupBy("id").agg(F.sum(broken).alias("violations"))
+
+
+def _laid_out(df: DataFrame, keys: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
+    """One row per key and row of the table: the rule's number and the key as text."""
+    pairs = [
+        F.struct(F.lit(i).alias("id"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key"))
+        for i, columns in keys
     ]
+    return df.select(F.inline(F.array(*pairs)))

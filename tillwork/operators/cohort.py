@@ -29,6 +29,26 @@ def customer_active_months(
     )
 
 
+def first_active_months(
+    txns: DataFrame, accounts: DataFrame, customers: DataFrame, status: str = "SETTLED"
+) -> DataFrame:
+    """The first month in which each known customer had a settled, dated transaction.
+
+    A minimum per account, then per customer: nothing is made distinct on the way.
+    """
+    per_account = (
+        txns.where((F.col("status") == status) & F.col("txn_ts_parsed").isNotNull())
+        .groupBy("account_id")
+        .agg(F.min("txn_month").alias("txn_month"))
+    )
+    return (
+        per_account.join(accounts.select("account_id", "customer_id"), "account_id")
+        .groupBy("customer_id")
+        .agg(F.min("txn_month").alias("txn_month"))
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
+    )
+
+
 def with_cohort(
     activity: DataFrame, customer: str, month: str, cohort: str, index: str
 ) -> DataFrame:
@@ -44,7 +64,7 @@ def with_cohort(
 
 
 def cohort_sizes(active: DataFrame) -> DataFrame:
-    """Customers per month of first activity."""
+    """Customers per month of first activity; takes active months, or the first one of each."""
     return (
         active.groupBy("customer_id")
         .agg(F.min("txn_month").alias("cohort_month"))

@@ -122,7 +122,7 @@ def merchant_agg(
     so it overlaps with ``settled``.
     """
     return _merchant_totals(per_customer, merchants, min_repeat).drop(
-        "customers_with_settled", "repeat_customers"
+        "customers_with_settled", "repeat_customers", "settled_priced"
     )
 
 
@@ -184,7 +184,9 @@ def merchant_health(
         pct(F.col("repeat_customers"), F.col("customers_with_settled")).alias(
             "repeat_customer_rate_pct"
         ),
-        F.col("avg_ticket_usd").cast("decimal(12,2)").alias("avg_ticket_usd"),
+        average(F.col("settled_usd"), F.col("settled_priced"), "decimal(12,2)").alias(
+            "avg_ticket_usd"
+        ),
         (F.col("settled_usd") - F.col("reversed_usd"))
         .cast("decimal(24,2)")
         .alias("net_settled_usd"),
@@ -245,7 +247,7 @@ def _merchant_totals(
         _merchant_label().alias("merchant_name"),
         "city",
         "country",
-        *sums[:-1],
+        *sums,
         "unique_customers",
         average(F.col("settled_usd"), F.col("settled_priced"), "decimal(18,6)").alias(
             "avg_ticket_usd"

@@ -125,8 +125,12 @@ def first_month(fact: DataFrame, name: str = "CohortMonth") -> DataFrame:
 
 
 def order_retention(header: DataFrame, detail: DataFrame, max_month: int = 12) -> DataFrame:
-    """Customers of each cohort that order again, by month since the first order."""
-    active = order_fact(header, detail, "month").select("CustomerID", "OrderMonth").distinct()
+    """Customers of each cohort that order again, by month since the first order.
+
+    Orders without a customer belong to no cohort.
+    """
+    fact = order_fact(header, detail, "month").where(F.col("CustomerID").isNotNull())
+    active = fact.select("CustomerID", "OrderMonth").distinct()
     counted = (
         with_cohort(active, "CustomerID", "OrderMonth", "CohortMonth", "MonthIndex")
         .where(F.col("MonthIndex").between(0, max_month))

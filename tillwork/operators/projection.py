@@ -29,12 +29,11 @@ def project_balances(
 ) -> DataFrame:
     """One row per account and period.
 
-    A row fans out to years * periods-per-year rows, so the still narrow accounts
-    are first spread over ``partitions`` (default: the session's shuffle
-    partitions); grouping by account afterwards needs no other shuffle.
-    ``carry`` names account columns to keep, such as the goal.  An unknown
-    compounding, frequency or timing fails the query; an account whose horizon
-    rounds to no period has no rows.
+    A row fans out to years * periods-per-year rows where it lies, without a shuffle;
+    ``partitions`` spreads the still narrow accounts first, for inputs of few
+    partitions.  ``carry`` names account columns to keep, such as the goal.  An unknown
+    compounding, frequency or timing and NULL years fail the query; an account whose
+    horizon rounds to no period has no rows.
     """
     return _schedule(accounts, carry, partitions).select(*_SCHEDULE_COLUMNS, *carry)
 
@@ -73,21 +72,30 @@ def projection_summary(
 ) -> DataFrame:
     """Final balances, totals and the year the goal is reached, per account.
 
-    ``goal`` is a number or a column of the accounts.
+    ``goal`` is a number or a column of the accounts.  The final values are the closed form at the last
+    period; only the goal's year needs the periods, and of them it keeps the account's key, its final values and
+    the first year.
     """
-    schedule = project_real_balances(
-        accounts.withColumn("goal", F.lit(goal)), ["goal"], partitions
-    )
+    terms = _terms(accounts.withColumn("goal", F.lit(goal)), ["goal"])
+    last = _with_balances(terms.withColumn("period", F.col("periods")))
     final = {
-        "final_nominal": "end_balance",
-        "final_real": "real_end_balance",
-        "total_contrib": "total_contrib",
-        "total_interest": "total_interest",
+        "final_nominal": F.col("end_balance"),
+        "final_real": _real_balance(),
+        "total_contrib": _paid_in(),
+        "total_interest": _earned(),
     }
-    balance = "real_end_balance" if use_real else "end_balance"
-    return schedule.groupBy("account_key").agg(
-        *[F.max_by(column, "period").alias(name) for name, column in final.items()],
-        _first_year(F.col(balance), F.col("goal")).alias("goal_year"),
+    terms = last.select(*terms.columns, *[c.alias(name) for name, c in final.items()])
+    if partitions is not None:
+        terms = terms.repartition(partitions, "account_key")
+    fanned = terms.withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
+    balance = _real_balance() if use_real else F.col("end_balance")
+    return (
+        _with_balances(fanned)
+        .groupBy("account_key")
+        .agg(
+            *[F.any_value(name).alias(name) for name in final],
+            _first_year(balance, F.col("goal")).alias("goal_year"),
+        )
     )
 
 
@@ -121,15 +129,24 @@ def _first_year(balance: Column, goal: Column | float) -> Column:
 def _schedule(
     accounts: DataFrame, carry: Sequence[str], partitions: int | None
 ) -> DataFrame:
-    if partitions is None:
-        partitions = int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    terms = _terms(accounts, carry)
+    if partitions is not None:
+        terms = terms.repartition(partitions, "account_key")
+    fanned = terms.withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
+    return _with_balances(fanned)
+
+
+def _terms(accounts: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Each account's parameters per period."""
     per_year = _option("compounding", PERIODS_PER_YEAR)
     paid_per_year = F.col("contribution") * _option("contrib_frequency", CONTRIBUTIONS_PER_YEAR)
-    terms = accounts.select(
+    no_horizon = F.raise_error(F.lit("years must not be NULL")).cast("int")
+    periods = F.bround(F.col("years") * per_year).cast("int")
+    return accounts.select(
         "account_key",
         "principal",
         per_year.alias("per_year"),
-        F.bround(F.col("years") * per_year).cast("int").alias("periods"),
+        F.when(F.col("years").isNull(), no_horizon).otherwise(periods).alias("periods"),
         _per_period(F.col("annual_return"), per_year).alias("rate"),
         _per_period(F.col("inflation"), per_year).alias("inflation_rate"),
         (paid_per_year / per_year).alias("contribution"),
@@ -137,15 +154,20 @@ def _schedule(
         *carry,
     ).where(F.col("periods") >= 1)
 
+
+def _with_balances(terms: DataFrame) -> DataFrame:
+    """Balances of the period that each row names."""
     rate, paid, upfront = F.col("rate"), F.col("contribution"), F.col("upfront")
     principal, elapsed = F.col("principal"), F.col("period") - 1
     growth = F.col("growth")
-    grown = principal * growth + paid * (1 + upfront * rate) * (growth - 1) / rate
+    # (growth - 1) / rate loses its digits at small rates; a rate of -1 or less has no logarithm
+    annuity = F.when(rate > -1, F.expm1(elapsed * F.log1p(rate)) / rate).otherwise(
+        (growth - 1) / rate
+    )
+    grown = principal * growth + paid * (1 + upfront * rate) * annuity
     earning = F.col("start_balance") + upfront * paid
     return (
-        terms.repartition(partitions, "account_key")
-        .withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
-        .withColumn("year", F.col("period") / F.col("per_year"))
+        terms.withColumn("year", F.col("period") / F.col("per_year"))
         .withColumn("growth", F.pow(1 + rate, elapsed))
         .withColumn(
             "start_balance", F.when(rate == 0, principal + paid * elapsed).otherwise(grown)

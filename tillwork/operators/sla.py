@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions import pct
@@ -102,11 +102,5 @@ def _one_rule(rules: DataFrame, keys: list[str], name: str) -> DataFrame:
         .when(F.col("severity") == "LOW", 3)
         .otherwise(4)
     )
-    chosen = Window.partitionBy(*keys).orderBy(
-        severity_rank, "target_value", "owner_team", "comparator"
-    )
-    return (
-        rules.withColumn("choice", F.row_number().over(chosen))
-        .where(F.col("choice") == 1)
-        .select(*keys, F.struct(*_RULE_FIELDS).alias(name))
-    )
+    order = F.struct(severity_rank, "target_value", "owner_team", "comparator", "severity")
+    return rules.groupBy(*keys).agg(F.min_by(F.struct(*_RULE_FIELDS), order).alias(name))

@@ -60,12 +60,12 @@ def schema_of(relation: str) -> StructType:
     return StructType.fromDDL(SCHEMAS[relation])
 
 
-def conform(df: DataFrame, relation: str, clean_status: bool = False) -> DataFrame:
+def conform(df: DataFrame, relation: str, clean_status: bool = True) -> DataFrame:
     """The relation's columns, in order, with 0/1 flags as booleans.
 
-    Raises if a column is missing.  ``clean_status`` trims and upper-cases the
-    status for sources that need it; a status stored clean is best left alone, so
-    that filters on it reach the scan.
+    Raises if a column is missing.  The status is trimmed and upper-cased, so that
+    all reports read it alike; ``clean_status=False`` leaves a status alone that is
+    stored clean, and filters on it then reach the scan.
     """
     wanted = schema_of(relation).names
     missing = [name for name in wanted if name not in df.columns]

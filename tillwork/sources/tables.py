@@ -11,7 +11,7 @@ from tillwork.sources.contracts import conform, schema_of
 
 
 def read_relation(
-    spark: SparkSession, path: str, relation: str, clean_status: bool = False
+    spark: SparkSession, path: str, relation: str, clean_status: bool = True
 ) -> DataFrame:
     """A Parquet table as one of the input relations."""
     return conform(spark.read.parquet(path), relation, clean_status)

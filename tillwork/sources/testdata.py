@@ -85,14 +85,13 @@ class TestData:
         )
 
     def merchants(self) -> DataFrame:
-        """Suppliers; every seventh is left unknown, for the name fallback."""
+        """All suppliers; every seventh has no name, for the name fallback."""
         return (
             self.table("supplier")
-            .where(F.col("s_suppkey") % 7 != 0)
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("s_suppkey").alias("merchant_id"),
-                F.col("s_name").alias("merchant_name"),
+                F.when(F.col("s_suppkey") % 7 != 0, F.col("s_name")).alias("merchant_name"),
                 F.concat(F.lit("CITY_"), F.col("s_nationkey").cast("string")).alias("city"),
                 F.col("n_name").alias("country"),
             )
@@ -137,7 +136,7 @@ class TestData:
         )
         return (
             self.customers()
-            .join(first_order, F.col("customer_id") == F.col("o_custkey"))
+            .join(first_order, F.col("customer_id") == F.col("o_custkey"), "left")
             .select(
                 F.col("customer_id").alias("user_id"),
                 "signup_date",
