@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwork.operators import merchant
 from tillwork.plans.queries import BUILDS, TestData
@@ -105,7 +106,8 @@ def test_churn_shares_the_line_totals(spark, sf_dir):
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_hot_account_is_split_in_the_row_level_join(spark, skewed_dir):
+@pytest.mark.parametrize("hot", ["account_id", "merchant_id"])
+def test_a_hot_key_is_split_in_the_row_level_join(spark, sf_dir, hot):
     """Enriched rows cannot be combined first; Spark splits their skewed partitions."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -118,13 +120,29 @@ def test_a_hot_account_is_split_in_the_row_level_join(spark, skewed_dir):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        d = TestData(spark, skewed_dir)
-        df = merchant.merchant_base(
-            d.transactions().repartition(6), d.accounts(), d.merchants()
-        )
+        d = TestData(spark, sf_dir)
+        one = d.transactions().agg(F.min(hot)).first()[0]
+        key = F.when(F.col("txn_id") % 2 == 0, F.lit(one)).otherwise(F.col(hot))
+        txns = d.transactions().withColumn(hot, key).repartition(6)
+        df = merchant.merchant_base(txns, d.accounts(), d.merchants())
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert "SortMergeJoin(skew=true)" in plan
+    assert re.search(rf"SortMergeJoin\(skew=true\) \[{hot}#", plan)
+
+
+@pytest.mark.parametrize("name", ["g2_plan_mix", "g10_gen_payments"])
+def test_plans_too_large_to_broadcast(spark, sf_dir, name):
+    """Four plan ids are four hot keys where the plans are shuffled; the rows stay the same."""
+    wanted = sorted(map(tuple, BUILDS[name](TestData(spark, sf_dir)).collect()))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = BUILDS[name](TestData(spark, sf_dir))
+        assert sorted(map(tuple, df.collect())) == wanted
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
