@@ -57,11 +57,15 @@ def test_op4(spark, docs):
     assert got.component_id.to_dict() == groups(prints)
 
 
-def test_op8(spark):
-    got = registry.op8_chat_formatting(spark, SMALL).toPandas().sort_values("conv_id", ignore_index=True)
+@pytest.mark.parametrize(
+    ("name", "key"), [("op2_substring_dedup", "doc_id"), ("op6_embedding_dedup", "vec_id"), ("op8_chat_formatting", "conv_id")]
+)
+def test_sql(spark, name, key):
+    got = registry.queries()[name](spark, SMALL).toPandas().sort_values(key, ignore_index=True)
     con = duckdb.connect()
-    con.execute(f"create view conversations as select * from '{SMALL}/conversations.parquet'")
-    wanted = con.execute(registry.OP8_SQL).df().sort_values("conv_id", ignore_index=True)
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
+    wanted = con.execute(registry.oracle_sql()[name]).df().sort_values(key, ignore_index=True)
     pd.testing.assert_frame_equal(got, wanted[got.columns])
 
 

@@ -67,6 +67,58 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Every window as text, kept where it comes first; no index.
+OP2_SQL = r"""
+with split as (
+    select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents
+),
+words as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as place from split),
+windows as (
+    select doc_id, place as start, count(*) over ahead as size, string_agg(word, ' ') over ahead as told
+    from words
+    window ahead as (partition by doc_id order by place rows between current row and 19 following)
+),
+later as (
+    select doc_id, start from (
+        select doc_id, start, row_number() over (partition by told order by doc_id, start) as place
+        from windows where size = 20)
+    where place > 1
+),
+gone as (select distinct doc_id, start + step as place from later, unnest(range(20)) as steps(step)),
+told as (
+    select w.doc_id, count(*) as n_words, count(g.place) as n_removed,
+        coalesce(string_agg(w.word, ' ' order by w.place) filter (g.place is null), '') as kept
+    from words w left join gone g on g.doc_id = w.doc_id and g.place = w.place
+    group by w.doc_id
+)
+select s.doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from split s left join told t on t.doc_id = s.doc_id
+"""
+
+#: All pairs; the operator looks at those that share a cell.
+OP6_SQL = """
+with recursive sound as (
+    select vec_id, embedding::double[] as v from embeddings
+    where embedding is not null and vec_id is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link as (
+    select a.vec_id as a, b.vec_id as b from sound a join sound b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reach as (
+    select vec_id as a, vec_id as b from embeddings
+    union
+    select reach.a, link.b from reach join link on link.a = reach.b
+),
+degree as (select a, count(*) as n from link group by a),
+lowest as (select a, min(b) as low from reach group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, low as component_id, low = vec_id as kept
+from embeddings join lowest on lowest.a = vec_id left join degree on degree.a = vec_id
+"""
+
 #: Openings are compared as text here, turn by turn, where the operator compares hashes.
 OP8_SQL = """
 with turns as (
@@ -114,5 +166,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op8_chat_formatting": OP8_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    found = {"op2_substring_dedup": OP2_SQL, "op6_embedding_dedup": OP6_SQL, "op8_chat_formatting": OP8_SQL}
+    found |= {"pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: sql for name, sql in found.items() if sql}
