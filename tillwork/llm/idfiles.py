@@ -40,49 +40,59 @@ END_ID = 0
 #: Ids after which a task closes a file and opens the next one.
 IDS_PER_FILE = 4_000_000
 #: Segments of text whose ids a Python worker keeps; the half that is older goes when there are more.
-KEPT_SEGMENTS = 800_000
+KEPT_SEGMENTS = 500_000
 LONGEST_KEPT = 64
+#: New words that go to the library as one text.
+JOINED = 400
 ID = np.dtype("<u4")
 
 # The characters with the Unicode property White_Space.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SEGMENTS = 800_000
 LONGEST_KEPT = 64
+#: New words that go to the library as one text.
+JOINED = 400
 ID = np.dtype("<u4")
 
 # The characters with the Unicode property White_Space.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_SEGMENT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
+# Latin letters before white space or one of these marks end a word for the tokenizer; an apostrophe may not.
+_LETTER, _MARK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f", r"""!"#$%&()*,./:;?@|-"""
+_SEGMENT = re.compile(f"[{_WHITE}]*+[{_LETTER}]++(?=[{_WHITE}{re.escape(_MARK)}]|\\Z)|[{_WHITE}]*+[^{_WHITE}]++|[{_WHITE}]++")
 
 
 # -- blocks ---------------------------------------------------------------------------------------------
 
 
+def _widths(rest: np.ndarray) -> np.ndarray:
+    """The bits that each number needs."""
+    return np.frexp(rest.astype(np.float64))[1].astype(np.uint8)
+
+
 def pack_block(ids: np.ndarray) -> bytes:
     """One block: minimum, bit-packed low parts, and the exceptions."""
     low = int(ids.min())
-    rest = (ids - low).astype(np.uint32)
-    needed = np.zeros(len(rest), np.uint8)
-    some = rest > 0
-    needed[some] = np.floor(np.log2(rest[some].astype(np.float64))).astype(np.uint8) + 1
-    width = int(np.sort(needed)[max(0, int(np.ceil(len(rest) * PERCENTILE)) - 1)])
+    rest = (ids - np.uint32(low)).astype("<u4")
+    needed = _widths(rest)
+    enough = np.cumsum(np.bincount(needed, minlength=33)) >= len(rest) * PERCENTILE
+    width = int(np.argmax(enough))
     places = np.flatnonzero(needed > width).astype("<u2")
     high = (rest[places].astype(np.uint64) >> np.uint64(width)).astype("<u4")
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    packed = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    cell = "<u2" if width <= 16 else "<u4"
+    bits = np.unpackbits(rest.astype(cell).view(np.uint8).reshape(len(rest), -1), axis=1, bitorder="little")
+    packed = np.packbits(bits[:, :width], bitorder="little").tobytes()
     head = BLOCK_HEAD.pack(low, len(rest), width, 0, len(places))
-    return head + packed + b"\0" * (-len(packed) % 8) + places.tobytes() + high.tobytes()
+    return b"".join([head, packed, b"\0" * (-len(packed) % 8), places.tobytes(), high.tobytes()])
 
 
 def unpack_block(data: memoryview) -> np.ndarray:
     low, count, width, _, exceptions = BLOCK_HEAD.unpack_from(data)
     at, size = BLOCK_HEAD.size, (count * width + 7) // 8
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=count * width, bitorder="little")
-        weights = np.uint32(1) << np.arange(width, dtype=np.uint32)
-        rest = bits.reshape(count, width).astype(np.uint32) @ weights
-    else:
-        rest = np.zeros(count, np.uint32)
+    cell = "<u2" if width <= 16 else "<u4"
+    bits = np.zeros((count, 8 * np.dtype(cell).itemsize), np.uint8)
+    packed = np.frombuffer(data, np.uint8, size, at)
+    bits[:, :width] = np.unpackbits(packed, count=count * width, bitorder="little").reshape(count, width)
+    rest = np.packbits(bits, bitorder="little").view(cell).astype(np.uint32)
     at += size + -size % 8
     places = np.frombuffer(data, "<u2", exceptions, at)
     high = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
@@ -146,12 +156,17 @@ def unpack_file(data: memoryview) -> Iterator[tuple[int, int, np.ndarray]]:
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them.
 
-    A byte-level tokenizer splits text before it merges, and never within white space that ends a word, so the
-    ids of a text are those of its words with the white space before them.  Words met before need no second call.
+    A byte-level tokenizer splits text before it merges: always where white space follows something else, and where
+    marks other than an apostrophe follow a letter.  So the ids of a text are those of its words, with the
+    white space before them, one after another.  Words met before need no second call.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
+        # a byte-level token is spelled with one character a byte; added tokens are not joined with others
+        self.byte_count = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.byte_count[i] = len(token)
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -164,11 +179,23 @@ class Encoder:
                 missing.append(segment)
             else:
                 self.newer[segment] = known
-        for i in range(0, len(missing), 2000):
-            part = missing[i : i + 2000]
-            encoded = self.library.encode_batch_fast(part, add_special_tokens=False)
-            for segment, e in zip(part, encoded, strict=True):
-                self.newer[segment] = np.array(e.ids, ID).tobytes()
+        joined = [s for s in missing if s[0] == " " and s[-1].isalpha()]
+        for i in range(0, len(joined), JOINED):
+            self._together(joined[i : i + JOINED])
+        alone = [s for s in missing if s not in self.newer]
+        for segment, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.newer[segment] = np.array(e.ids, ID).tobytes()
+
+    def _together(self, segments: list[str]) -> None:
+        """Encode words that a space opens as one text, and cut its ids where the words' bytes end."""
+        encoded = self.library.encode_batch_fast(["".join(segments)], add_special_tokens=False)
+        ids = np.array(encoded[0].ids, ID)
+        ends = np.cumsum([len(s.encode()) for s in segments])
+        cuts = np.searchsorted(np.cumsum(self.byte_count[ids]), ends) + 1
+        if self.byte_count[ids].sum() == ends[-1]:
+            spelled, size = ids.tobytes(), ID.itemsize
+            for segment, start, end in zip(segments, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+                self.newer[segment] = spelled[start * size : end * size]
 
     def encode(self, some: list[str | None]) -> list[bytes]:
         """Ids of each text, then the end id, as little-endian unsigned 32-bit integers."""
