@@ -203,11 +203,13 @@ class Encoder:
             self.older, self.newer = self.newer, {}
         end = np.array([END_ID], ID).tobytes()
         split = [_SEGMENT.findall(text) if text else [] for text in some]
-        self._kept({s for segments in split for s in segments if s not in self.newer})
+        new = set().union(*split).difference(self.newer)
+        self._kept(new)
         get = self.newer.__getitem__
         found = [b"".join(map(get, segments)) + end for segments in split]
-        for segment in {s for segments in split for s in segments if len(s) > LONGEST_KEPT}:
-            del self.newer[segment]
+        for segment in new:
+            if len(segment) > LONGEST_KEPT:
+                del self.newer[segment]
         return found
 
 
@@ -304,15 +306,15 @@ def _rows(out: list[tuple[int, int, np.ndarray]], first: int) -> pa.RecordBatch:
         [
             pa.array([d for d, _, _ in out], pa.int64()),
             pa.array([first + s for _, s, _ in out], pa.int64()),
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int64), pa.int64())),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view("<i4"), pa.int32())),
         ],
         ["doc_id", "start", "ids"],
     )
 
 
 def read_back(spark: SparkSession, folder: str, files: list[tuple[str, int]]) -> DataFrame:
-    """One row per document of the files: doc_id, start (ids of all documents before it), ids (array<long>, the end id included)."""
-    kind = "doc_id long, start long, ids array<long>"
+    """One row per document of the files: doc_id, start (ids of all documents before it), ids (array<int>, the end id included)."""
+    kind = "doc_id long, start long, ids array<int>"
     if not files:
         return spark.createDataFrame([], kind)
     names = spark.createDataFrame(files, "file string, first long").repartition(len(files))
@@ -320,13 +322,13 @@ def read_back(spark: SparkSession, folder: str, files: list[tuple[str, int]]) ->
 
 
 def crc32(ids: Iterable[np.ndarray]) -> list[int]:
-    return [zlib.crc32(x.astype(ID).tobytes()) for x in ids]
+    return [zlib.crc32(np.ascontiguousarray(x, ID)) for x in ids]
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column(2)
-        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        flat, ends = lists.values.to_numpy().view(ID), lists.offsets.to_numpy()
         sums = crc32(flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
         counts = pa.array(np.diff(ends).astype(np.int64), pa.int64())
         columns = [batch.column(0), batch.column(1), counts, pa.array(sums, pa.int64())]
