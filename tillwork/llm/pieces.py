@@ -27,19 +27,47 @@ from tillwork.llm.shared import documents, pick, ready, texts
 #: Words whose ids a Python worker keeps; the half that is older goes when there are more.
 KEPT_WORDS = 800_000
 LONGEST_KEPT = 64
+#: Pairs of tokens whose compatibility a Python worker keeps.
+KEPT_PAIRS = 1_000_000
 SPACE = "▁"
 HIDDEN = "\udc00"
 ID = np.dtype("<i4")
 
 
-class MergeModel:
-    """Pieces, ranks and the compatibility of neighbours in one merge-type model with byte fallback."""
+class Pieces:
+    """The pieces of a model, and the text that ids stand for."""
 
     def __init__(self, model_file: str):
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.pieces = [lib.id_to_piece(i) for i in range(lib.get_piece_size())]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if lib.is_byte(i)}
-        hidden = {i for i in range(len(self.pieces)) if lib.is_control(i) or lib.is_unused(i) or lib.is_unknown(i)}
+        self.hidden = hidden = {i for i in range(len(self.pieces)) if lib.is_control(i) or lib.is_unused(i) or lib.is_unknown(i)}
+        # bytes over 127 and control ids stand as lone surrogates until their neighbours are known
+        self.shown = [HIDDEN if i in hidden else p.replace(SPACE, " ") for i, p in enumerate(self.pieces)]
+        self.shown[lib.unk_id()] = " \u2047 "
+        for b, i in self.bytes.items():
+            self.shown[i] = bytes([b]).decode("utf-8", "surrogateescape")
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids: pieces joined, without one space before all; bytes that are not UTF-8 become U+FFFD each."""
+        text = "".join(map(self.shown.__getitem__, ids))
+        if not text.isascii():
+            try:
+                text.encode()
+            except UnicodeEncodeError:
+                parts = [p.encode("utf-8", "surrogateescape") for p in text.split(HIDDEN)]
+                text = "".join(p.decode("utf-8", "surrogateescape") for p in parts)
+                text = re.sub("[\udc80-\udcff]", "\ufffd", text)
+        first = next((i for i in ids if self.shown[i] != HIDDEN), None)
+        return text[1:] if first is not None and self.pieces[first].startswith(SPACE) else text
+
+
+class MergeModel(Pieces):
+    """Ranks and the compatibility of neighbours in one merge-type model with byte fallback."""
+
+    def __init__(self, model_file: str):
+        super().__init__(model_file)
+        lib, hidden = self.library, self.hidden
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in hidden and not lib.is_byte(i)}
         inner = [p for p in self.ids if SPACE in p.lstrip(SPACE) or re.match(f"{SPACE}{SPACE}+[^{SPACE}]", p)]
         if len(self.bytes) != 256 or inner:
@@ -58,11 +86,6 @@ class MergeModel:
         self.lines_apart = "\n" not in self.ids and not any("\n" in p for p in self.ids)
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        # bytes over 127 and control ids stand as lone surrogates until their neighbours are known
-        self.shown = [HIDDEN if i in hidden else p.replace(SPACE, " ") for i, p in enumerate(self.pieces)]
-        self.shown[lib.unk_id()] = " \u2047 "
-        for b, i in self.bytes.items():
-            self.shown[i] = bytes([b]).decode("utf-8", "surrogateescape")
 
     def _merged(self, parts: list[str]) -> list[str]:
         """Join the best ranked neighbours, leftmost first, until none makes a piece (for short strings)."""
@@ -83,6 +106,8 @@ class MergeModel:
             a, b = self.pieces[left], self.pieces[right]
             ranked_alike = a.endswith(SPACE) and b.startswith(SPACE)  # runs of spaces share one rank
             known = self._merged(list(a + b)) == [a, b] if ranked_alike else self._meets(a, b)
+            if len(self._apart) >= KEPT_PAIRS:
+                self._apart.clear()
             self._apart[left << 24 | right] = known
         return known
 
@@ -160,28 +185,16 @@ class MergeModel:
             parts += [newer(word) or slow(word) for word in words]
         return b"".join(parts)
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids: pieces joined, without one space before all; bytes that are not UTF-8 become U+FFFD each."""
-        text = "".join(map(self.shown.__getitem__, ids))
-        if not text.isascii():
-            try:
-                text.encode()
-            except UnicodeEncodeError:
-                parts = [p.encode("utf-8", "surrogateescape") for p in text.split(HIDDEN)]
-                text = "".join(p.decode("utf-8", "surrogateescape") for p in parts)
-                text = re.sub("[\udc80-\udcff]", "\ufffd", text)
-        first = next((i for i in ids if self.shown[i] != HIDDEN), None)
-        return text[1:] if first is not None and self.pieces[first].startswith(SPACE) else text
-
 
-_models: dict[str, MergeModel] = {}
+_models: dict[tuple[str, type], Pieces] = {}
 
 
-def model_at(model_file: str) -> MergeModel:
-    """The model, read once in each Python worker."""
-    if model_file not in _models:
-        _models[model_file] = MergeModel(model_file)
-    return _models[model_file]
+def model_at(model_file: str, kind: type = MergeModel) -> Pieces:
+    """The model, read once in each Python worker; those that only decode need no automaton."""
+    key = (model_file, kind)
+    if key not in _models:
+        _models[key] = kind(model_file)
+    return _models[key]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
@@ -195,7 +208,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
-    model = model_at(model_file)
+    model = model_at(model_file, Pieces)
     for batch in batches:
         lists = batch.column(1).to_pylist()
         text = pa.array([None if ids is None else model.decode(ids) for ids in lists], pa.string())
