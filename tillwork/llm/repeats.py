@@ -63,13 +63,21 @@ def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple
     return at + np.arange(len(at)), rolled
 
 
-def runs(at: np.ndarray, single: set[int] | frozenset[int] = frozenset()) -> list[tuple[int, int]]:
+def flags(places: list[int] | None, size: int) -> np.ndarray:
+    """A mark at each of some places; places beyond the end belong to another text under the same id."""
+    marked = np.zeros(size, bool)
+    if places:
+        told = np.array(places, np.int64)
+        marked[told[told < size]] = True
+    return marked
+
+
+def runs(at: np.ndarray, single: np.ndarray) -> list[tuple[int, int]]:
     """First and last window of each run whose anchor is not single."""
-    if not len(at):
-        return []
-    first = np.flatnonzero(np.append(True, np.diff(at) != 0))
+    first = np.flatnonzero(np.append(True, np.diff(at) != 0)) if len(at) else np.zeros(0, np.int64)
     last = np.append(first[1:], len(at)) - 1
-    return [(a, b) for a, b, p in zip(first.tolist(), last.tolist(), at[first].tolist(), strict=True) if p not in single]
+    kept = ~single[at[first]]
+    return list(zip(first[kept].tolist(), last[kept].tolist(), strict=True))
 
 
 def _longs(values, signed: bool = True) -> pa.Array:
@@ -106,7 +114,7 @@ def _run_hashes(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> It
             words = words_of(text)
             at, rolled = anchors(words, window, gram)
             seen = set()
-            for a, b in runs(at, set(single or ())):
+            for a, b in runs(at, flags(single, len(rolled))):
                 digest = xxhash.xxh3_128_digest(b" ".join(words[a : b + window]))
                 if digest not in seen:
                     seen.add(digest)
@@ -121,32 +129,27 @@ def _run_hashes(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> It
         )
 
 
-def _first_runs(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """The words of the first runs; those of crowded anchors window by window."""
+def _first_runs(batches: Iterator[pa.RecordBatch], window: int, gram: int, cut: bool) -> Iterator[pa.RecordBatch]:
+    """The words of the first runs, whole or window by window."""
     for batch in batches:
-        keys, ids, starts, told, cut = [], [], [], [], []
+        keys, ids, starts, told = [], [], [], []
         for doc_id, text, first in _columns(batch, "doc_id", "text", "first"):
             words = words_of(text)
             at, rolled = anchors(words, window, gram)
-            last = dict(runs(at))
-            for run in first or ():
-                a, crowded = run["start"], run["crowded"]
+            last = dict(runs(at, flags(None, len(rolled))))
+            for a in first:
                 if a not in last:  # a place of another text under the same id
                     continue
-                spans = [(w, w + window) for w in range(a, last[a] + 1)] if crowded else [(a, last[a] + window)]
+                spans = [(w, w + window) for w in range(a, last[a] + 1)] if cut else [(a, last[a] + window)]
                 for x, y in spans:
                     keys.append(rolled[at[a]])
                     ids.append(doc_id)
                     starts.append(x)
                     told.append(b" ".join(words[x:y]).decode())
-                    cut.append(crowded)
         yield pa.RecordBatch.from_arrays(
-            [
-                _longs(np.array(keys, np.uint64), False), _longs(ids), _longs(starts),
-                pa.array(told, pa.string()), pa.array(cut, pa.bool_()),
-            ],
-            ["shard", "doc_id", "start", "words", "crowded"],
-        )
+            [_longs(np.array(keys, np.uint64), False), _longs(ids), _longs(starts), pa.array(told, pa.string())],
+            ["shard", "doc_id", "start", "words"],
+        )
 
 
 def _searched(rows: list[tuple[int, int, str]], window: int) -> pa.RecordBatch:
@@ -186,14 +189,17 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator
         out = []
         for doc_id, text, single, firsts in _columns(batch, "doc_id", "text", "single", "firsts"):
             words = words_of(text)
-            at, _ = anchors(words, window, gram)
-            own = {f["start"] + i for f in firsts or () for i in range(f["mask"].bit_length()) if f["mask"] >> i & 1}
+            at, rolled = anchors(words, window, gram)
+            own = np.zeros(len(at) + window, bool)
+            if firsts:
+                starts, masks = (np.array([f[c] for f in firsts], np.int64) for c in ("start", "mask"))
+                starts, masks = starts[starts < len(at)], masks[starts < len(at)]
+                for i in range(window - gram + 1):
+                    own[starts[masks >> i & 1 > 0] + i] = True
+            repeated = np.flatnonzero(~flags(single, len(rolled))[at] & ~own[: len(at)])
             edges = np.zeros(len(words) + 1, np.int64)
-            for a, b in runs(at, set(single or ())):
-                for w in range(a, b + 1):
-                    if w not in own:
-                        edges[w] += 1
-                        edges[w + window] -= 1
+            edges[repeated] += 1
+            edges[repeated + window] -= 1
             gone = np.cumsum(edges[:-1]) > 0 if len(words) else np.zeros(0, bool)
             turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             spans = [{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2], strict=True)]
@@ -233,18 +239,21 @@ def remove_repeats(
     marked = told.join(single, "doc_id", "left")
 
     hashed = marked.mapInArrow(partial(_run_hashes, **sizes), "anchor long, h1 long, h2 long, doc_id long, start long")
-    distinct = hashed.groupBy("h1", "h2").agg(
-        F.min("anchor").alias("anchor"), F.min("doc_id").alias("doc_id"), F.min_by("start", "doc_id").alias("start")
-    )
-    crowded = distinct.groupBy("anchor").count().where(F.col("count") > GROUP_RUNS)
-    noted = distinct.join(crowded, "anchor", "left").select("doc_id", "start", F.col("count").isNotNull().alias("crowded"))
-    first = noted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "crowded")).alias("first"))
-
-    kind = "shard long, doc_id long, start long, words string, crowded boolean"
-    text = told.join(first, "doc_id").mapInArrow(partial(_first_runs, **sizes), kind)
-    cut = text.where("crowded").groupBy("words").agg(F.min(F.struct("doc_id", "start")).alias("at"))
+    # as one struct, so that every use below reads the same columns, and hence the same shuffle
+    firsts_of = hashed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start", "anchor")).alias("at"))
+    distinct = firsts_of.select("at.anchor", "at.doc_id", "at.start")
+    crowded = distinct.groupBy("anchor").count().where(F.col("count") > GROUP_RUNS).withColumnRenamed("count", "crowd")
+    noted = distinct.join(crowded, "anchor", "left")
+
+    def words_at(places: DataFrame, cut: bool) -> DataFrame:
+        first = places.groupBy("doc_id").agg(F.collect_list("start").alias("first"))
+        read = partial(_first_runs, cut=cut, **sizes)
+        return told.join(first, "doc_id").mapInArrow(read, "shard long, doc_id long, start long, words string")
+
+    cut = words_at(noted.where("crowd is not null"), cut=True)
+    cut = cut.groupBy("words").agg(F.min(F.struct("doc_id", "start")).alias("at"))
     cut = cut.select(F.xxhash64("words").alias("shard"), "at.doc_id", "at.start", "words")
-    dealt = text.where("not crowded").select("shard", "doc_id", "start", "words").unionByName(cut)
+    dealt = words_at(noted.where("crowd is null"), cut=False).unionByName(cut)
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "start")
     found = dealt.mapInArrow(partial(_shards, window=window), "doc_id long, start long, mask long")
     firsts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("firsts"))
