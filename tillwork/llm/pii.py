@@ -53,7 +53,8 @@ CANDIDATE = re.compile(
     """,
     re.VERBOSE | re.ASCII,
 )
-_ANY = re.compile(r"[0-9@]")
+#: Holds wherever CANDIDATE can match: all kinds but the credential need a digit or an "@".
+_ANY = re.compile(r"[0-9@]|password=|A[KS]IA")
 
 FOUND = pa.struct(
     [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("pseudonym", pa.string())]
