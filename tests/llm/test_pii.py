@@ -68,6 +68,29 @@ def test_spacing_does_not_break_links():
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b)
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "+33 6 12 34 56 78", "+33.6.12.34.56.78", "+61 2 9374 4000", "+61-2-9374-4000", "+61 (2) 9374 4000", "+353 1 234 5678",
+        "+36 1 234 5678", "+55 11 9 1234-5678", "+49 89 12345-0", "+45 1 2 3 4 5 6 7 8", "+7 495 123 45 67", "+972 3-123-4567",
+    ],
+)
+def test_phones_however_spaced(value):
+    plain = "+" + re.sub(r"\D", "", value)
+    (spaced, found), (joined, found_too) = (pii.replace(f"call {x}.", KEY) for x in (value, plain))
+    assert [f["kind"] for f in found + found_too] == ["phone", "phone"]
+    assert "+" + re.sub(r"\D", "", spaced) == joined[5:-1] != plain
+    assert re.sub(r"\d", "0", spaced) == re.sub(r"\d", "0", f"call {value}.")
+
+
+def test_phones_and_neighbours():
+    plain = pii.replace("+44 20 7946 0958", KEY)[0]
+    for after in (" 5 items", ", 12 items", " 4465 7583 8288 94371"):
+        assert pii.replace("+44 20 7946 0958" + after, KEY)[0].startswith(plain + after[:3])
+    for text in ("+1 2 3 4", "+5 10 15", "+123 456 7"):
+        assert pii.replace(text, KEY) == (text, [])
+
+
 def test_password_and_neighbours():
     text, found = pii.replace("password=b7db7aa4 4465758382889437 4465758382889437", KEY)
     assert [f["kind"] for f in found] == ["credential", "card", "card"]

@@ -33,14 +33,19 @@ MONTHS = (
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
 
+#: The country codes of one and of two digits; all others have three.  Told by the digits, not by the spacing.
+_COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
 _MONTH = "|".join(f"{name}|{name[:3]}" for name in MONTHS)
-#: What may be personal data; the kinds are tried in this order at each place.
+#: What may be personal data; the kinds are tried in this order at each place.  International telephone numbers
+#: have groups of any size; a single digit after a space ends one only if it would be too short without.
 CANDIDATE = re.compile(
     rf"""
     (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}@[A-Za-z0-9-]{{1,63}}(?:\.[A-Za-z0-9-]{{1,63}}){{1,8}})
   | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?:[ ][A-Z0-9]{{4}}){{2,7}}(?:[ ][A-Z0-9]{{1,3}})?)\b)
   | (?P<phone>\+1[ .-]?\(?\d{{3}}\)?[ .-]?\d{{3}}[ .-]?\d{{4}}(?!\d)
-      | \+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]?\d{{2,4}}){{1,4}}(?!\d)
+      | \+\d(?:[ .-]?\d){{7,14}}(?<![ ]\d)(?!\d) | \+\d(?:[ .-]?\d){{7,14}}(?!\d)
+      | \+\d{{1,3}}[ .-]?\(\d{{1,4}}\)[ .-]?\d(?:[ .-]?\d){{3,10}}(?<![ ]\d)(?!\d)
       | (?<!\d)\(\d{{3}}\)[ ]?\d{{3}}[ .-]\d{{4}}(?!\d) | (?<![\d-])\d{{3}}-\d{{3}}-\d{{4}}(?![\d-]))
   | (?P<credential>\bA[KS]IA[A-Z0-9]{{16}}\b|(?<=password=)[A-Za-z0-9]{{6,128}}(?![A-Za-z0-9]))
   | (?P<secret>(?<![0-9A-Za-z])(?:(?=[0-9a-f]*\d)[0-9a-f]{{24,128}}|(?=[0-9A-F]*\d)[0-9A-F]{{24,128}})(?![0-9A-Za-z]))
@@ -144,8 +149,7 @@ def _phone(found: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", found)
     if not 8 <= len(digits) <= 15:
         return None
-    country = re.match(r"\+(\d{1,3})(?!\d)|\+(1|7|\d\d)|", found)
-    kept = country[1] or country[2] or ""
+    kept = _COUNTRY.match(digits)[0] if found[0] == "+" else ""
     rest = len(digits) - len(kept)
     value = permute(int(digits[len(kept) :]), 10**rest, key, f"phone:{kept or '1'}:{rest}")
     return _respaced(found, kept + str(value).zfill(rest))
