@@ -61,6 +61,42 @@ def test_turns_of_one_number(spark):
     assert [(r["conv_id"], r["n_turns"], r["n_copies"]) for r in got] == [(1, 3, 2)]
 
 
+def test_one_conversation_in_many_chunks(spark):
+    long = [(1, None, None, "n"), *[(1, i, "user" if i % 2 else None, f"t{i % 7}") for i in range(400)]]
+    rows = [*long, *long[::3], *[(2, *t) for _, *t in long[:350]], *[(3, *t) for _, *t in long], *[(i, 0, "user", "a") for i in range(4, 60)]]
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name, value in zip(names, ("16", "false"), strict=True):
+            spark.conf.set(name, value)
+        told = chats._turns(made(spark, rows), "conv_id", "turn", "role", "text")
+        first = chats.placed(told).where("conv_id = 1").collect()
+        got = chats.format_chats(made(spark, rows)).collect()
+        turns = chats.format_turns(made(spark, rows)).where("conv_id = 1").orderBy("place").collect()
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert sorted(r["place"] for r in first) == list(range(1, 402))
+    sizes = [sum(r["chunk"] == c for r in first) for c in {r["chunk"] for r in first}]
+    assert len(sizes) > 2
+    assert max(sizes) < 200
+    assert {r["conv_id"]: (r["n_turns"], r["n_copies"]) for r in got} == plain(rows)
+    (whole,) = [r["rendered"] for r in got if r["conv_id"] == 1]
+    assert whole == "\n".join(f"<|{r or 'unknown'}|>\n{t}<|end|>" for _, _, r, t in long)
+    assert [r["place"] for r in turns] == list(range(1, 402))
+    assert "\n".join(r["rendered"] for r in turns) == whole
+
+
+def test_repeats_are_combined_before_the_shuffle(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(chats, "stored", lambda df, name: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    told = chats._turns(made(spark, conversation(1, "a", "b")), "conv_id", "turn", "role", "text")
+    seen.append(chats.render_turns(told, chats.placed(told))._jdf.queryExecution().executedPlan().toString())
+    for plan in (seen[0], seen[-1]):
+        below = plan[plan.rindex("Exchange") :]
+        assert "Aggregate" in below
+
+
 def test_nothing(spark):
     assert chats.format_chats(made(spark, [])).count() == 0
 
