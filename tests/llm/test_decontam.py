@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import random
+import weakref
 
 import numpy as np
 import pytest
@@ -96,3 +98,25 @@ def test_rows_and_blocks(spark, monkeypatch):
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
     assert decontam.remove_leaking(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_one_index_at_a_time(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, prose(800 + i, 20)) for i in range(12)], "item_id long, text string")
+    docs = documents(spark, [(100 + i, f"{prose(700 + i, 25)} {prose(800 + i, 20)} tail") for i in range(6)])
+    made, alive = [], []
+
+    def counted(*told):
+        gc.collect()
+        alive.append(sum(ref() is not None for ref in made))
+        index = index_of(*told)
+        if index is not None:
+            made.append(weakref.ref(index))
+        return index
+
+    index_of = decontam.index_of
+    monkeypatch.setattr(decontam, "index_of", counted)
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 300)
+    for told in (decontam.find_leaks(docs, bench), decontam.remove_leaking(docs, bench)):
+        assert "MapInArrow" not in told._jdf.queryExecution().toString()
+    assert len(made) > 4
+    assert max(alive) == 0

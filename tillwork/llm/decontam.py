@@ -5,23 +5,24 @@ If some region of a document is within ``k`` edits of a benchmark item of ``m``
 the item).  Shared q-grams are counted in bands of ``2 (k + 1)`` diagonals that overlap by half, so one band holds all of
 a region's; bands that reach the bound are aligned, and what stays within ``k`` edits is a leak.
 
-Texts are compared in lower case, with every run of other characters than letters and digits as one space.  Documents
-are never shuffled: the items go to the tasks, in blocks of bounded size, and each block is one pass over what the one
-before it has read.
+Texts are compared in lower case, with every run of other characters than letters and digits as one space.  The items
+go to the tasks, in blocks of bounded size.  Of several blocks, each is one pass over the documents whose leaks are
+written before the next index is made, so the driver and a task hold one index; documents are shuffled only then,
+once, to remove those that leak.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.shared import kind_of, numbered, pick, ready
+from tillwork.llm.shared import kind_of, numbered, pick, ready, stored
 
 Q = 8
 #: Edits allowed, as a share of an item's characters.
@@ -244,21 +245,28 @@ def _scanned(batches: Iterator[pa.RecordBatch], index: Index, text: int, spans:
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
 
-def _with_spans(rows: DataFrame, text: str, benchmark: DataFrame, item_col: str, item_text_col: str, q: int, error: float) -> DataFrame:
-    """``rows`` (names all different) and a last column ``spans``."""
+def _passes(
+    rows: DataFrame, text: str, benchmark: DataFrame, item_col: str, item_text_col: str, q: int, error: float
+) -> list[Callable[[], DataFrame]]:
+    """For each block of items, what makes ``rows`` (names all different) and a last column ``spans`` with its leaks.
+
+    An index lives as long as the result of its pass; a pass whose result is written before the next is made is alone.
+    """
     ready(rows.sparkSession)
     items = pick(benchmark, item_id=item_col, text=item_text_col).where("text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-chars // BLOCK_CHARS)
+    blocks = max(1, -(-chars // BLOCK_CHARS))
     told = rows.withColumn("spans", F.expr(f"cast(array() as {SPANS})"))
-    kind = kind_of(told)
-    for block in range(blocks):
+
+    def searched(block: int) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = index_of([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], q, error)
-        if index is not None:
-            scan = partial(_scanned, index=index, text=told.columns.index(text), spans=len(told.columns) - 1)
-            told = told.mapInArrow(scan, kind)
-    return told
+        if index is None:
+            return told
+        scan = partial(_scanned, index=index, text=told.columns.index(text), spans=len(told.columns) - 1)
+        return told.mapInArrow(scan, kind_of(told))
+
+    return [partial(searched, block) for block in range(blocks)]
 
 
 def find_leaks(
@@ -278,8 +286,10 @@ def find_leaks(
     have fewer than ``q`` letters, digits and spaces between them are too short to be searched; of overlapping regions of one item the best stays.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
-    told = _with_spans(rows, "text", benchmark, item_col, item_text_col, q, error)
-    return told.select("doc_id", F.inline("spans"))
+    passes = _passes(rows, "text", benchmark, item_col, item_text_col, q, error)
+    if len(passes) == 1:
+        return passes[0]().select("doc_id", F.inline("spans"))
+    return reduce(DataFrame.unionAll, [stored(searched().select("doc_id", F.inline("spans")), "leaks") for searched in passes])
 
 
 def remove_leaking(
@@ -295,5 +305,11 @@ def remove_leaking(
     """The rows of ``docs`` whose text holds no leak, with all their columns."""
     flat = numbered(docs)
     text = f"c{docs.columns.index(text_col)}"
-    told = _with_spans(flat, text, benchmark, item_col, item_text_col, q, error)
-    return told.where(F.size("spans") == 0).drop("spans").toDF(*docs.columns)
+    passes = _passes(flat, text, benchmark, item_col, item_text_col, q, error)
+    if len(passes) == 1:
+        return passes[0]().where(F.size("spans") == 0).drop("spans").toDF(*docs.columns)
+    # a row goes for its text alone, so the hash of the text stands for it
+    told = F.sha2(text, 256).alias("told")
+    leaking = [stored(searched().where(F.size("spans") > 0).select(told).distinct(), "leaking") for searched in passes]
+    kept = flat.select("*", told).join(reduce(DataFrame.unionAll, leaking).distinct(), "told", "left_anti")
+    return kept.select(*flat.columns).toDF(*docs.columns)
