@@ -120,3 +120,18 @@ def test_one_index_at_a_time(spark, monkeypatch):
         assert "MapInArrow" not in told._jdf.queryExecution().toString()
     assert len(made) > 4
     assert max(alive) == 0
+
+
+def test_items_without_an_id(spark):
+    items = [(None, prose(800, 20)), (None, prose(801, 20)), (0, prose(802, 20)), (None, prose(800, 20))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    text = " ".join(t for _, t in items[:3])
+    docs = documents(spark, [(1, text), (2, f"{prose(700, 25)} {prose(801, 20)}"), (3, prose(701, 40)), (None, prose(802, 20))])
+    got = decontam.find_leaks(docs, bench).collect()
+    assert sorted((str(r["doc_id"]), str(r["item_id"]), r["edits"]) for r in got) == [
+        ("1", "0", 0), ("1", "None", 0), ("1", "None", 0), ("2", "None", 0), ("None", "0", 0),
+    ]
+    assert [r["doc_id"] for r in decontam.remove_leaking(docs, bench).collect()] == [3]
+    # different items without an id that overlap are both told
+    index = decontam.index_of([(None, prose(800, 20)), (None, prose(800, 20) + " the")])
+    assert [s["item_id"] for s in decontam.leaks_of(prose(800, 20) + " the", index)] == [None, None]

@@ -81,7 +81,7 @@ class Index:
     """The q-grams of some items: sorted hashes, and the items and places that have each."""
 
     q: int
-    ids: np.ndarray
+    ids: list[int | None]
     items: list[np.ndarray]  # folded characters
     budget: np.ndarray  # edits allowed
     bound: np.ndarray  # shared q-grams needed
@@ -95,7 +95,7 @@ class Index:
 SIEVE_BITS = 22
 
 
-def index_of(items: list[tuple[int, str]], q: int = Q, error: float = ERROR) -> Index | None:
+def index_of(items: list[tuple[int | None, str]], q: int = Q, error: float = ERROR) -> Index | None:
     """The index of items of at least ``q`` characters; None without any.
 
     Items too short for a sure shared q-gram under the full budget get the largest budget that leaves one.
@@ -115,7 +115,7 @@ def index_of(items: list[tuple[int, str]], q: int = Q, error: float = ERROR) ->
     sieve = np.zeros(1 << SIEVE_BITS, bool)
     sieve[(hashes >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
     return Index(
-        q, np.array([i for i, _ in told]), [points for _, points in told], budget, lengths - q + 1 - budget * q, sieve,
+        q, [None if i is None else int(i) for i, _ in told], [points for _, points in told], budget, lengths - q + 1 - budget * q, sieve,
         hashes, np.append(first, len(flat)), item[order], place[order],
     )
 
@@ -212,7 +212,7 @@ def leaks_of(text: str | None, index: Index) -> list[dict]:
     if not text:
         return []
     points, places = fold(text)
-    found: dict[tuple[int, int], dict] = {}
+    found: dict[tuple[int | None, int | None, int], dict] = {}
     for item, band in zip(*_band_counts(points, index), strict=True):
         pattern, k = index.items[item], int(index.budget[item])
         low, high = int(band) * (k + 1) - k, (int(band) + 2) * (k + 1) + k
@@ -229,11 +229,13 @@ def leaks_of(text: str | None, index: Index) -> list[dict]:
             length = align(pattern[::-1], behind, -k, k, k, free_start=False)[1]
         start = begin + end - length
         last = begin + end - 1
-        span = {"item_id": int(index.ids[item]), "start": int(places[start]), "end": int(places[last]) + 1, "edits": edits}
-        key = (int(index.ids[item]), start // max(1, len(pattern) // 2))
+        item_id = index.ids[item]
+        span = {"item_id": item_id, "start": int(places[start]), "end": int(places[last]) + 1, "edits": edits}
+        # items without an id are told apart by their place in the index
+        key = (item_id, int(item) if item_id is None else None, start // max(1, len(pattern) // 2))
         if key not in found or edits < found[key]["edits"]:
             found[key] = span
-    return sorted(found.values(), key=lambda s: (s["start"], s["item_id"]))
+    return sorted(found.values(), key=lambda s: (s["start"], s["item_id"] is not None, s["item_id"] or 0))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], index: Index, text: int, spans: int) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,8 @@ def find_leaks(
 ) -> DataFrame:
     """One row per leak: doc_id, item_id, start and end (characters of the text), edits; documents without leaks have none.
 
-    Null and empty texts hold no leak; repeated rows of a document repeat its leaks; repeated items count once; items that
+    Null and empty texts hold no leak; repeated rows of a document repeat its leaks; repeated items count once; an item
+    without an id is searched like others and its leaks have a null ``item_id``; items that
     have fewer than ``q`` letters, digits and spaces between them are too short to be searched; of overlapping regions of one item the best stays.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
