@@ -61,3 +61,16 @@ def test_features():
     assert told["obfuscated_hits"] == 1
     assert told["spelt_out"] > 0
     assert told["repeated_marks"] > 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " ".join(["calm"] * 388 + ["LOUD"] * 12), "one AB", "A I", "iPHONE Iphone ABCd A1B AB_CD AB's",
+        "ÉÀ Éa É A漢 漢字 ǅX ΣΑΣ ß", "\U0001d418\U0001d40e\U0001d414 you",
+    ],
+)
+def test_capital_words_are_counted_in_any_text(text):
+    words = toxicity._WORD.findall(text)
+    told = dict(zip(toxicity.FEATURES, toxicity.features(text, {}), strict=True))
+    assert told["capital_words"] == sum(len(w) > 1 and w.isupper() for w in words) / len(words)

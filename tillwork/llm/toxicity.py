@@ -47,6 +47,8 @@ SECOND_PERSON = frozenset(
 LEET = str.maketrans("013457@$!", "oieastasi")
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Whole words of two letters or more without a to z: all that can be in capitals.
+_CAPITALS = re.compile(r"[^\W\d_a-z](?<![^\W\d_][^\W\d_])[^\W\d_a-z]++(?![^\W\d_])")
 _CODED = re.compile(r"[\w@$!*]*[0-9@$!*][\w@$!*]*")
 _SPELT = re.compile(r"(?:\b[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
 
@@ -118,7 +120,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         places = [i for i, w in enumerate(words) if w in SECOND_PERSON]
         near = sum(any(w in weights for w in words[max(0, i - NEAR) : i + NEAR + 1]) for i in places)
     upper = sum(map(str.isupper, text)) if lower != text else 0
-    capital_words = sum(1 for w in _WORD.findall(text) if len(w) > 1 and w.isupper()) if upper > n / 4 else 0
+    capital_words = sum(map(str.isupper, _CAPITALS.findall(text)))
     marks = length - sum(map(len, words)) - text.count(" ") - text.count("\n")
     coded = [w for w in _CODED.findall(lower) if any(c.isalpha() for c in w)] if marks else []
     decoded = [w.translate(LEET).strip("!*") for w in coded]
