@@ -15,6 +15,8 @@ from tillwork.llm.shared import ready, stored
 
 #: Documents whose language is less sure than this go, and those without a letter.
 LEAST_SCORE = 0.3
+#: Documents go whose share of learnt n-grams is below this part of the usual one: those in no learnt language, and noise.
+LEAST_KNOWN = 0.5
 
 #: SQL cannot express the stages; tests hold them against brute force.
 ORACLE_SQL = None
@@ -23,7 +25,7 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that are in one of the learnt languages, surely enough."""
     model = langid.fit(docs, held_out=1, folds=3)
-    return langid.keep_identified(docs, model, least_score=LEAST_SCORE)
+    return langid.keep_identified(docs, model, least_score=LEAST_SCORE, least_known=LEAST_KNOWN)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -80,3 +81,17 @@ def test_kept_rows_have_their_columns(spark, docs):
     kept = langid.keep_identified(clashing(docs), model, least_score=0.3)
     assert kept.columns == clashing(docs).columns
     assert {r[0] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - {900, 901, 902}
+
+
+@pytest.mark.parametrize("languages", [2, 3, 4])
+def test_the_pipeline_drops_unlearnt_languages(spark, languages):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(f"lang in {('en', 'de', 'es', 'fr')[:languages]}")
+    model = langid.fit(docs, held_out=1, folds=3)
+    gone = ["Η γρήγορη αλεπού πηδάει πάνω από το σκυλί", "敏捷的棕色狐狸跳过了懒狗", "Быстрая лиса прыгает", "สุนัขจิ้งจอกสีน้ำตาล", "xqzvkqqjwxzkjqvvz"]
+    stay = ["the house", "The land is on the other one.", "der Hund ist", "Und die Kinder."]
+    rows = documents(spark, list(enumerate(gone + stay)))
+    kept = langid.keep_identified(rows, model, least_score=corpus_pipeline.LEAST_SCORE, least_known=corpus_pipeline.LEAST_KNOWN)
+    assert {r["text"] for r in kept.collect()} == set(stay)
+    # clean texts of the table itself stay
+    whole = corpus_pipeline.language_id(spark, docs, "")
+    assert whole.count() == docs.where("text rlike '[a-zA-Z]'").count()

@@ -97,6 +97,16 @@ class Model:
     weights: np.ndarray  # slots x classes, inverse frequencies multiplied in
     bias: np.ndarray
     temperature: float = 1.0
+    learnt: np.ndarray | None = None  # whether a slot has a weight
+    usual: float = 1.0  # median share of learnt n-grams in the texts that fitted the temperature
+
+    def known(self, text: str | None) -> float:
+        """How far the n-grams of a text are learnt ones: their share, as a part of the usual share.
+
+        The scores compare the languages with each other and are sure of one in any text; this tells whether it is one of them.
+        """
+        found = slots(text)
+        return float(self.learnt[found].mean()) / self.usual if len(found) else 0.0
 
     def scores(self, text: str | None) -> np.ndarray | None:
         """Probabilities of the classes; None if the text has no letter."""
@@ -197,15 +207,18 @@ def _trained(sample: pa.Table, classes: list[str], inverse: np.ndarray) -> Model
     at, share = (sample[c].combine_chunks() for c in ("slots", "shares"))
     ends = at.offsets.to_numpy()
     flat, shares = at.values.to_numpy(), share.values.to_numpy().astype(float)
-    rows = []
+    rows, raw = [], []
     for i in order:
         found = flat[ends[i] : ends[i + 1]]
         if len(found):
-            rows.append((labels[i], found, shares[ends[i] : ends[i + 1]] * inverse[found]))
+            raw.append(shares[ends[i] : ends[i + 1]])
+            rows.append((labels[i], found, raw[-1] * inverse[found]))
     kept = rows[::5]
     weights, bias = train([r for i, r in enumerate(rows) if i % 5] or kept, len(classes))
-    model = Model(classes, (weights * inverse[:, None]).astype(np.float32), bias)
+    model = Model(classes, (weights * inverse[:, None]).astype(np.float32), bias, learnt=(weights != 0).any(axis=1))
     if kept:
+        shared = [share[model.learnt[at]].sum() for (_, at, _), share in zip(kept, raw[::5], strict=True)]
+        model.usual = float(np.median(shared)) or 1.0
         logits = np.stack([value @ weights[at] + bias for _, at, value in kept])
         model.temperature = fit_temperature(logits, np.array([label for label, _, _ in kept]))
     return model
@@ -247,15 +260,26 @@ def identify(docs: DataFrame, *, held_out: int = 1, folds: int = 3, **settings)
     return told.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
-def _identified(batches: Iterator[pa.RecordBatch], model: Model, text: int, least_score: float) -> Iterator[pa.RecordBatch]:
+def _identified(
+    batches: Iterator[pa.RecordBatch], model: Model, text: int, least_score: float, least_known: float
+) -> Iterator[pa.RecordBatch]:
+    def sure(t: str | None) -> bool:
+        p = model.scores(t) if model.classes else None
+        return p is not None and p.max() >= least_score and (not least_known or model.known(t) >= least_known)
+
     for batch in batches:
-        scored = (model.scores(t) if model.classes else None for t in batch.column(text).to_pylist())
-        yield batch.filter(pa.array([p is not None and p.max() >= least_score for p in scored], pa.bool_()))
+        yield batch.filter(pa.array([sure(t) for t in batch.column(text).to_pylist()], pa.bool_()))
+
 
+def keep_identified(
+    docs: DataFrame, model: Model, *, least_score: float, least_known: float = 0.0, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with this score at least; none that are ``und``.
 
-def keep_identified(docs: DataFrame, model: Model, *, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is known with this score at least; none that are ``und``."""
+    With ``least_known``, texts whose n-grams are learnt to a lesser part of the usual share go too, whatever their score.
+    """
     ready(docs.sparkSession)
     flat = numbered(docs)
-    chosen = partial(_identified, model=model, text=docs.columns.index(text_col), least_score=least_score)
+    bounds = {"least_score": least_score, "least_known": least_known}
+    chosen = partial(_identified, model=model, text=docs.columns.index(text_col), **bounds)
     return flat.mapInArrow(chosen, kind_of(flat)).toDF(*docs.columns)
