@@ -1,0 +1,157 @@
+"""Whitening, held against a dense eigendecomposition."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from tests.llm.helpers import clashing
+from tillwork.llm import registry, whitening
+
+KIND = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, components=4):
+    """n, exact deviations, eigenvalues, vectors and trace from the whole matrix."""
+    kept = [
+        (i, [math.floor(256 * float(np.float32(c))) for c in v])
+        for i, v in rows
+        if v and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    distinct = sorted({tuple(x) for _, x in kept})
+    n, sums = len(distinct), [sum(c) for c in zip(*distinct, strict=True)]
+    deviation = [sum((n * c - s) ** 2 for c, s in zip(x, sums, strict=True)) for _, x in kept]
+    mean = np.array(sums) / n
+    centred = np.array(distinct, float) - mean
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    k = min(components, len(sums))
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    return kept, n, deviation, mean, values, vectors, (centred**2).sum() / n
+
+
+def held(got, rows):
+    kept, n, deviation, mean, values, vectors, trace = plain(rows)
+    k = len(values)
+    got = got.sort_values(["vec_id", "component"], ignore_index=True)
+    order = sorted(range(len(kept)), key=lambda j: kept[j][0])
+    assert list(got.vec_id) == [kept[j][0] for j in order for _ in range(k)]
+    assert list(got.component) == list(range(1, k + 1)) * len(kept)
+    assert set(got.n) == {n}
+    assert [int(d) for d in got.deviation] == [deviation[j] for j in order for _ in range(k)]
+    white = got.whitened.to_numpy().reshape(len(kept), k)
+    wanted = (np.array([kept[j][1] for j in order], float) - mean) @ vectors / np.sqrt(values)
+    sign = np.sign((white * wanted).sum(axis=0))
+    np.testing.assert_allclose(white * sign, wanted, atol=1e-7)
+    np.testing.assert_allclose(got.explained.to_numpy().reshape(-1, k)[0], values / trace, rtol=1e-10)
+    assert got.identity_error.nunique() == 1 and got.identity_error[0] < 1e-9
+
+
+def made(dim=40, n=700, seed=1):
+    rng = np.random.default_rng(seed)
+    scale = 0.05 + 0.6 / (1 + np.arange(dim))
+    turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+    return [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.normal(size=(n, dim)) * scale @ turn + 0.3)]
+
+
+def test_against_the_whole_matrix(spark):
+    rows = made()
+    rows += [(1000 + i, rows[0][1]) for i in range(200)]  # a third of one vector counts once
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], KIND).repartition(7)
+    got = whitening.whiten(clashing(frame, "VEC_ID", "x", "dim", "component")).toPandas()
+    held(got, rows)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_given_vectors(spark, sf):
+    told = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet").to_pydict()
+    rows = list(zip(told["vec_id"], told["embedding"], strict=True))
+    got = registry.op13_whitening(spark, f"/root/testdata/{sf}")
+    assert dict(got.dtypes)["deviation"] == "bigint"
+    held(got.toPandas(), rows)
+
+
+def test_odd_rows(spark):
+    sound = made(dim=6, n=30, seed=2)
+    odd = [
+        (None, sound[0][1]),
+        (50, None),
+        (51, []),
+        (52, [0.1, None, 0.2, 0.3, 0.4, 0.5]),
+        (53, [0.1, float("nan"), 0.2, 0.3, 0.4, 0.5]),
+        (54, [float("inf")] * 6),
+        (55, [0.5, 0.5]),
+        (0, sound[0][1]),
+    ]
+    got = whitening.whiten(spark.createDataFrame([(i, v, 0) for i, v in sound + odd], KIND)).toPandas()
+    assert set(got.n) == {30}
+    assert sorted(got.vec_id.dropna().unique()) == list(range(30))
+    assert (got.vec_id == 0).sum() == 8 and got.vec_id.isna().sum() == 4
+    held(got[got.vec_id.notna()].drop_duplicates(["vec_id", "component"]), sound)
+
+
+def test_few_vectors_and_empty_tables(spark):
+    frame = spark.createDataFrame([(1, [0.0, 1.0, 0.0], 0), (2, [0.0, 2.0, 0.0], 0), (3, [0.0, 2.0, 0.0], 0)], KIND)
+    got = whitening.whiten(frame).toPandas().sort_values(["vec_id", "component"], ignore_index=True)
+    assert list(got.component) == [1, 2, 3] * 3
+    assert got.whitened.notna().tolist() == [True, False, False] * 3
+    assert np.allclose(got.whitened.abs()[::3], 1) and set(got.deviation) == {65536}
+    one = whitening.whiten(frame.where("vec_id = 1")).toPandas()
+    assert list(one.component) == [1, 2, 3] and one.whitened.isna().all() and one.explained.isna().all()
+    assert whitening.whiten(frame.where("vec_id = 9")).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(1, None, 0), (2, [], 0)], KIND)).count() == 0
+
+
+def test_deviation_beyond_64_bits(spark):
+    rows = [(i, [float((i * 7919) % 1000 * 2.0**30), float(i)]) for i in range(40)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], KIND)
+    got = whitening.whiten(frame).toPandas().sort_values(["vec_id", "component"], ignore_index=True)
+    _, _, deviation, *_ = plain(rows)
+    assert [int(d) for d in got.deviation[::2]] == deviation
+    assert max(deviation) > 2**63
+
+
+def test_missed_direction_is_found():
+    """A first block without any part of the leading vector does not hide it."""
+    rng = np.random.default_rng(5)
+    matrix = np.diag(np.r_[50.0, np.linspace(10, 1, 59)])
+
+    class Blind:
+        calls = 0
+
+        def __call__(self, block):
+            self.calls += 1
+            out = matrix @ block
+            if not self.done:
+                out[0] = 0
+            return out
+
+        done = False
+
+    blind = Blind()
+    beside = whitening._beside
+
+    def seeing(*args):
+        blind.done = True
+        return beside(*args)
+
+    whitening._beside = seeing
+    try:
+        values, vectors = whitening.leading(blind, 60, 2, seed=int(rng.integers(100)))
+    finally:
+        whitening._beside = beside
+    np.testing.assert_allclose(values, [50, 10], rtol=1e-9)
+    assert abs(vectors[0, 0]) > 1 - 1e-9
+
+
+def test_passes_do_not_grow_with_rows():
+    """The count of passes depends on the spectrum alone."""
+    rng = np.random.default_rng(0)
+    for n in (200, 20000):
+        x = rng.normal(size=(n, 64)) * np.linspace(2, 1, 64)
+        cov, calls = np.cov(x.T, bias=True), []
+        values, _ = whitening.leading(lambda b, c=cov, k=calls: (k.append(1), c @ b)[1], 64, 4)
+        np.testing.assert_allclose(values, np.linalg.eigvalsh(cov)[::-1][:4], rtol=1e-10)
+        assert len(calls) < 150

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors
+from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact deviation is a long here; where it does not fit one it is null, and ``whitening.whiten`` has it as a decimal."""
+    told = whitening.whiten(_read(spark, sf_dir, "embeddings"), components=4)
+    return told.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 #: Every window as text, kept where it comes first; no index.
 OP2_SQL = r"""
 with split as (
@@ -158,6 +164,7 @@ QUERIES: tuple[Query, ...] = (
     op8_chat_formatting,
     op9_decontamination,
     op10_sentencepiece,
+    op13_whitening,
 )
 
 
