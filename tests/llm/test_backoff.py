@@ -1,0 +1,147 @@
+"""Language-model scores, held against a plain recursion over whole tables of counts."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import clashing, documents, odd_rows
+from tillwork.llm import backoff, packing, registry
+
+def tokens(text):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return ["<start>", *re.findall(r"[^\x20\x09-\x0D]+", lower), "\n"]
+
+
+def counted(rows, learnt, order):
+    """All n-grams counted in one place, and the chance of a token after a context, by recursion."""
+    counts = [Counter() for _ in range(order + 1)]
+    contexts = Counter()
+    for doc_id, text in rows:
+        if learnt(doc_id):
+            told = tokens(text)
+            for i in range(1, len(told)):
+                for n in range(1, min(order, i + 1) + 1):
+                    counts[n][tuple(told[i - n + 1 : i + 1])] += 1
+                    contexts[tuple(told[i - n + 1 : i])] += n > 1
+    followers = defaultdict(Counter)
+    taken = [None]
+    for n in range(2, order + 1):
+        times = Counter(counts[n].values())
+        taken.append(backoff.discounts(*(times[i] for i in range(1, 5))))
+        for gram, c in counts[n].items():
+            followers[gram[:-1]][min(c, 3)] += 1
+    size, different = sum(counts[1].values()), len(counts[1])
+
+    def chance(context, token):
+        if not context:
+            return (counts[1][(token,)] + 0.5) / (size + 0.5 * (different + 1))
+        lower = chance(context[1:], token)
+        if not contexts[context]:
+            return lower
+        off, c = taken[len(context)], counts[len(context) + 1][(*context, token)]
+        left = sum(off[i - 1] * f for i, f in followers[context].items())
+        return ((c - off[min(c, 3) - 1] if c else 0) + left * lower) / contexts[context]
+
+    return counts[1], chance
+
+
+def plain(rows, learnt, order):
+    """Rows of the result, by asking for each probability on its own."""
+    known, chance = counted(rows, learnt, order)
+    size, out = sum(known.values()), []
+    for doc_id, text in rows:
+        told = tokens(text)
+        scored = [math.log10(chance(tuple(told[max(0, i - order + 1) : i]), told[i])) for i in range(1, len(told))]
+        base = [math.log10(chance((), t)) for t in told[1:]]
+        out.append((doc_id, not learnt(doc_id), len(base), sum(known[(t,)] > 0 for t in told[1:]), size, sum(base), sum(scored)))
+    return out
+
+
+def held(got, wanted):
+    def ordered(rows):
+        return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2], round(r[6], 6)))
+
+    got, wanted = ordered([tuple(r) for r in got]), ordered(wanted)
+    assert [r[:5] for r in got] == [r[:5] for r in wanted]
+    np.testing.assert_allclose([r[5:] for r in got], [r[5:] for r in wanted], rtol=1e-10, atol=1e-9)
+
+
+def corpus(n=60, seed=4):
+    rng = random.Random(seed)
+    words = ["The", "a", "of", "cat", "Dog", "été", "ÉTÉ", "漢字", "x", "y", "z", "end"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(n)]
+    rows += [(100 + i, rows[5][1]) for i in range(20)] + [(200, None), (201, ""), (202, " \t\n"), (203, "the the the the the the")]
+    return rows
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_against_plain_counts(spark, order):
+    rows = corpus()
+    learnt = lambda i: i % 4 != 1
+    frame = clashing(documents(spark, rows).repartition(5), "TEXT", "block", "level", "learn", "bucket")
+    got = backoff.score(frame, F.col("doc_id") % 4 != 1, order=order, block_tokens=70, bucket_tokens=100)
+    held(got.collect(), plain(rows, learnt, order))
+
+
+def test_result_does_not_depend_on_blocks(spark):
+    frame = documents(spark, corpus(seed=9))
+    one = backoff.score(frame, order=3)
+    many = backoff.score(frame.repartition(7), order=3, block_tokens=20, bucket_tokens=30)
+    held(many.collect(), [tuple(r) for r in one.collect()])
+
+
+def test_chances_of_all_tokens_add_up():
+    """After any opening: of all learnt tokens and one that is not."""
+    rows = corpus(30)
+    known, chance = counted(rows, lambda i: i % 3 != 0, 3)
+    learnt = [token for (token,) in known]
+    for opening in (("<start>",), ("<start>", "the"), ("the", "cat"), ("never", "the"), ("the", "never"), ()):
+        assert math.fsum(chance(opening, w) for w in [*learnt, "not learnt"]) == pytest.approx(1, abs=1e-12)
+
+
+def test_discounts():
+    assert backoff.discounts(0, 0, 0, 0) == (0.5, 1.0, 1.5)
+    n = (1000, 300, 150, 90)
+    share = 1000 / 1600
+    assert backoff.discounts(*n) == pytest.approx((1 - 2 * share * 0.3, 2 - 3 * share * 0.5, 3 - 4 * share * 0.6))
+    assert all(0 < d < k for k, d in zip((1, 2, 3), backoff.discounts(1, 0, 0, 50), strict=True))
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    got = backoff.score(documents(spark, rows), F.crc32(F.col("doc_id").cast("string")) % 5 != 1, block_tokens=5000)
+    learnt = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 != 1
+    held(got.collect(), plain([r[:2] for r in rows], learnt, 2))
+    assert backoff.score(documents(spark, [])).count() == 0
+    nothing = backoff.score(documents(spark, rows), F.lit(False)).collect()
+    assert all(r["held_out"] and r["score"] == r["base_score"] == 0 and r["train_tokens"] == 0 for r in nothing)
+
+
+def test_given_documents(spark):
+    told = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()
+    rows = list(zip(told["doc_id"], told["text"], strict=True))
+    got = registry.op12_lm_scoring(spark, "/root/testdata/sf0.001").collect()
+    held(got, plain(rows, lambda i: zlib.crc32(str(i).encode()) % 5 != 1, 2))
+    learnt = [r for r in got if not r["held_out"]]
+    assert sum(r["score"] for r in learnt) > sum(r["base_score"] for r in learnt)
+
+
+def test_packing():
+    rng = np.random.default_rng(0)
+    for numbers in (np.zeros(0), np.zeros(9), rng.integers(0, 2**63, 1000), rng.integers(0, 3, 70_000)):
+        numbers = numbers.astype(np.uint64)
+        assert (packing.unpack(packing.pack(numbers)) == numbers).all()
+        assert (packing.unpack_sorted(packing.pack_sorted(np.sort(numbers))) == np.sort(numbers)).all()
+    top = np.array([2**64 - 1], np.uint64)
+    assert packing.unpack_sorted(packing.pack_sorted(top)) == top
+    flags = rng.integers(0, 2, 77).astype(bool)
+    assert (packing.unpack_flags(packing.pack_flags(flags), 77) == flags).all()

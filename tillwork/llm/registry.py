@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors, whitening
+from tillwork.llm import backoff, chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    return backoff.score(_read(spark, sf_dir, "documents"), learn)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact deviation is a long here; where it does not fit one it is null, and ``whitening.whiten`` has it as a decimal."""
     told = whitening.whiten(_read(spark, sf_dir, "embeddings"), components=4)
@@ -164,6 +169,7 @@ QUERIES: tuple[Query, ...] = (
     op8_chat_formatting,
     op9_decontamination,
     op10_sentencepiece,
+    op12_lm_scoring,
     op13_whitening,
 )
 
