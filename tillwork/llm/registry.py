@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm import backoff, chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors, whitening
+from tillwork.llm import alignment, backoff, chats, decontam, idfiles, langid, pieces, pii, repeats, simhash, toxicity, vectors, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(_read(spark, sf_dir, "documents"), *files)
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
     return backoff.score(_read(spark, sf_dir, "documents"), learn)
@@ -169,6 +174,7 @@ QUERIES: tuple[Query, ...] = (
     op8_chat_formatting,
     op9_decontamination,
     op10_sentencepiece,
+    op11_alignment,
     op12_lm_scoring,
     op13_whitening,
 )
