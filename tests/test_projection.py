@@ -158,8 +158,106 @@ def test_unknown_option_fails(table, field):
         projection.project_balances(accounts).collect()
 
 
-def test_grouping_needs_no_second_shuffle(table):
-    schedule = projection.project_balances(table("projection_accounts", account()), ["goal"])
-    plan = projection.time_to_goal(schedule, F.col("goal"))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange") == 1
+def first_hit(a: dict, use_real: bool):
+    """Year of the first period of the loop that reaches the goal, and whether rounding decides it."""
+    name = "real_end_balance" if use_real else "end_balance"
+    steps = loop(a)
+    hits = [s["year"] for s in steps if s[name] >= a["goal"]]
+    off = min((abs(s[name] - a["goal"]) / max(1.0, abs(a["goal"])) for s in steps), default=1.0)
+    return (hits[0] if hits else None), off < 1e-10
+
+
+def wild_accounts(n: int) -> list[dict]:
+    """Rates from total loss to a half, prices that fall or rise, goals on either side of all balances."""
+    draw = random.Random(23)
+    accounts = []
+    for key in range(n):
+        a = account(
+            key,
+            principal=draw.choice([0.0, draw.uniform(0, 200000), -draw.uniform(0, 50000)]),
+            annual_return=draw.choice([0.0, -1.0, 1e-9, -1e-9, draw.uniform(-1, 0.5), draw.uniform(0, 0.1)]),
+            years=draw.choice([0.0, 1.0, 2.0, 9.0, 30.0, 50.0]),
+            contribution=draw.choice([0.0, draw.uniform(0, 5000), -draw.uniform(0, 500)]),
+            contrib_frequency=draw.choice(["monthly", "yearly"]),
+            compounding=draw.choice(["daily", "monthly", "yearly", "yearly"]),
+            inflation=draw.choice([0.0, draw.uniform(-0.3, 0.5), draw.uniform(0, 0.1)]),
+            contribution_timing=draw.choice(["start", "end"]),
+        )
+        steps = loop(a)
+        if steps:  # a goal that some balance passes, more often than not
+            s = draw.choice(steps)
+            a["goal"] = s[draw.choice(["end_balance", "real_end_balance"])] * draw.uniform(0.9, 1.1)
+        accounts.append(a)
+    # a loss of more than everything turns the sign each year
+    accounts += [account(n + i, annual_return=-1.5 - i / 9, compounding="yearly", years=9.0, goal=3000.0 * i) for i in range(12)]
+    return accounts
+
+
+@pytest.mark.parametrize("use_real", [False, True])
+def test_goal_years_match_the_loop(table, use_real):
+    accounts = wild_accounts(600)
+    frame = table("projection_accounts", *accounts)
+    got = {r.account_key: r.goal_year for r in projection.goal_years(frame, F.col("goal"), use_real).collect()}
+    summary = projection.projection_summary(frame, F.col("goal"), use_real)
+    assert got == {r.account_key: r.goal_year for r in summary.collect()}
+    reached = 0
+    for a in accounts:
+        year, close_call = first_hit(a, use_real)
+        if loop(a) and not close_call:
+            assert got[a["account_key"]] == year, a
+            reached += year is not None
+        elif not loop(a):
+            assert a["account_key"] not in got
+    assert 200 < reached < 560
+
+
+def test_goal_years_of_all_periods_of_an_account(table):
+    """Goals just below and just above every balance of one account, around its peak too."""
+    for fields in ({"annual_return": 0.03, "inflation": 0.09}, {"annual_return": -0.2, "inflation": 0.0}):
+        base = account(principal=90000.0, contribution=700.0, years=30.0, **fields)
+        for use_real, name in ((False, "end_balance"), (True, "real_end_balance")):
+            values = [s[name] for s in loop(base)]
+            goals = [v * f for v in values for f in (1 - 1e-9, 1 + 1e-9)]
+            accounts = [{**base, "account_key": i, "goal": g} for i, g in enumerate(goals)]
+            frame = table("projection_accounts", *accounts)
+            got = {r.account_key: r.goal_year for r in projection.goal_years(frame, F.col("goal"), use_real).collect()}
+            for a in accounts:
+                assert got[a["account_key"]] == first_hit(a, use_real)[0]
+
+
+def test_goal_years_agree_with_a_schedule(table):
+    frame = table("projection_accounts", *random_accounts(60))
+    for use_real in (False, True):
+        schedule = projection.project_real_balances(frame, ["goal"])
+        wanted = projection.time_to_goal(schedule, F.col("goal"), use_real).collect()
+        assert sorted(projection.goal_years(frame, F.col("goal"), use_real).collect()) == sorted(wanted)
+
+
+def test_goal_years_without_values(table):
+    frame = table("projection_accounts", account(1, goal=None), account(2, principal=None), account(3, contribution=None))
+    for use_real in (False, True):
+        got = projection.goal_years(frame, F.col("goal"), use_real).collect()
+        assert sorted(got) == [(1, None), (2, None), (3, None)]
+
+
+def test_goals_need_no_schedule(table):
+    frame = table("projection_accounts", account())
+    for plan in (
+        projection.goal_years(frame, F.col("goal")),
+        projection.goal_years(frame, F.col("goal"), use_real=True),
+        projection.projection_summary(frame, F.col("goal"), use_real=True),
+    ):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "Generate" not in text
+
+
+def test_long_accounts_are_spread(spark, table):
+    """One account of 12,600 periods among short ones, all in one partition: no task has over twice the median rows."""
+    accounts = [account(i, years=5.0) for i in range(100)]
+    accounts += [account(100, years=50.0, compounding="daily")]
+    frame = table("projection_accounts", *accounts).coalesce(1)
+    rows = projection.project_balances(frame).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    sizes = sorted(r["count"] for r in rows)
+    assert sum(sizes) == 100 * 60 + 12600
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]

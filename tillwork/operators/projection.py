@@ -24,15 +24,22 @@ CONTRIBUTIONS_PER_YEAR = {"monthly": 12, "yearly": 1}
 TIMINGS = {"start": 1, "end": 0}
 
 
+#: Pieces of a schedule for each output partition; with fewer, chance would deal the rows out unevenly.
+PIECES = 32
+#: Fewest periods of a piece.
+SHORTEST = 64
+
+
 def project_balances(
     accounts: DataFrame, carry: Sequence[str] = (), partitions: int | None = None
 ) -> DataFrame:
     """One row per account and period.
 
-    A row fans out to years * periods-per-year rows where it lies, without a shuffle;
-    ``partitions`` spreads the still narrow accounts first, for inputs of few
-    partitions.  ``carry`` names account columns to keep, such as the goal.  An unknown
-    compounding, frequency or timing and NULL years fail the query; an account whose
+    Accounts are cut into ranges of periods, and these are dealt out evenly before they
+    become rows, so that no task gets a long account whole and one input file is no one task:
+    the ranges' length follows from the number of all periods.  ``partitions`` is the number of
+    tasks, by default as many as run at once.  ``carry`` names account columns to keep, such as the goal.  An
+    unknown compounding, frequency or timing and NULL years fail the query; an account whose
     horizon rounds to no period has no rows.
     """
     return _schedule(accounts, carry, partitions).select(*_SCHEDULE_COLUMNS, *carry)
@@ -44,7 +51,7 @@ def project_real_balances(
     """The schedule with inflation-adjusted balance and running totals."""
     return _schedule(accounts, carry, partitions).select(
         *_SCHEDULE_COLUMNS,
-        _real_balance().alias("real_end_balance"),
+        _real_balance(F.col("end_balance"), F.col("period")).alias("real_end_balance"),
         _paid_in().alias("total_contrib"),
         _earned().alias("total_interest"),
         *carry,
@@ -54,48 +61,42 @@ def project_real_balances(
 def time_to_goal(
     schedule: DataFrame, goal: Column | float, use_real: bool = False
 ) -> DataFrame:
-    """Year in which each account first reaches the goal; NULL if it never does.
+    """Year in which each account of a schedule first reaches the goal; NULL if it never does.
 
-    ``goal`` is a number or a column carried by the schedule.
+    ``goal`` is a number or a column carried by the schedule.  For accounts, ``goal_years`` tells
+    the same without their schedules.
     """
     balance = "real_end_balance" if use_real else "end_balance"
-    return schedule.groupBy("account_key").agg(
-        _first_year(F.col(balance), goal).alias("goal_year")
-    )
+    reached = F.when(F.col(balance) >= goal, F.col("year"))
+    return schedule.groupBy("account_key").agg(F.min(reached).alias("goal_year"))
+
+
+def goal_years(accounts: DataFrame, goal: Column | float, use_real: bool = False) -> DataFrame:
+    """Year in which each account first reaches the goal; NULL if it never does within its horizon.
+
+    ``goal`` is a number or a column of the accounts.  No schedule is made: the first period is found on the
+    closed form, row by row, without a shuffle.
+    """
+    terms = _terms(accounts.withColumn("goal", F.lit(goal)), ["goal"])
+    return terms.select("account_key", _goal_year(use_real).alias("goal_year"))
 
 
 def projection_summary(
-    accounts: DataFrame,
-    goal: Column | float,
-    use_real: bool = False,
-    partitions: int | None = None,
+    accounts: DataFrame, goal: Column | float, use_real: bool = False
 ) -> DataFrame:
     """Final balances, totals and the year the goal is reached, per account.
 
-    ``goal`` is a number or a column of the accounts.  The final values are the closed form at the last
-    period; only the goal's year needs the periods, and of them it keeps the account's key, its final values and
-    the first year.
+    ``goal`` is a number or a column of the accounts.  All values follow from the closed form; nothing is
+    fanned out or shuffled.
     """
     terms = _terms(accounts.withColumn("goal", F.lit(goal)), ["goal"])
-    last = _with_balances(terms.withColumn("period", F.col("periods")))
-    final = {
-        "final_nominal": F.col("end_balance"),
-        "final_real": _real_balance(),
-        "total_contrib": _paid_in(),
-        "total_interest": _earned(),
-    }
-    terms = last.select(*terms.columns, *[c.alias(name) for name, c in final.items()])
-    if partitions is not None:
-        terms = terms.repartition(partitions, "account_key")
-    fanned = terms.withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
-    balance = _real_balance() if use_real else F.col("end_balance")
-    return (
-        _with_balances(fanned)
-        .groupBy("account_key")
-        .agg(
-            *[F.any_value(name).alias(name) for name in final],
-            _first_year(balance, F.col("goal")).alias("goal_year"),
-        )
+    return _with_balances(terms.withColumn("period", F.col("periods"))).select(
+        "account_key",
+        F.col("end_balance").alias("final_nominal"),
+        _real_balance(F.col("end_balance"), F.col("period")).alias("final_real"),
+        _paid_in().alias("total_contrib"),
+        _earned().alias("total_interest"),
+        _goal_year(use_real).alias("goal_year"),
     )
 
 
@@ -110,8 +111,8 @@ _SCHEDULE_COLUMNS = [
 ]
 
 
-def _real_balance() -> Column:
-    return F.col("end_balance") / F.pow(1 + F.col("inflation_rate"), F.col("period"))
+def _real_balance(balance: Column, period: Column) -> Column:
+    return balance / F.pow(1 + F.col("inflation_rate"), period)
 
 
 def _paid_in() -> Column:
@@ -122,18 +123,23 @@ def _earned() -> Column:
     return F.col("end_balance") - F.col("principal") - _paid_in()
 
 
-def _first_year(balance: Column, goal: Column | float) -> Column:
-    return F.min(F.when(balance >= goal, F.col("year")))
-
-
 def _schedule(
     accounts: DataFrame, carry: Sequence[str], partitions: int | None
 ) -> DataFrame:
     terms = _terms(accounts, carry)
-    if partitions is not None:
-        terms = terms.repartition(partitions, "account_key")
-    fanned = terms.withColumn("period", F.explode(F.sequence(F.lit(1), F.col("periods"))))
-    return _with_balances(fanned)
+    if partitions is None:
+        partitions = accounts.sparkSession.sparkContext.defaultParallelism
+    per_year = _option("compounding", PERIODS_PER_YEAR, strict=False)
+    # what is wrong with an account is told where its rows are made
+    total = accounts.agg(F.sum(F.greatest(F.bround(F.col("years") * per_year), F.lit(0.0)))).scalar()
+    size = F.greatest(F.ceil(F.coalesce(total, F.lit(0.0)) / (PIECES * partitions)), F.lit(SHORTEST)).cast("int")
+    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col("periods") - 1) / size).cast("int")))
+    first = F.col("piece") * F.col("size") + 1
+    last = F.least(F.col("periods"), F.col("piece") * F.col("size") + F.col("size"))
+    cut = terms.withColumn("size", size).withColumn("piece", pieces)
+    # rows are dealt in turn: of pieces of like size every task gets as many
+    dealt = cut.select(*terms.columns, first.alias("first"), last.alias("last")).repartition(partitions)
+    return _with_balances(dealt.withColumn("period", F.explode(F.sequence("first", "last"))))
 
 
 def _terms(accounts: DataFrame, carry: Sequence[str]) -> DataFrame:
@@ -157,30 +163,123 @@ def _terms(accounts: DataFrame, carry: Sequence[str]) -> DataFrame:
 
 def _with_balances(terms: DataFrame) -> DataFrame:
     """Balances of the period that each row names."""
+    return (
+        terms.withColumn("year", F.col("period") / F.col("per_year"))
+        .withColumn("start_balance", _opening(F.col("period")))
+        .withColumn("interest", _interest(F.col("start_balance")))
+        .withColumn("end_balance", F.col("start_balance") + F.col("contribution") + F.col("interest"))
+    )
+
+
+def _opening(period: Column) -> Column:
+    """Balance before a period."""
     rate, paid, upfront = F.col("rate"), F.col("contribution"), F.col("upfront")
-    principal, elapsed = F.col("principal"), F.col("period") - 1
-    growth = F.col("growth")
+    principal, elapsed = F.col("principal"), period - 1
+    growth = F.pow(1 + rate, elapsed)
     # (growth - 1) / rate loses its digits at small rates; a rate of -1 or less has no logarithm
     annuity = F.when(rate > -1, F.expm1(elapsed * F.log1p(rate)) / rate).otherwise(
         (growth - 1) / rate
     )
     grown = principal * growth + paid * (1 + upfront * rate) * annuity
-    earning = F.col("start_balance") + upfront * paid
-    return (
-        terms.withColumn("year", F.col("period") / F.col("per_year"))
-        .withColumn("growth", F.pow(1 + rate, elapsed))
-        .withColumn(
-            "start_balance", F.when(rate == 0, principal + paid * elapsed).otherwise(grown)
-        )
-        .withColumn("interest", earning * rate)
-        .withColumn("end_balance", F.col("start_balance") + paid + F.col("interest"))
+    return F.when(rate == 0, principal + paid * elapsed).otherwise(grown)
+
+
+def _interest(opening: Column) -> Column:
+    return (opening + F.col("upfront") * F.col("contribution")) * F.col("rate")
+
+
+def _closing(period: Column, use_real: bool) -> Column:
+    """Balance after a period, as the schedule has it."""
+    opening = _opening(period)
+    balance = opening + F.col("contribution") + _interest(opening)
+    return _real_balance(balance, period) if use_real else balance
+
+
+def _goal_year(use_real: bool) -> Column:
+    """First year in which the balance of an account (see ``_terms``) is at least its goal.
+
+    A balance after t periods is a sum of two exponentials of t: a nominal one rises or falls all the way, a real one has
+    one peak or trough at most.  Where a base is negative (a loss of more than everything a year) the signs
+    alternate, and every period is tried.
+    """
+    periods, rate = F.col("periods"), F.col("rate")
+    nominal = _first_nominal()
+    if use_real:
+        smooth = F.when(F.col("inflation_rate") == 0, nominal).otherwise(_first_real())
+        whole = (rate < -1) | (F.col("inflation_rate") <= -1)
+    else:
+        smooth, whole = nominal, rate < -1
+    tried = F.filter(F.sequence(F.lit(1), periods), lambda t: _reached(t, use_real))
+    return F.when(whole, F.array_min(tried)).otherwise(smooth) / F.col("per_year")
+
+
+def _reached(period: Column, use_real: bool) -> Column:
+    return _closing(period, use_real) >= F.col("goal")
+
+
+def _first_nominal() -> Column:
+    """The inverse of the nominal balance, by logarithm, held against the balances around it."""
+    rate, periods = F.col("rate"), F.col("periods")
+    first_gain = F.col("principal") * rate + F.col("contribution") * (1 + F.col("upfront") * rate)
+    wanted = (F.col("goal") - F.col("principal")) / F.nullif(first_gain, F.lit(0.0))
+    inverse = F.when(rate == 0, wanted).when(
+        (rate > -1) & (rate * wanted > -1), F.log1p(rate * wanted) / F.log1p(rate)
+    )
+    # beyond the horizon it is out of reach anyhow
+    guess = F.ceil(F.least(F.greatest(inverse, F.lit(1.0)), periods + 1.0)).cast("int")
+    found = [F.least(F.greatest(guess + step, F.lit(1)), periods) for step in (-1, 0, 1)]
+    confirmed = (
+        F.when(_reached(found[0], False), F.when(found[0] == 1, 1))
+        .when(_reached(found[1], False), found[1])
+        .when(_reached(found[2], False), found[2])
+    )
+    # a curve that hardly rises has no sharp inverse
+    searched = _first_between(F.lit(1), periods, False)
+    return F.when(_reached(F.lit(1), False), 1).when(
+        _reached(periods, False), F.coalesce(confirmed, searched)
     )
 
 
-def _option(name: str, values: dict[str, int]) -> Column:
-    """Look a parameter up; any other value fails the query."""
+def _first_real() -> Column:
+    """The first period on either side of the peak or trough of the real balance, or beside it."""
+    rate, paid, periods = F.col("rate"), F.col("contribution"), F.col("periods")
+    prices = F.log1p("inflation_rate")
+    per_payment = F.col("principal") / F.nullif(paid * (1 + F.col("upfront") * rate), F.lit(0.0))
+    both = F.log1p(rate * per_payment) + F.log1p(-F.log1p(rate) / prices)
+    turn = F.when(rate == 0, 1 / prices - per_payment).when(rate > -1, -both / F.log1p(rate))
+    # without a turning point any place will do
+    known = F.when(F.isnan(turn), F.lit(1.0)).otherwise(F.coalesce(turn, F.lit(1.0)))
+    at = F.floor(F.least(F.greatest(known, F.lit(1.0)), periods.cast("double"))).cast("int")
+    beside = [F.when(_reached(t, True), t) for t in (at, F.least(at + 1, periods))]
+    before = _first_between(F.lit(1), at - 1, True)
+    after = _first_between(at + 2, periods, True)
+    return F.coalesce(before, *beside, after)
+
+
+def _first_between(low: Column, high: Column, use_real: bool) -> Column:
+    """First period of a range, on which the balance rises or falls, that reaches the goal; by bisection."""
+
+    def halve(bounds: Column, _: Column) -> Column:
+        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
+        reached = _reached(middle, use_real)
+        return F.struct(
+            F.when(reached, bounds["low"]).otherwise(middle).alias("low"),
+            F.when(reached, middle).otherwise(bounds["high"]).alias("high"),
+        )
+
+    # the goal is reached at the upper end and not at the lower one
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(high - low, F.lit(1)))).cast("int") + 1)
+    bounds = F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+    halved = F.reduce(steps, bounds, halve)["high"]
+    return F.when(low <= high, F.when(_reached(low, use_real), low).when(_reached(high, use_real), halved))
+
+
+def _option(name: str, values: dict[str, int], strict: bool = True) -> Column:
+    """Look a parameter up; any other value fails the query, or is NULL if not ``strict``."""
     allowed = ", ".join(values)
-    chosen = F.raise_error(F.lit(f"{name} must be one of: {allowed}")).cast("int")
+    chosen = F.lit(None).cast("int")
+    if strict:
+        chosen = F.raise_error(F.lit(f"{name} must be one of: {allowed}")).cast("int")
     for value, number in values.items():
         chosen = F.when(F.col(name) == value, F.lit(number)).otherwise(chosen)
     return chosen

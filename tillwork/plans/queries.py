@@ -170,8 +170,8 @@ BUILDS: dict[str, Build] = {
     "h2_project_real_balances": lambda d: projection.project_real_balances(
         d.projection_accounts()
     ),
-    "h3_time_to_goal": lambda d: projection.time_to_goal(
-        projection.project_balances(d.projection_accounts(), ["goal"]), F.col("goal")
+    "h3_time_to_goal": lambda d: projection.goal_years(
+        d.projection_accounts(), F.col("goal")
     ),
     "h4_projection_summary": lambda d: projection.projection_summary(
         d.projection_accounts(), F.col("goal"), use_real=True
