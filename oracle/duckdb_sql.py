@@ -449,6 +449,9 @@ def _contract() -> str:
         *nulls("payments", "payment", "payment_id subscription_id payment_date amount status"),
         outside("payments", "payment", "status", "'PAID', 'FAILED', 'REFUNDED'"),
         orphans("payments", "payment", "subscription_id", "sub", "subscription_id"),
+        surplus("feature_usage", "usage", "usage_id"),
+        *nulls("feature_usage", "usage", "usage_id user_id feature_name usage_date usage_count"),
+        orphans("feature_usage", "usage", "user_id", "member", "user_id"),
         surplus("transactions", "txn", "txn_id"),
         *nulls("transactions", "txn", "txn_ts_parsed merchant_id"),
         outside("transactions", "txn", "channel", "'ONLINE', 'POS', 'ATM'"),
@@ -459,7 +462,7 @@ def _contract() -> str:
     payment += ", plans as (select *, price as monthly_price from plan)\n"
     payment += ", rules as (select *, target_e2 as target_value, true as is_active from rule)\n"
     return with_relations(
-        "txn acct cust merch header ctype plan sub pay member rule saver",
+        "txn acct cust merch header ctype plan sub pay member rule saver usage",
         payment + "\nunion all\n".join(lines),
     )
 

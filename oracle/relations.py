@@ -174,6 +174,10 @@ RELATIONS = {
         from customer join nation on c_nationkey = n_nationkey
                       left join orders on o_custkey = c_custkey
         group by all""",
+    "usage": """
+        select event_id as usage_id, user_id, event_type as feature_name, ts::date as usage_date,
+               floor(value)::int as usage_count
+        from events""",
     "saver": """
         select c_custkey as account_key, abs(c_acctbal) as principal,
                (c_custkey % 11 - 2)::double * 0.01::double as annual_return,

@@ -13,7 +13,7 @@ from tillwork.session import local_session  # noqa: E402
 from tillwork.sources.contracts import schema_of  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-USED_TABLES = ["nation", "customer", "supplier", "orders", "lineitem"]
+USED_TABLES = ["nation", "customer", "supplier", "orders", "lineitem", "events"]
 
 
 @pytest.fixture(scope="session")

@@ -1,5 +1,7 @@
 """Contract checks on planted violations."""
 
+import re
+
 import pytest
 
 from tillwork.operators import checks
@@ -72,3 +74,73 @@ def test_generated_tables_hold(spark):
 def test_no_rules_is_an_error():
     with pytest.raises(ValueError):
         checks.check_contract({}, [])
+
+
+@pytest.mark.parametrize(
+    "child, parent, orphans",
+    [
+        ("decimal(10,2)", "int", 1),
+        ("int", "bigint", 1),
+        ("bigint", "decimal(12,2)", 1),
+        ("double", "int", 1),
+        ("decimal(4,1)", "decimal(20,6)", 1),
+        ("string", "string", 1),
+        ("int", "string", 1),
+    ],
+)
+def test_references_meet_parents_in_the_wider_type(spark, child, parent, orphans):
+    rows = spark.sql(f"select cast(v as {child}) as ref from values (1), (2), (2), (null), (7) t(v)")
+    keys = spark.sql(f"select cast(v as {parent}) as id from values (1), (2), (3) t(v)")
+    rules = [checks.ForeignKey("c", "ref", "p", "id"), checks.Unique("c", ("ref",)), checks.Unique("p", ("id",))]
+    got = found(checks.check_contract({"c": rows, "p": keys}, rules))
+    assert got == {("c", "foreign_key", "ref"): orphans, ("c", "unique", "ref"): 1, ("p", "unique", "id"): 0}
+
+
+def test_moments_and_flags_as_keys(spark):
+    rows = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' as at, true as flag union all select timestamp_ntz'2024-01-01 12:00:00', false")
+    days = spark.sql("select date'2024-01-01' as day, true as flag")
+    rules = [checks.ForeignKey("r", "at", "d", "day"), checks.ForeignKey("r", "flag", "d", "flag")]
+    assert found(checks.check_contract({"r": rows, "d": days}, rules)) == {
+        ("r", "foreign_key", "at"): 1,
+        ("r", "foreign_key", "flag"): 1,
+    }
+
+
+def test_nulls_within_a_key_are_told_apart(spark):
+    rows = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), (None, None), ("a", "a")], "x string, y string")
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "z double")
+    rules = [checks.Unique("r", ("x", "y")), checks.Unique("z", ("z",))]
+    got = found(checks.check_contract({"r": rows, "z": zeros}, rules))
+    assert got == {("r", "unique", "x,y"): 1, ("z", "unique", "z"): 2}
+
+
+def test_a_table_may_refer_to_itself(spark):
+    rows = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 9), (4, 9)], "id int, up bigint")
+    rules = [checks.ForeignKey("t", "up", "t", "id"), checks.Unique("t", ("id",))]
+    assert found(checks.check_contract({"t": rows}, rules)) == {("t", "foreign_key", "up"): 2, ("t", "unique", "id"): 1}
+
+
+def test_keys_take_one_shuffle_and_no_join(spark):
+    data = TestData(spark, "/root/testdata/sf0.001")
+    tables = {"transactions": data.transactions(), "accounts": data.accounts()}
+    rules = [
+        checks.Unique("transactions", ("txn_id",)),
+        checks.ForeignKey("transactions", "account_id", "accounts", "account_id"),
+        checks.Unique("accounts", ("account_id",)),
+    ]
+    text = checks.check_contract(tables, rules)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(id#\d+, high#\d+L, low#\d+L", text)) == 1
+    # the one join gives the counts their rules' names
+    assert len(re.findall(r"\w*Join ", text)) == 1
+    assert text.count("FileScan") == 2
+    assert "array<string>" not in text
+
+
+def test_usage_rules_over_a_table(spark):
+    data = TestData(spark, "/root/testdata/sf0.001")
+    members = data.users().where("user_id > 20")
+    got = found(checks.check_contract({"feature_usage": data.feature_usage(), "users": members}, checks.USAGE_RULES))
+    users = {r[0] for r in members.select("user_id").collect()}
+    wanted = sum(r[0] not in users for r in data.feature_usage().select("user_id").collect())
+    assert got[("feature_usage", "foreign_key", "user_id")] == wanted > 0
+    assert sum(got.values()) == wanted

@@ -6,8 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FractionalType,
+    IntegralType,
+    LongType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 
 @dataclass(frozen=True)
@@ -124,9 +137,10 @@ KEY_RULES: list[Rule] = [
 def check_contract(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with the number of violating rows.
 
-    A table is read once for all its row rules and once for all its keys: keys are
-    laid out as (rule, value) pairs, counted, and the counts compared with the parents'
-    values in one join, where a frequent value is one row.
+    A table is read once for all its row rules and once for all its keys.  Keys, references and the parents' keys
+    are laid out as rows of one width and counted together, in one shuffle and without a join: a
+    whole number stands for itself, any other key for a 128-bit digest.  A reference and its parent are compared in
+    the wider of their types.  A frequent value is one row of each map task.
     """
     if not rules:
         raise ValueError("no rules given")
@@ -179,36 +193,82 @@ def _key_rules(
     tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Unique | ForeignKey]]
 ) -> DataFrame:
     """Surplus rows of each key, and rows of each reference that has no parent."""
-    used = []
-    for table in dict.fromkeys(rule.table for _, rule in rules):
-        mine = [(i, r) for i, r in rules if r.table == table]
-        used.append(
-            _laid_out(
-                tables[table],
-                [(i, r.columns if isinstance(r, Unique) else (r.column,)) for i, r in mine],
-            )
-        )
-    counted = reduce(DataFrame.unionByName, used).groupBy("id", "key").agg(F.count("*").alias("n"))
-    references = [(i, r) for i, r in rules if isinstance(r, ForeignKey)]
-    known = F.lit(False)
-    if references:
-        parents = []
-        for parent in dict.fromkeys(r.parent for _, r in references):
-            wanted = [(i, (r.parent_column,)) for i, r in references if r.parent == parent]
-            parents.append(_laid_out(tables[parent], wanted))
-        stacked = reduce(DataFrame.unionByName, parents).distinct()
-        counted = counted.join(stacked.withColumn("known", F.lit(True)), ["id", "key"], "left")
-        known = F.coalesce("known", F.lit(False))
-    is_reference = F.col("id").isin(*[i for i, _ in references]) if references else F.lit(False)
-    orphan = is_reference & F.col("key")[0].isNotNull() & ~known
+    wanted: dict[str, list[Column]] = {}
+    for i, rule in rules:
+        if isinstance(rule, Unique):
+            key = _key([F.col(c) for c in rule.columns], [_type(tables, rule.table, c) for c in rule.columns])
+            wanted.setdefault(rule.table, []).append(_entry(i, key, False))
+        else:
+            kind = _wider(_type(tables, rule.table, rule.column), _type(tables, rule.parent, rule.parent_column))
+            for table, column, is_parent in (
+                (rule.table, rule.column, False),
+                (rule.parent, rule.parent_column, True),
+            ):
+                entry = _entry(i, _key([F.col(column).cast(kind)], [kind]), is_parent)
+                wanted.setdefault(table, []).append(entry)
+    laid_out = [tables[name].select(F.inline(F.array(*entries))) for name, entries in wanted.items()]
+    counted = (
+        reduce(DataFrame.unionByName, laid_out)
+        .groupBy("id", "high", "low")
+        .agg(F.sum("used").alias("n"), F.max("known").alias("known"))
+    )
+    references = [i for i, r in rules if isinstance(r, ForeignKey)]
+    is_reference = F.col("id").isin(*references) if references else F.lit(False)
+    orphan = is_reference & F.col("low").isNotNull() & ~F.col("known")
     broken = F.when(orphan, F.col("n")).when(~is_reference, F.col("n") - 1).otherwise(0)
     return counted.groupBy("id").agg(F.sum(broken).alias("violations"))
 
 
-def _laid_out(df: DataFrame, keys: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
-    """One row per key and row of the table: the rule's number and the key as text."""
-    pairs = [
-        F.struct(F.lit(i).alias("id"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key"))
-        for i, columns in keys
-    ]
-    return df.select(F.inline(F.array(*pairs)))
+def _type(tables: Mapping[str, DataFrame], table: str, column: str) -> DataType:
+    return tables[table].schema[column].dataType
+
+
+def _entry(rule: int, key: tuple[Column, Column], is_parent: bool) -> Column:
+    """A row of one width: the rule, the key, and whether it is used or known."""
+    return F.struct(
+        F.lit(rule).alias("id"),
+        key[0].alias("high"),
+        key[1].alias("low"),
+        F.lit(0 if is_parent else 1).cast("long").alias("used"),
+        F.lit(is_parent).alias("known"),
+    )
+
+
+def _key(columns: Sequence[Column], kinds: Sequence[DataType]) -> tuple[Column, Column]:
+    """Two longs that are equal where all columns are; the second is NULL for one column that is."""
+    if len(columns) == 1 and isinstance(kinds[0], IntegralType):
+        return F.lit(0).cast("long"), columns[0].cast("long")
+    # a hash passes over NULLs, so they are told apart by flags; 0.0 and -0.0 are one number
+    values = [c + 0.0 if isinstance(k, FractionalType) and not isinstance(k, DecimalType) else c for c, k in zip(columns, kinds, strict=True)]
+    parts = [*values, *[c.isNull() for c in columns]]
+    digest = F.xxhash64(*parts), F.xxhash64(F.lit("second half"), *parts)
+    if len(columns) > 1:
+        return digest
+    return F.when(columns[0].isNotNull(), digest[0]), F.when(columns[0].isNotNull(), digest[1])
+
+
+def _wider(a: DataType, b: DataType) -> DataType:
+    """The type in which values of both are compared; text, unless both are numbers or both are moments."""
+    if a == b:
+        return a
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        exact = [_as_decimal(t) for t in (a, b)]
+        if None in exact:
+            return DoubleType()
+        if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+            return LongType()
+        scale = max(t.scale for t in exact)
+        digits = max(t.precision - t.scale for t in exact)
+        if digits + scale > 38:  # a decimal's digits
+            raise ValueError(f"no type holds all of {a.simpleString()} and {b.simpleString()}")
+        return DecimalType(digits + scale, scale)
+    moments = (DateType, TimestampType, TimestampNTZType)
+    if isinstance(a, moments) and isinstance(b, moments):
+        return TimestampNTZType() if TimestampType() not in (a, b) else TimestampType()
+    return StringType()
+
+
+def _as_decimal(kind: DataType) -> DecimalType | None:
+    if isinstance(kind, DecimalType):
+        return kind
+    return DecimalType(19, 0) if isinstance(kind, IntegralType) else None

@@ -25,6 +25,9 @@ TABLES = {
         "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
         "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
     ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
 }
 
 
@@ -184,6 +187,15 @@ class TestData:
             )
         )
 
+    def feature_usage(self) -> DataFrame:
+        return self.table("events").select(
+            F.col("event_id").alias("usage_id"),
+            "user_id",
+            F.col("event_type").alias("feature_name"),
+            F.col("ts").cast("date").alias("usage_date"),
+            F.floor("value").cast("int").alias("usage_count"),
+        )
+
     def projection_accounts(self) -> DataFrame:
         key = F.col("c_custkey")
         principal = F.abs("c_acctbal")
