@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions import average, pct, ratio
+from tillwork.operators.hot_keys import split_join
 from tillwork.operators.weekly import DECLINED
 
 
@@ -28,16 +29,14 @@ def trailing_months(
 def merchant_base(txns: DataFrame, accounts: DataFrame, merchants: DataFrame) -> DataFrame:
     """Dated merchant transactions with their customer and merchant details.
 
-    A merchant that is unknown, or known without a name, is named after its id.
+    A merchant that is unknown, or known without a name, is named after its id.  The rows of a busy
+    account or merchant are joined in many tasks, see ``hot_keys``.
     """
+    customers = accounts.select("account_id", "customer_id")
+    details = merchants.select("merchant_id", "merchant_name", "city", "country")
+    owned = split_join(_dated_merchant_txns(txns), customers, "account_id", spread_by=["txn_id"])
     return (
-        _dated_merchant_txns(txns)
-        .join(accounts.select("account_id", "customer_id"), "account_id")
-        .join(
-            merchants.select("merchant_id", "merchant_name", "city", "country"),
-            "merchant_id",
-            "left",
-        )
+        split_join(owned, details, "merchant_id", "left", spread_by=["txn_id"])
         .select(
             "txn_month",
             "txn_id",
