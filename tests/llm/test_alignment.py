@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -138,10 +139,26 @@ def test_windows_are_whole(libraries, some):
         placed = spelled(libraries, text)
         assert (ids is None) == (placed is None)
         if ids:
-            groups, windows = both.cut(*ids)
-            assert [i for a, _ in windows for i in a] == [i for i, *_ in placed[0]]
-            assert [i for _, b in windows for i in b] == [i for i, *_ in placed[1]]
-            links = [link for key in windows for link in both.align(key)[1]]
+            cut = alignment.Cut([ids, ids], both)
+            keys, told = cut.distinct()
+            windows = [keys[i] for i in told]
+            assert [i for a, _ in windows for i in a] == 2 * [i for i, *_ in placed[0]]
+            assert [i for _, b in windows for i in b] == 2 * [i for i, *_ in placed[1]]
+            aligned = both.align(keys)
+            links = [link for i in told for link in aligned[i][1]]
             wanted = [i << 32 | j for i, s, e in placed[0] for j, t, f in placed[1] if t < e and f > s]
-            assert sorted(links) == sorted(wanted)
-            assert groups == sum(both.align(key)[0].count("|") for key in windows)
+            assert sorted(links) == sorted(2 * wanted)
+            assert cut.groups.sum() == sum(aligned[i][0].count("|") for i in told)
+
+
+def test_windows_of_equal_hash_are_told_apart(libraries, monkeypatch):
+    both = alignment.tokenizers_at(*FILES)
+    some = [ids for ids in both.encode(["two words here", "here two words two", "here here"])]
+    cut = alignment.Cut(some, both)
+    keys, told = cut.distinct()
+    monkeypatch.setattr(alignment.Cut, "_alike", lambda *_: False)
+    others, number = alignment.Cut(some, both).distinct()
+    assert [others[i] for i in number] == [keys[i] for i in told]
+    assert len(others) == len(keys) == 3
+    monkeypatch.undo()
+    assert not cut._alike(np.zeros(len(told), int), [e - s for e, s in zip(cut.ends, cut.starts, strict=True)])

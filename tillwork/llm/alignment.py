@@ -2,7 +2,8 @@
 
 Both tokenizers encode the whole text.  A place where a token of each ends and the next token of each begins with a space is an
 anchor, once the tokens' bytes have been verified to spell the text: there a document splits into windows, one word each as a rule, and a
-window's alignment depends on its two tuples of ids alone.  So windows met before, in this block or lately in this worker, need no second alignment.
+window's alignment depends on its two tuples of ids alone.  So windows met before, in this block or lately in this worker, need no second
+alignment; those that are new in a block are aligned together.
 
 Documents are dealt into blocks.  A block asks for each of its different id pairs once, with the number of its documents that
 link it; Spark adds these up over all blocks, finds each left id's highest count, and sends both back to the blocks that asked.
@@ -11,29 +12,27 @@ link it; Spark adds these up over all blocks, finds each left id's highest count
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from tillwork.llm.idfiles import Encoder
 from tillwork.llm.packing import pack, unpack
+from tillwork.llm.pieces import MergeModel
 from tillwork.llm.shared import documents, ready, stored, texts
 
 #: Left tokens of a block, about; a longer document is a block of its own.
 BLOCK_TOKENS = 400_000
-#: Windows whose alignment a Python worker keeps; the half that is older goes when there are more.
-KEPT_WINDOWS = 120_000
+#: Windows whose alignment a Python worker keeps, and words whose ids it keeps; the half that is older goes when there are more.
+KEPT_WINDOWS = 160_000
+KEPT_WORDS = 400_000
 #: Tokens of a window that is worth keeping.
 LONGEST_KEPT = 24
-#: Characters that go to a tokenizer in one call, about.
-CALL = 1_000_000
 
 Ids = tuple[int, ...]
 Window = tuple[str, tuple[int, ...]]  # its groups as text, its links as pairs of ids
@@ -50,81 +49,73 @@ class Tokenizers:
     """A byte-level tokenizer (left) and a SentencePiece model (right), with the bytes that their tokens spell."""
 
     def __init__(self, byte_level: str, pieces: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.left = Tokenizer.from_file(byte_level)
-        self.left.encode_special_tokens = True  # their strings are plain text
-        self.right = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        letters, special = byte_letters(), self.left.get_added_tokens_decoder()
-        self.left_bytes = [b""] * self.left.get_vocab_size()
-        for token, i in self.left.get_vocab().items():
-            self.left_bytes[i] = token.encode() if i in special else bytes(letters[c] for c in token)
-        count = self.right.get_piece_size()
-        told = [self.right.id_to_piece(i) for i in range(count)]
-        self.right_bytes = [
-            bytes([int(p[3:5], 16)]) if self.right.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(told)
-        ]
-        self.left_size = np.array([len(b) for b in self.left_bytes])
-        self.right_size = np.array([len(b) for b in self.right_bytes])
-        self.left_marked = np.array([b[:1] == b" " for b in self.left_bytes])
-        self.right_marked = np.array([b[:1] == b" " for b in self.right_bytes])
+        self.left, self.right = Encoder(byte_level), MergeModel(pieces)
+        library = self.left.library
+        library.encode_special_tokens = True  # their strings are plain text
+        letters, special = byte_letters(), library.get_added_tokens_decoder()
+        left = [b""] * library.get_vocab_size()
+        for token, i in library.get_vocab().items():
+            left[i] = token.encode() if i in special else bytes(letters[c] for c in token)
+        right = [p.replace("▁", " ").encode() for p in self.right.pieces]
+        for b, i in self.right.bytes.items():
+            right[i] = bytes([b])
+        self.bytes = left, right
+        self.size = tuple(np.array([len(b) for b in told]) for told in self.bytes)
+        self.marked = tuple(np.array([b[:1] == b" " for b in told]) for told in self.bytes)
         self.newer: dict[tuple[Ids, Ids], Window] = {}
         self.older: dict[tuple[Ids, Ids], Window] = {}
 
-    def encode(self, some: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
-        """Ids of each text, once verified; None where the tokens' bytes are not a space and the text."""
-        spaced = [" " + text for text in some]
-        left = self.left.encode_batch_fast(spaced, add_special_tokens=False)
-        right = self.right.encode(some, num_threads=1)
-        for text, a, b in zip(spaced, left, right, strict=True):
-            wanted, a = text.encode(), a.ids
-            spelled = (b"".join(map(self.left_bytes.__getitem__, a)), b"".join(map(self.right_bytes.__getitem__, b)))
-            yield (a, b) if spelled == (wanted, wanted) else None
-
-    def cut(self, a: list[int], b: list[int]) -> tuple[int, list[tuple[Ids, Ids]]]:
-        """The number of shared ends, and the windows between anchors."""
-        left, right = np.array(a), np.array(b)
-        left_ends, right_ends = np.cumsum(self.left_size[left]), np.cumsum(self.right_size[right])
-        at = np.searchsorted(right_ends, left_ends)
-        shared = np.flatnonzero(right_ends[at] == left_ends)  # both end where the text does
-        beside = at[shared]
-        inner, inside = shared[:-1] + 1, beside[:-1] + 1
-        anchored = self.left_marked[left[inner]] & self.right_marked[right[inside]]
-        ends = [*inner[anchored].tolist(), len(a)], [*inside[anchored].tolist(), len(b)]
-        windows, i, j = [], 0, 0
-        for to_i, to_j in zip(*ends, strict=True):
-            windows.append((tuple(a[i:to_i]), tuple(b[j:to_j])))
-            i, j = to_i, to_j
-        return len(shared), windows
-
-    def align(self, key: tuple[Ids, Ids]) -> Window:
-        """Groups and links of a window, from its ids."""
-        known = self.newer.get(key)
-        if known is None:
-            known = self.older.get(key) or self._aligned(*key)
+    def encode(self, some: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of each text, once verified; None without a text and where the tokens' bytes are not a space and the text."""
+        for words in (self.left, self.right):
+            if len(words.newer) >= KEPT_WORDS // 2:
+                words.older, words.newer = words.newer, {}
+        spaced = [" " + text if text else None for text in some]
+        found: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for text, wanted, spelled in zip(some, spaced, self.left.encode(spaced), strict=True):
+            if not text:
+                found.append(None)
+                continue
+            ids = np.frombuffer(spelled, "<u4")[:-1], np.frombuffer(self.right.encode(text), "<u4")
+            told = [b"".join(map(spells.__getitem__, i.tolist())) for spells, i in zip(self.bytes, ids, strict=True)]
+            found.append(ids if told == [wanted.encode()] * 2 else None)
+        return found
+
+    def align(self, keys: list[tuple[Ids, Ids]]) -> list[Window]:
+        """Groups and links of different windows, from their ids."""
+        newer, older = self.newer, self.older
+        found = [newer.get(key) or older.get(key) for key in keys]
+        new = [key for key, known in zip(keys, found, strict=True) if known is None]
+        made = dict(zip(new, self._aligned(new), strict=True)) if new else {}
+        found = [made[key] if known is None else known for key, known in zip(keys, found, strict=True)]
+        for key, window in zip(keys, found, strict=True):
             if len(key[0]) + len(key[1]) <= LONGEST_KEPT:
                 if len(self.newer) >= KEPT_WINDOWS // 2:
                     self.older, self.newer = self.newer, {}
-                self.newer[key] = known
-        return known
-
-    def _aligned(self, a: Ids, b: Ids) -> Window:
-        groups, links = [], []
-        i = j = first_i = first_j = 0
-        left_end, right_end = self.left_size[a[0]], self.right_size[b[0]]
-        while True:
-            links.append(a[i] << 32 | b[j])
-            if left_end == right_end:
-                groups.append(",".join(map(str, a[first_i : i + 1])) + "|" + ",".join(map(str, b[first_j : j + 1])))
-                i, j = first_i, first_j = i + 1, j + 1
-                if i == len(a):
-                    return ";".join(groups), tuple(links)
-                left_end, right_end = left_end + self.left_size[a[i]], right_end + self.right_size[b[j]]
-            elif left_end < right_end:
-                i += 1
-                left_end += self.left_size[a[i]]
-            else:
-                j += 1
-                right_end += self.right_size[b[j]]
+                self.newer[key] = window
+        return found
+
+    def _aligned(self, keys: list[tuple[Ids, Ids]]) -> list[Window]:
+        """All these windows behind one another: each stretch between neighbouring ends belongs to one link."""
+        ids = [np.array([i for key in keys for i in key[side]]) for side in (0, 1)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.size, ids, strict=True)]
+        every = np.union1d(*ends)
+        at = [np.searchsorted(e, every) for e in ends]
+        links = (ids[0][at[0]] << 32 | ids[1][at[1]]).tolist()
+        shared = (ends[0][at[0]] == every) & (ends[1][at[1]] == every)
+        # cut the links where windows end, and the tokens where groups end
+        last = np.cumsum([len(a) for a, _ in keys]) - 1
+        cuts = (np.searchsorted(every, ends[0][last]) + 1).tolist()
+        groups = np.cumsum(shared)[np.array(cuts) - 1].tolist()
+        bounds = [(i[shared] + 1).tolist() for i in at]
+        written = [list(map(str, i.tolist())) for i in ids]
+        parts = []
+        for i, k, j, m in zip([0, *bounds[0]], bounds[0], [0, *bounds[1]], bounds[1], strict=False):
+            parts.append(",".join(written[0][i:k]) + "|" + ",".join(written[1][j:m]))
+        return [
+            (";".join(parts[g:h]), tuple(links[a:b]))
+            for a, b, g, h in zip([0, *cuts], cuts, [0, *groups], groups, strict=False)
+        ]
 
 
 _tokenizers: dict[tuple[str, str], Tokenizers] = {}
@@ -141,67 +132,100 @@ def tokenizers_at(byte_level: str, pieces: str) -> Tokenizers:
 # -- blocks ---------------------------------------------------------------------------------------------
 
 
-class _Open:
-    """A block that still takes documents."""
-
-    def __init__(self):
-        self.rows: list[tuple] = []  # doc_id, tokens left and right, groups, digest
-        self.told: list[np.ndarray] = []  # windows of each document, by number
-        self.numbers: dict[tuple[Ids, Ids], int] = {}
-        self.links: list[tuple[int, ...]] = []
-        self.texts: list[str] = []
-        self.held = 0
-
-    def add(self, doc_id: int | None, ids: tuple[list[int], list[int]] | None, both: Tokenizers) -> None:
-        if ids is None:
-            self.rows.append((doc_id, 0, 0, 0, ""))
-            self.told.append(np.zeros(0, np.int64))
-            return
-        groups, windows = both.cut(*ids)
-        numbers, told = self.numbers, []
-        for key in windows:
-            number = numbers.get(key)
-            if number is None:
-                number = numbers[key] = len(numbers)
-                text, links = both.align(key)
-                self.texts.append(text)
-                self.links.append(links)
-            told.append(number)
-        digest = hashlib.sha256(";".join(map(self.texts.__getitem__, told)).encode()).hexdigest()
-        self.rows.append((doc_id, len(ids[0]), len(ids[1]), groups, digest))
-        self.told.append(np.array(told))
-        self.held += len(ids[0])
-
-    def close(self, block: int) -> pa.RecordBatch:
-        sizes = np.array([len(t) for t in self.told])
-        told = np.concatenate(self.told).astype(np.int64)
-        widths = np.array([len(links) for links in self.links], np.int64)
-        flat = np.array([pair for links in self.links for pair in links], np.int64)
-        pairs, place = np.unique(flat, return_inverse=True)
-        # documents of each pair: a document's windows once each, their pairs once each
-        count = len(self.links) or 1
-        seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * count + told)
-        starts, spread = np.cumsum(widths) - widths, widths[seen % count] if len(seen) else seen
-        inner = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-        linked = place[np.repeat(starts[seen % count] if len(seen) else seen, spread) + inner]
-        here = np.unique(np.repeat(seen // count, spread) * (len(pairs) or 1) + linked)
-        n_docs = np.bincount(here % (len(pairs) or 1), minlength=len(pairs))
-        ids, *numbers, digests = zip(*self.rows, strict=True)
-        row = {
-            "block": block,
-            "doc_ids": ids,
-            "n_a": numbers[0],
-            "n_b": numbers[1],
-            "n_groups": numbers[2],
-            "digests": digests,
-            "sizes": pack(sizes),
-            "told": pack(told),
-            "widths": pack(widths),
-            "links": pack(place),
-            "pairs": pairs,
-            "n_docs": n_docs,
-        }
-        return pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each range, one range after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+class Cut:
+    """Tokens of some documents that both tokenizers spell, cut at anchors into windows."""
+
+    def __init__(self, some: list[tuple[np.ndarray, np.ndarray]], both: Tokenizers):
+        ids = [np.concatenate([pair[side] for pair in some]).astype(np.int64) for side in (0, 1)]
+        ends = [np.cumsum(size[i]) for size, i in zip(both.size, ids, strict=True)]
+        at = np.searchsorted(ends[1], ends[0])
+        shared = np.flatnonzero(ends[1][at] == ends[0])
+        beside = at[shared]
+        # documents end where both do, and the last of them ends everything
+        finish = np.isin(shared, np.cumsum([len(a) for a, _ in some]) - 1, assume_unique=True)
+        after = [np.append(mark[i], True) for mark, i in zip(both.marked, ids, strict=True)]
+        window = finish | (after[0][shared + 1] & after[1][beside + 1])
+        self.ids = ids
+        self.ends = [shared[window] + 1, beside[window] + 1]
+        self.starts = [np.append(0, e[:-1]) for e in self.ends]
+        self.finish = np.flatnonzero(finish[window]) + 1  # windows up to each document's end
+        self.groups = np.diff(np.flatnonzero(finish) + 1, prepend=0)
+
+    def distinct(self) -> tuple[list[tuple[Ids, Ids]], np.ndarray]:
+        """The different windows as tuples of ids, and which of them each window is."""
+        sizes = [e - s for e, s in zip(self.ends, self.starts, strict=True)]
+        mixed = sizes[0].astype(np.uint64)
+        for ids, starts, size, odd in zip(self.ids, self.starts, sizes, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), strict=True):
+            within = (np.arange(len(ids)) - np.repeat(starts, size)).astype(np.uint64)
+            salted = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(odd) + within * np.uint64(0x165667B19E3779F9)
+            salted = (salted ^ (salted >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+            mixed = mixed * np.uint64(odd) + np.add.reduceat(salted ^ (salted >> np.uint64(29)), starts)
+        _, first, number = np.unique(mixed, return_index=True, return_inverse=True)
+        lists = [i.tolist() for i in self.ids]
+        if not self._alike(first[number], sizes):  # equal hashes of different windows
+            every = self._tuples(lists, np.arange(len(mixed)))
+            places: dict[tuple[Ids, Ids], int] = {}
+            number = np.array([places.setdefault(key, len(places)) for key in every])
+            return list(places), number
+        return self._tuples(lists, first), number
+
+    def _tuples(self, lists: list[list[int]], some: np.ndarray) -> list[tuple[Ids, Ids]]:
+        cuts = zip(*(x[some].tolist() for x in (self.starts[0], self.ends[0], self.starts[1], self.ends[1])), strict=True)
+        return [(tuple(lists[0][i:j]), tuple(lists[1][k:m])) for i, j, k, m in cuts]
+
+    def _alike(self, model: np.ndarray, sizes: list[np.ndarray]) -> bool:
+        return all(
+            (size == size[model]).all() and (ids == ids[_spread(starts[model], size)]).all()
+            for ids, starts, size in zip(self.ids, self.starts, sizes, strict=True)
+        )
+
+
+def _close(block: int, doc_ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray] | None], both: Tokenizers) -> pa.RecordBatch:
+    """One row for a block: its documents' numbers, their windows, and the pairs that they link."""
+    some = [pair for pair in found if pair is not None]
+    there = np.array([pair is not None for pair in found])
+    n_a, n_b, n_groups, sizes = (np.zeros(len(found), np.int64) for _ in range(4))
+    digests = [""] * len(found)
+    told, links = np.zeros(0, np.int64), []
+    if some:
+        cut = Cut(some, both)
+        keys, told = cut.distinct()
+        windows = both.align(keys)
+        links = [window[1] for window in windows]
+        written = np.array([window[0] for window in windows], object)[told]
+        for i, a, b in zip(np.flatnonzero(there).tolist(), [0, *cut.finish.tolist()], cut.finish.tolist(), strict=False):
+            digests[i] = hashlib.sha256(";".join(written[a:b]).encode()).hexdigest()
+        n_a[there], n_b[there] = [len(a) for a, _ in some], [len(b) for _, b in some]
+        n_groups[there], sizes[there] = cut.groups, np.diff(cut.finish, prepend=0)
+    widths = np.array([len(x) for x in links], np.int64)
+    pairs, place = np.unique(np.array([pair for x in links for pair in x], np.int64), return_inverse=True)
+    # documents of each pair: a document's windows once each, then their pairs once each
+    width = len(links) or 1
+    seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + told)
+    window, wide = seen % width, len(pairs) or 1
+    spread = widths[window] if links else window
+    linked = place[_spread((np.cumsum(widths) - widths)[window], spread)] if links else window
+    here = np.unique(np.repeat(seen // width, spread) * wide + linked)
+    row = {
+        "block": block,
+        "doc_ids": doc_ids,
+        "n_a": n_a,
+        "n_b": n_b,
+        "n_groups": n_groups,
+        "digests": digests,
+        "sizes": pack(sizes),
+        "told": pack(told),
+        "widths": pack(widths),
+        "links": pack(place),
+        "pairs": pairs,
+        "n_docs": np.bincount(here % wide, minlength=len(pairs))[: len(pairs)],
+    }
+    return pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
 
 
 _LONGS = pa.list_(pa.int64())
@@ -221,37 +245,21 @@ _BLOCK_KIND = (
 )
 
 
-def _calls(some: list[str | None]) -> Iterator[list[int]]:
-    """Places of texts that have any characters, in lists that go to the tokenizers together."""
-    found: list[int] = []
-    size = 0
-    for i, text in enumerate(some):
-        if text:
-            found.append(i)
-            size += len(text)
-            if size >= CALL:
-                yield found
-                found, size = [], 0
-    if found:
-        yield found
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, block_tokens: int) -> Iterator[pa.RecordBatch]:
-    both, partition, number = tokenizers_at(byte_level, pieces), TaskContext.get().partitionId(), 0
-    block = _Open()
+    both, partition, number, held = tokenizers_at(byte_level, pieces), TaskContext.get().partitionId(), 0, 0
+    doc_ids: list[int | None] = []
+    found: list[tuple[np.ndarray, np.ndarray] | None] = []
     for batch in batches:
-        doc_ids, some = batch.column(0).to_pylist(), texts(batch)
-        for doc_id, text in zip(doc_ids, some, strict=True):
-            if not text:
-                block.add(doc_id, None, both)
-        for places in _calls(some):
-            for i, ids in zip(places, both.encode([some[i] for i in places]), strict=True):
-                if block.held and ids is not None and block.held + len(ids[0]) > block_tokens:
-                    yield block.close(partition << 32 | number)
-                    block, number = _Open(), number + 1
-                block.add(doc_ids[i], ids, both)
-    if block.rows:
-        yield block.close(partition << 32 | number)
+        for doc_id, ids in zip(batch.column(0).to_pylist(), both.encode(texts(batch)), strict=True):
+            size = 0 if ids is None else len(ids[0])
+            if held and held + size > block_tokens:
+                yield _close(partition << 32 | number, doc_ids, found, both)
+                doc_ids, found, number, held = [], [], number + 1, 0
+            doc_ids.append(doc_id)
+            found.append(ids)
+            held += size
+    if found:
+        yield _close(partition << 32 | number, doc_ids, found, both)
 
 
 _KIND = (
