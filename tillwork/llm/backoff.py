@@ -16,9 +16,11 @@ estimate (count + 0.5) / (tokens + 0.5 (different tokens + 1)).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +61,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa
     doc_ids: list[int | None] = []
     learnt: list[bool] = []
     told: list[np.ndarray] = []
-    places: dict[bytes, int] = {}
+    places: dict[bytes, int] = defaultdict(count().__next__)
     held = 0
 
     def close() -> pa.RecordBatch:
@@ -76,7 +78,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa
             "words": pack_sorted(words),
             "told": pack(place[np.concatenate(told)] if len(place) else np.zeros(0, np.uint64)),
         }
-        doc_ids, learnt, told, places, held, number = [], [], [], {}, 0, number + 1
+        doc_ids, learnt, told, places, held, number = [], [], [], defaultdict(count().__next__), 0, number + 1
         return pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
 
     for batch in batches:
@@ -84,8 +86,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa
             words = words_of(text)
             if doc_ids and held + len(words) > block_tokens:
                 yield close()
-            place = places.setdefault
-            told.append(np.array([place(w, len(places)) for w in words], np.int64))
+            told.append(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
             doc_ids.append(doc_id)
             learnt.append(learn)
             held += len(words) + 1
@@ -216,14 +217,13 @@ def _add_up(asked: pa.Table, level: int) -> pa.Table:
     rows = sorted(asked.to_pylist(), key=lambda row: row["block"])
     keys = [unpack_sorted(row["keys"]) for row in rows]
     different, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.zeros(len(different), np.int64)
-    np.add.at(total, number, np.concatenate([unpack(row["counts"]).astype(np.int64) for row in rows]))
+    total = _summed(number, np.concatenate([unpack(row["counts"]) for row in rows]), len(different))
     owned = np.zeros(len(number), bool)
     owned[first] = True
     after = None
     if rows[0]["after"] is not None:
-        after = np.zeros((len(different), 3), np.int64)
-        np.add.at(after, number, np.concatenate([unpack(row["after"]).astype(np.int64).reshape(-1, 3) for row in rows]))
+        each = np.concatenate([unpack(row["after"]).reshape(-1, 3) for row in rows])
+        after = np.stack([_summed(number, column, len(different)) for column in each.T], axis=1)
     counted = total[(total > 0) & (different != np.uint64(START))] if level == 1 else total[total > 0]
     sums = [int(counted.sum()), len(counted), *(int((counted == i).sum()) for i in range(1, 5))]
     told = [{"level": level, "block": -1, "bucket": rows[0]["bucket"], "sums": sums}]
@@ -243,6 +243,11 @@ def _add_up(asked: pa.Table, level: int) -> pa.Table:
     return pa.Table.from_pylist(told, _ANSWER_SCHEMA)
 
 
+def _summed(number: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums by number; doubles hold these whole numbers exactly."""
+    return np.bincount(number, weights=values, minlength=size).astype(np.int64)
+
+
 _ANSWER_SCHEMA = pa.schema(
     [
         ("level", pa.int32()),
@@ -278,83 +283,84 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 class Automaton:
-    """The states and arcs of a model that a block's documents can reach."""
+    """The states and arcs of a model that a block's documents can reach.
+
+    A state is an n-gram that can be a context, known by its length and its number in the block (the root has length 0).  The arcs of
+    all states of one length are numbered as the n-grams that they complete; what is no n-gram of the model has no arc.
+    """
 
     def __init__(self, block: Block, answers: list[tuple[np.ndarray, np.ndarray, np.ndarray | None]], model: Model):
-        levels, order = block.levels, len(block.levels)
-        width = self.width = len(levels[0].keys)
-        count = answers[0][0]
-        chance = (count + 0.5) / (model.tokens + 0.5 * (model.different + 1))
-        self.known = count > 0
+        levels, total = block.levels, answers[0][0]
+        chance = (total + 0.5) / (model.tokens + 0.5 * (model.different + 1))
+        self.known = total > 0
         self.base = np.log10(chance)
-        # states of each level follow those of the level below; 0 is the root
-        first = np.cumsum([1] + [len(level.keys) for level in levels[:-1]])
-        live = [np.flatnonzero(answers[k][0] > 0) for k in range(order)]
-        back, fail = np.zeros(first[-1]), np.zeros(first[-1], np.int64)
-        self.root_next = np.zeros(width, np.int64)
-        if order > 1:
-            here = live[0][live[0] < block.end]
-            self.root_next[here] = first[0] + here
-        arcs: dict[int, int] = {}
-        weights, nexts = [np.zeros(0)], [np.zeros(0, np.int64)]
-        for k in range(1, order):
-            level, lower, kept = levels[k], levels[k - 1], live[k]
-            context, taken = level.context[kept], np.array(model.discounts[k - 1])
-            total, _, after = answers[k - 1]
+        self.longest = len(levels) - 1
+        self.root = self.base.tolist()
+        self.live = (self.known & (self.longest > 0)).tolist()
+        # by length of the state: weights of its arcs, _NONE where there is none, and of its failure arc
+        self.arcs: list[list[float]] = [[]]
+        self.back: list[list[float]] = [[]]
+        for level, lower, (total, _, after), (seen, *_), taken in zip(
+            levels[1:], levels, answers, answers[1:], np.array(model.discounts).reshape(-1, 3), strict=False
+        ):
+            kept = np.flatnonzero(seen > 0)
             held = np.flatnonzero((total > 0) & (after.sum(axis=1) > 0))
             left = np.ones(len(lower.keys))
             left[held] = after[held] @ taken / total[held]
-            back[first[k - 1] + held] = np.log10(left[held])
-            if k > 1:
-                fail[first[k - 1] : first[k - 1] + len(lower.keys)] = first[k - 2] + lower.suffix
-            seen = answers[k][0][kept]
-            suffix = level.suffix[kept]
+            context, suffix, count = level.context[kept], level.suffix[kept], seen[kept]
             longer = np.zeros(len(level.keys))
-            longer[kept] = (seen - taken[np.minimum(seen, 3) - 1]) / total[context] + left[context] * chance[suffix]
+            longer[kept] = (count - taken[np.minimum(count, 3) - 1]) / total[context] + left[context] * chance[suffix]
             chance = longer
-            weights.append(np.log10(longer[kept]))
-            ended = level.last[kept] == block.end
-            target = first[k] + kept if k < order - 1 else first[k - 1] + suffix
-            nexts.append(np.where(ended, 0, target))
-            numbers = range(len(arcs), len(arcs) + len(kept))
-            arcs.update(zip(((first[k - 1] + context) * width + level.last[kept]).tolist(), numbers, strict=True))
-        self.arcs, self.weights, self.nexts = arcs, np.concatenate(weights).tolist(), np.concatenate(nexts).tolist()
-        self.back, self.fail = back.tolist(), fail.tolist()
-        self.root, self.root_next = self.base.tolist(), self.root_next.tolist()
-        self.first = int(first[0] + block.start) if order > 1 and count[block.start] > 0 else 0
-
-    def score(self, tokens: list[int]) -> float:
-        """Log-probability (base 10) of the tokens, from left to right."""
-        arc_of, weights, nexts, back, fail = self.arcs.get, self.weights, self.nexts, self.back, self.fail
-        root, root_next, width = self.root, self.root_next, self.width
-        state, total = self.first, 0.0
-        for token in tokens:
-            while state:
-                arc = arc_of(state * width + token)
-                if arc is not None:
-                    total += weights[arc]
-                    state = nexts[arc]
+            weights = np.full(len(level.keys), _NONE)
+            weights[kept] = np.log10(longer[kept])
+            self.arcs.append(weights.tolist())
+            self.back.append(np.log10(left).tolist())
+
+    def score(self, start: tuple[int, ...], places: Iterable[tuple[int, ...]]) -> float:
+        """Log-probability (base 10) of a text, from left to right.
+
+        ``places`` has, for each token, the numbers of the n-grams that end there, the shortest first, and ``start`` those of the start.
+        """
+        arcs, back, root, live, longest = self.arcs, self.back, self.root, self.live, self.longest
+        total, before = 0.0, start
+        length = 1 if live[start[0]] else 0
+        for place in places:
+            while length:
+                weight = arcs[length][place[length]]
+                if weight != _NONE:
+                    total += weight
+                    if length < longest:
+                        length += 1
                     break
-                total += back[state]
-                state = fail[state]
+                # the failure arc: the same context less its first token
+                length -= 1
+                total += back[length + 1][before[length]]
             else:
-                total += root[token]
-                state = root_next[token]
+                total += root[place[0]]
+                length = 1 if live[place[0]] else 0
+            before = place
         return total
 
 
+#: No log-probability is above 0.
+_NONE = 1.0
+
+
 def _scored(left: pa.Table, right: pa.Table, order: int, model: Model) -> pa.Table:
     block = Block(left.to_pylist()[0], order)
     told: dict[int, list[dict]] = {}
     for row in right.to_pylist():
         told.setdefault(row["level"], []).append(row)
     automaton = Automaton(block, [_answered(level, told.get(n, [])) for n, level in enumerate(block.levels, 1)], model)
-    firsts = block.starts + 1
     there = np.ones(len(block.tokens), bool)
     there[block.starts] = False
     tokens = block.tokens[there]
-    starts = firsts - np.arange(1, len(firsts) + 1)
-    scores = [automaton.score(block.tokens[a : a + n].tolist()) for a, n in zip(firsts.tolist(), block.sizes.tolist(), strict=True)]
+    starts = block.starts - np.arange(len(block.starts))
+    numbers = [level.at.tolist() for level in block.levels]
+    scores = []
+    for a, n in zip(block.starts.tolist(), block.sizes.tolist(), strict=True):
+        start, *places = zip(*(at[a : a + n + 1] for at in numbers), strict=True)
+        scores.append(automaton.score(start, places))
     return pa.table(
         {
             "doc_id": pa.array(block.doc_ids, pa.int64()),
