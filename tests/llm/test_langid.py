@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import corpus_pipeline
 import numpy as np
 import pytest
 
-from tests.llm.helpers import clashing, documents
+from tests.llm.helpers import clashing, documents, prose
 from tillwork.llm import langid
 
 SYLLABLES = {"aa": "the ing tion er ed wh", "bb": "ung sch keit der ie ver", "cc": "ción ra ado ez que í"}
@@ -95,3 +96,65 @@ def test_the_pipeline_drops_unlearnt_languages(spark, languages):
     # clean texts of the table itself stay
     whole = corpus_pipeline.language_id(spark, docs, "")
     assert whole.count() == docs.where("text rlike '[a-zA-Z]'").count()
+
+
+@pytest.mark.parametrize("text", ["½ ② ²", "Ⅷ ⅷ", "⁵", "①②", "३४", "7_8", "…"])
+def test_numbers_are_no_letters(text):
+    """What is no letter has no language, numerals of all scripts included."""
+    assert not any(c.isalpha() for c in text)
+    assert len(langid.slots(text)) == 0
+    model = langid.Model(["de", "en"], np.ones((langid.SLOTS, 2), np.float32), np.zeros(2))
+    assert model.scores(text) is None
+    assert len(langid.slots(f"{text} a {text}")) == len(langid.slots("a"))
+
+
+def test_und_for_numbers(spark):
+    rows = [(i, prose(i, 30), "en") for i in range(30)] + [(100 + i, "und der die das ist nicht mit ein sich auf", "de") for i in range(30)]
+    rows += [(500, "½ ② ²", None), (501, "Ⅷ ⅷ", "de")]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(documents(spark, rows)).collect()}
+    assert got[500] == got[501] == ("und", 0.0)
+    assert got[0][0] == "en"
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows = [(i, "some text", f"l{i}") for i in range(5)]
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        langid.fit(documents(spark, rows))
+
+
+def test_against_a_plain_regression():
+    """Weights of dense proximal steps, one coordinate at a time."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in range(40):
+        at = np.unique(rng.integers(0, 12, 5)) + 100
+        rows.append((n % 3, at, rng.random(len(at)) * (1 + (at % 3 == n % 3) * 3)))
+    weights, bias = langid.train(rows, 3)
+    z, n = {}, {}
+
+    def weight(j, c):
+        zs = z.get((j, c), 0.0)
+        lasso = 0 if j == "bias" else langid.LASSO
+        if abs(zs) <= lasso:
+            return 0.0
+        return -(zs - math.copysign(lasso, zs)) / ((langid.BETA + math.sqrt(n.get((j, c), 0.0))) / langid.ALPHA + langid.RIDGE)
+
+    for _ in range(langid.EPOCHS):
+        for label, at, value in rows:
+            told = [*zip(at.tolist(), value.tolist(), strict=True), ("bias", 1.0)]
+            logits = [sum(v * weight(j, c) for j, v in told) for c in range(3)]
+            top = max(logits)
+            total = sum(math.exp(x - top) for x in logits)
+            old = {(j, c): weight(j, c) for j, _ in told for c in range(3)}
+            for j, v in told:
+                for c in range(3):
+                    g = v * (math.exp(logits[c] - top) / total - (c == label))
+                    before = n.get((j, c), 0.0)
+                    step = (math.sqrt(before + g * g) - math.sqrt(before)) / langid.ALPHA
+                    z[j, c] = z.get((j, c), 0.0) + g - step * old[j, c]
+                    n[j, c] = before + g * g
+    for j in range(100, 112):
+        assert weights[j] == pytest.approx([weight(j, c) for c in range(3)], abs=1e-9)
+    assert bias == pytest.approx([weight("bias", c) for c in range(3)], abs=1e-9)
+    assert (weights[:100] == 0).all()

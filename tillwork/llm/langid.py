@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -24,6 +25,8 @@ from tillwork.llm.shared import documents, kind_of, numbered, pick, ready, texts
 UNKNOWN = "und"
 SLOTS = 1 << 16
 SIZES = (1, 2, 3)
+#: Languages that a model can learn; the weights take 512 KB for each of them.
+MOST_LANGUAGES = 1000
 #: About so many labelled texts train the model and fit its temperature, evenly by language.
 SAMPLE = 6000
 EPOCHS = 4
@@ -31,7 +34,9 @@ EPOCHS = 4
 SCALE = 100.0
 # follow-the-regularised-leader: step size, its offset, and the two penalties
 ALPHA, BETA, LASSO, RIDGE = 1.0, 1.0, 0.02, 0.01
-_OTHER = re.compile(r"[\W\d_]+")
+# what \w takes besides letters, digits and "_": characters that stand for numbers, such as fractions and Roman numerals
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
 
 
 def slots(text: str | None) -> np.ndarray:
@@ -178,14 +183,18 @@ def fit(
     With ``held_out``, rows whose id falls into that fold (crc32 of the id as text, modulo ``folds``) are not read, nor are rows
     without an id.  Training takes about ``sample`` texts: of each language the share of rows that gives it an equal part,
     chosen by a hash of the id, and all rows of languages that have fewer.  One in five of them fits the temperature.
-    Without labelled texts that have letters the model has no classes and calls everything ``und``.
+    Without labelled texts that have letters, as in an empty table, the model has no classes and calls everything ``und``.  More than
+    ``MOST_LANGUAGES`` labels are an error.
     """
     ready(docs.sparkSession)
     told = pick(docs, doc_id=id_col, lang=lang_col, text=text_col)
     if held_out is not None:
         told = told.where(remainder("doc_id", folds) != held_out)
     labelled = told.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
+    counted = labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: {lang_col} holds something else")
+    counts = {r["lang"]: r["count"] for r in counted}
     if not counts:
         return Model([], np.zeros((SLOTS, 0), np.float32), np.zeros(0))
     part = sample / len(counts)
