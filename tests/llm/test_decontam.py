@@ -68,11 +68,8 @@ def test_spans_case_and_marks():
 def test_short_items(length):
     item = prose(5, 12)[:length].strip()
     index = decontam.index_of([(1, item)])
-    if len(folded(item)) < decontam.Q:
-        assert index is None
-    else:
-        assert (index.bound >= 1).all()
-        assert decontam.leaks_of("some text " + item + " more", index)
+    assert (index.bound >= 1).all()
+    assert decontam.leaks_of("some text " + item + " more", index)
 
 
 def test_repeating_texts():
@@ -135,3 +132,32 @@ def test_items_without_an_id(spark):
     # different items without an id that overlap are both told
     index = decontam.index_of([(None, prose(800, 20)), (None, prose(800, 20) + " the")])
     assert [s["item_id"] for s in decontam.leaks_of(prose(800, 20) + " the", index)] == [None, None]
+
+
+@pytest.mark.parametrize("item", ["7", "é?", "x7!", "42 x", "ab cd", "42 x7.", "a b c d", "  Q & A "])
+def test_items_without_a_qgram(item):
+    """Items of 1 to 7 characters leak where the same words stand, and nowhere else."""
+    plain = folded(item)
+    assert 0 < len(plain) < decontam.Q
+    index = decontam.index_of([(1, item), (2, prose(3, 12))])
+    alone = decontam.index_of([(1, item)])
+    for host in (f"so {item} it is", item, f"{item}, and {item}", item.upper() + "\n" + prose(4, 40)):
+        for told in (index, alone):
+            spans = [s for s in decontam.leaks_of(host, told) if s["item_id"] == 1]
+            places = [i for i in range(len(folded(host))) if f" {folded(host)} ".startswith(f" {plain} ", i)]
+            assert len(spans) == len(places) > 0
+            assert all(folded(host[s["start"] : s["end"]]) == plain and s["edits"] == 0 for s in spans)
+    words = plain.split()
+    for host in ("", "nothing here", "x".join(words) + "x", "z" + plain, plain + "z", " and ".join([*words, "so"]) if len(words) > 1 else "zz"):
+        assert decontam.leaks_of(host, index) == decontam.leaks_of(host, alone) == []
+
+
+def test_short_items_over_a_table(spark):
+    items = spark.createDataFrame([(1, "42 x7"), (2, "..."), (3, prose(8, 15)), (None, "ok")], "item_id long, text string")
+    docs = documents(spark, [(1, "say 42 X7 now"), (2, prose(8, 15)), (3, "..."), (4, "42 x 7"), (5, "OK"), (6, None), (7, "")])
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, items).collect()}
+    assert got == {(1, 1), (2, 3), (5, None)}
+    assert sorted(r["doc_id"] for r in decontam.remove_leaking(docs, items).collect()) == [3, 4, 6, 7]
+    only_marks = items.where("item_id = 2")
+    assert decontam.find_leaks(docs, only_marks).count() == 0
+    assert decontam.remove_leaking(docs, only_marks).count() == 7

@@ -5,7 +5,8 @@ If some region of a document is within ``k`` edits of a benchmark item of ``m``
 the item).  Shared q-grams are counted in bands of ``2 (k + 1)`` diagonals that overlap by half, so one band holds all of
 a region's; bands that reach the bound are aligned, and what stays within ``k`` edits is a leak.
 
-Texts are compared in lower case, with every run of other characters than letters and digits as one space.  The items
+Texts are compared in lower case, with every run of other characters than letters and digits as one space.  Items of fewer
+than q characters have no q-gram and no budget: they are found where the same words stand.  The items
 go to the tasks, in blocks of bounded size.  Of several blocks, each is one pass over the documents whose leaks are
 written before the next index is made, so the driver and a task hold one index; documents are shuffled only then,
 once, to remove those that leak.
@@ -90,20 +91,32 @@ class Index:
     first: np.ndarray  # of each hash, among the entries
     entry_item: np.ndarray
     entry_place: np.ndarray
+    short: dict[tuple[str, ...], list[int | None]]  # items of fewer than q characters, by their words
 
 
 SIEVE_BITS = 22
 
 
+def _words(points: np.ndarray) -> list[str]:
+    """The words of folded characters."""
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").split(" ")
+
+
 def index_of(items: list[tuple[int | None, str]], q: int = Q, error: float = ERROR) -> Index | None:
-    """The index of items of at least ``q`` characters; None without any.
+    """The index of all items that have a letter or digit; None without any.
 
     Items too short for a sure shared q-gram under the full budget get the largest budget that leaves one.
     """
-    told = [(i, fold(text)[0]) for i, text in items]
-    told = [(i, points) for i, points in told if len(points) >= q]
+    folded = [(None if i is None else int(i), fold(text)[0]) for i, text in items]
+    short: dict[tuple[str, ...], list[int | None]] = {}
+    for i, points in folded:
+        if 0 < len(points) < q:
+            short.setdefault(tuple(_words(points)), []).append(i)
+    told = [(i, points) for i, points in folded if len(points) >= q]
     if not told:
-        return None
+        none = np.zeros(0, np.int64)
+        empty = Index(q, [], [], none, none, np.zeros(1 << SIEVE_BITS, bool), none.astype(np.uint64), np.zeros(1, np.int64), none, none, short)
+        return empty if short else None
     lengths = np.array([len(points) for _, points in told])
     budget = np.minimum((lengths * error).astype(int), (lengths - q) // q)
     hashed = [grams(points, q) for _, points in told]
@@ -115,13 +128,15 @@ def index_of(items: list[tuple[int | None, str]], q: int = Q, error: float = ERR
     sieve = np.zeros(1 << SIEVE_BITS, bool)
     sieve[(hashes >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
     return Index(
-        q, [None if i is None else int(i) for i, _ in told], [points for _, points in told], budget, lengths - q + 1 - budget * q, sieve,
-        hashes, np.append(first, len(flat)), item[order], place[order],
+        q, [i for i, _ in told], [points for _, points in told], budget, lengths - q + 1 - budget * q, sieve,
+        hashes, np.append(first, len(flat)), item[order], place[order], short,
     )
 
 
 def _band_counts(points: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """Items and bands that share q-grams enough with a document."""
+    if not index.items:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     hashed = grams(points, index.q)
     passed = np.flatnonzero(index.sieve[(hashed >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
     if len(passed):
@@ -207,6 +222,20 @@ def _exact(item: np.ndarray, text: np.ndarray) -> int | None:
     return None
 
 
+def _short_leaks(points: np.ndarray, places: np.ndarray, index: Index) -> Iterator[dict]:
+    """Items of fewer than q characters, word for word; of overlapping places of one item the first."""
+    words = _words(points)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    after: dict[tuple[str, ...], int] = {}
+    for size in sorted({len(key) for key in index.short}):
+        for at, key in enumerate(zip(*(words[i:] for i in range(size)), strict=False)):
+            if key in index.short and at >= after.get(key, 0):
+                after[key] = at + size
+                start, end = int(ends[at]) - len(words[at]), int(ends[at + size - 1])
+                for item_id in index.short[key]:
+                    yield {"item_id": item_id, "start": int(places[start]), "end": int(places[end - 1]) + 1, "edits": 0}
+
+
 def leaks_of(text: str | None, index: Index) -> list[dict]:
     """Regions of a text within the edit budget of an item: item_id, start, end, edits; start and end count the text's characters."""
     if not text:
@@ -235,7 +264,10 @@ def leaks_of(text: str | None, index: Index) -> list[dict]:
         key = (item_id, int(item) if item_id is None else None, start // max(1, len(pattern) // 2))
         if key not in found or edits < found[key]["edits"]:
             found[key] = span
-    return sorted(found.values(), key=lambda s: (s["start"], s["item_id"] is not None, s["item_id"] or 0))
+    spans = list(found.values())
+    if index.short and len(points):
+        spans += _short_leaks(points, places, index)
+    return sorted(spans, key=lambda s: (s["start"], s["item_id"] is not None, s["item_id"] or 0))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], index: Index, text: int, spans: int) -> Iterator[pa.RecordBatch]:
@@ -285,8 +317,9 @@ def find_leaks(
     """One row per leak: doc_id, item_id, start and end (characters of the text), edits; documents without leaks have none.
 
     Null and empty texts hold no leak; repeated rows of a document repeat its leaks; repeated items count once; an item
-    without an id is searched like others and its leaks have a null ``item_id``; items that
-    have fewer than ``q`` letters, digits and spaces between them are too short to be searched; of overlapping regions of one item the best stays.
+    without an id is searched like others and its leaks have a null ``item_id``; an item of fewer than ``q`` letters, digits and spaces
+    between them leaks where its words stand unchanged, one without any nowhere; of overlapping regions of one item the best stays.  Other
+    columns are ignored; an empty table of either kind gives no rows.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
     passes = _passes(rows, "text", benchmark, item_col, item_text_col, q, error)
@@ -305,7 +338,10 @@ def remove_leaking(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose text holds no leak, with all their columns."""
+    """The rows of ``docs`` whose text holds no leak (see ``find_leaks``), with all their columns.
+
+    Null and empty texts stay, and so do all rows if there are no items; repeated rows stay or go together.
+    """
     flat = numbered(docs)
     text = f"c{docs.columns.index(text_col)}"
     passes = _passes(flat, text, benchmark, item_col, item_text_col, q, error)
