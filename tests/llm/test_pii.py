@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.helpers import clashing, documents, odd_rows
@@ -108,6 +111,103 @@ def test_credentials_of_letters_alone(before):
     assert pii.replace(f"login with {before}{value} now 7", KEY)[0] == text + " 7"
 
 
+@pytest.mark.parametrize(
+    ("before", "value"),
+    [
+        ("password=", "correct-horse"), ("Password=", "p@ssw0rd!"), ("password: ", "s3"), ("pwd=", "a"), ("PASSWD = ", "x" * 500),
+        ('"password": "', "in-quotes#1"), ("password=", "größe-Ж漢字"), ("password=", "a1" * 5000), ("my_pwd:", "tail;drop"),
+    ],
+)
+def test_passwords_are_replaced_whole(before, value):
+    after = '" end' if before.endswith('"') else " end"
+    text, (found,) = pii.replace(f"x {before}{value}{after}", KEY)
+    start = len(f"x {before}")
+    assert (found["kind"], found["start"], found["end"]) == ("credential", start, start + len(value))
+    new = found["pseudonym"]
+    assert text == f"x {before}{new}{after}"
+    assert len(new) == len(value)
+    assert [c for c in new if not c.isalnum()] == [c for c in value if not c.isalnum()]
+    if len(value) > 1:
+        assert new != value
+        # no word of it is left
+        assert not {w for w in re.split(r"\W+", value) if len(w) > 3} & set(re.split(r"\W+", new))
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("secret", "9f" * 70), ("secret", "0123456789abcdef" * 400), ("email", "a.b" * 60 + "@example.com"), ("email", "José.núñez@example.com"),
+        ("email", "иван.петров@пример.рф"), ("credential", "ghp_" + "a1B2" * 9), ("credential", "sk_live_51Hx9QeAbCdEf"), ("phone", "212.555.1234"),
+        ("phone", "212 555 1234"), ("ip", "2001:db8:85a3:0:0:8a2e:370:7334"), ("ip", "fe80::1ff:fe23:4567:890a"), ("date", "5 janvier 1990"),
+        ("date", "5. März 1990"), ("date", "5 de enero de 1990"), ("date", "14 march 2021"), ("date", "MARCH 14, 2021"), ("date", "3 août 2001"),
+    ],
+)
+def test_more_forms(kind, value):
+    text, found = pii.replace(f"see {value}, and {value}.", KEY)
+    assert [(f["kind"], f["start"], f["end"]) for f in found] == [(kind, a, a + len(value)) for a in (4, 4 + len(value) + 6)]
+    new = found[0]["pseudonym"]
+    assert text == f"see {new}, and {new}."
+    assert new != value
+    assert pii.pseudonym(kind, new, KEY) is not None
+    if kind != "ip" and kind != "date":
+        assert re.sub(r"[^\W_]", "x", new) == re.sub(r"[^\W_]", "x", value)
+
+
+def test_letters_of_other_scripts_stay_in_their_script():
+    new = pii.pseudonym("email", "Ёлка漢é@example.com", KEY)
+    assert new[0].isupper() and "CYRILLIC" in unicodedata.name(new[0])
+    assert all("CYRILLIC" in unicodedata.name(c) for c in new[1:4])
+    assert "CJK" in unicodedata.name(new[4]) and "LATIN" in unicodedata.name(new[5])
+
+
+def test_long_values_stay_apart():
+    base = "ab1" * 100
+    values = {base[:i] + c + base[i + 1 :] for i in (0, 127, 128, 200, 299) for c in "xyz"} | {base, base[:-1]}
+    assert len({pii.pseudonym("credential", v, KEY) for v in values}) == len(values)
+    hexes = {f"{i:0300x}" for i in range(1, 300)}
+    assert len({pii.pseudonym("secret", v, KEY) for v in hexes}) == len(hexes)
+
+
+def test_a_number_ends_with_its_countrys_longest():
+    plain = pii.replace("+44 20 7946 0958", KEY)[0]
+    assert pii.replace("+44 20 7946 0958 12 people", KEY)[0] == plain + " 12 people"
+    assert pii.replace("std::vector a::b 10::", KEY)[1] == []
+
+
+def plainly(text):
+    """What a plain look at each word finds: kinds whose values are a word of their own in the given texts."""
+    found = []
+    for match in re.finditer(r"\S+", text):
+        word = match[0].strip(".,;:!?()\"'#*$%&")
+        if word.count("@") == 1 and "." in word.split("@")[1] and word.split("@")[0]:
+            found.append(("email", word))
+        elif word.lower().startswith("password="):
+            found.append(("credential", match[0][len("password=") :].split('"')[0]))
+        elif len(word) == 11 and [len(p) for p in word.split("-")] == [3, 2, 4] and word.replace("-", "").isdigit():
+            found.append(("ssn", word))
+        elif word.count(".") == 3 and all(p.isdigit() and int(p) < 256 and str(int(p)) == p for p in word.split(".")):
+            found.append(("ip", word))
+        elif word.isdigit() and 13 <= len(word) <= 19:
+            total = sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, reversed(word))))
+            if total % 10 == 0 and len(set(word)) > 1:
+                found.append(("card", word))
+    return found
+
+
+def test_given_texts_against_a_plain_look():
+    told = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    seen = Counter()
+    for text in filter(None, told):
+        _, found = pii.replace(text, KEY)
+        got = Counter((f["kind"], text[f["start"] : f["end"]]) for f in found)
+        wanted = Counter(plainly(text))
+        for (kind, value), n in wanted.items():
+            if pii.pseudonym(kind, value, KEY) is not None:
+                assert got[(kind, value)] >= n, (kind, value)
+                seen[kind] += n
+    assert seen["email"] > 5 and sum(seen.values()) > 30, seen
+
+
 def test_one_to_one():
     cards = {f"4{i:014d}" for i in range(2000)}
     new = {pii.pseudonym("card", c + str(pii.luhn_digit(c)), KEY) for c in cards}
@@ -127,3 +227,6 @@ def test_rows(spark):
     assert kept.columns == clashing(docs).columns
     assert kept.count() == docs.count()
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+    assert pii.pseudonymise_rows(docs.limit(0)).count() == 0
+    by = {(r["doc_id"], r["n_chars"]) for r in pii.pseudonymise_rows(docs).collect()}
+    assert {(3, None), (4, 0), (None, None)} <= by
