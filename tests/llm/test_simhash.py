@@ -81,3 +81,18 @@ def test_missing_ids_and_empty_tables(spark):
     assert simhash.keep_first(docs).count() == 3
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.keep_first(docs.limit(0)).count() == 0
+
+
+def test_one_id_with_many_texts(spark):
+    """Rows of one id that are no near duplicates all stay; which of near duplicates stays does not hang on the order."""
+    rows = [(i % 20, prose(i, 40)) for i in range(60)]
+    kept = {(r["doc_id"], r["text"]) for r in simhash.keep_first(documents(spark, rows)).collect()}
+    assert kept == set(rows)
+    copies = [(7, rows[0][1]), (0, rows[0][1]), (0, rows[0][1].upper()), (0, rows[0][1])]
+    told = {
+        tuple(sorted((r["doc_id"], r["text"]) for r in simhash.keep_first(documents(spark, order).repartition(n)).collect()))
+        for n, order in enumerate([copies, copies[::-1], [*copies[2:], *copies[:2]]], 1)
+    }
+    assert len(told) == 1
+    ((stays,),) = told
+    assert stays in {(0, rows[0][1]), (0, rows[0][1].upper())}

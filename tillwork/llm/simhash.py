@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tillwork.llm.components import components
 from tillwork.llm.shared import documents, numbered, ready, stored, texts
@@ -45,6 +46,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
 
+def _row_fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.array([fingerprint(text, shingle) for text in texts(batch)], np.uint64).view(np.int64)
+        columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "fp"])
+
+
 def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the fingerprint's bits as a long), one row per input row."""
     ready(docs.sparkSession)
@@ -74,6 +82,13 @@ def links(distinct: DataFrame, *, max_bits: int = 3, blocks: int = 6) -> DataFra
     return pairs.select("a", "b").distinct()
 
 
+def _labels(classes: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """fp, label (equal for the fingerprints of one component), for every fingerprint of ``classes``."""
+    found = components(links(classes.select("fp"), max_bits=max_bits, blocks=blocks))
+    told = classes.join(found, classes["fp"] == found["node"], "left")
+    return told.select(*classes.columns, F.coalesce("component", "fp").alias("label"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -86,14 +101,12 @@ def near_duplicates(
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links).
 
     Null texts and texts without words have fingerprint zero and link as any other; repeated rows share a
-    fingerprint and hence a component; a null doc_id is never a component_id unless all of a component's are null.
+    fingerprint and hence a component; a null doc_id is never a component_id unless all of a component's are null.  Other
+    columns are ignored; an empty table has no rows.
     """
     prints = stored(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    label = components(links(classes.select("fp"), max_bits=max_bits, blocks=blocks))
-    labelled = classes.join(label, classes["fp"] == label["node"], "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("label")
-    )
+    labelled = _labels(classes, max_bits, blocks)
     first = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_class = labelled.join(first, "label").select(F.col("fp").alias("of_fp"), "component_id")
     return prints.join(of_class, F.col("fp") == F.col("of_fp")).select(
@@ -101,13 +114,34 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are the first of their component; of rows with one id one stays.
+def keep_first(
+    docs: DataFrame,
+    *,
+    shingle: int = 3,
+    max_bits: int = 3,
+    blocks: int = 6,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each component of near duplicates (see ``near_duplicates``), with all its columns.
 
-    Rows without an id cannot stand for a group nor be told apart, and all stay.
+    That of smallest id stays.  Of several rows with that id, in one component, that of smallest hash of all its columns
+    stays, whatever the order in which they come; rows of one id whose texts are no near duplicates are in components of their own
+    and each can stay.  Rows without an id cannot stand for a group, and all stay.  An empty table has no rows.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first_id")).distinct()
-    flat, key = numbered(docs), f"c{docs.columns.index(id_col)}"
-    kept = flat.join(first, F.col(key) == F.col("first_id"), "left_semi").dropDuplicates([key])
+    flat, key, text = numbered(docs), f"c{docs.columns.index(id_col)}", f"c{docs.columns.index(text_col)}"
+    plain = [f.name for f in flat.schema if not isinstance(f.dataType, MapType)]
+    marked = flat.withColumns(
+        {"h1": F.xxhash64(*plain, *[F.col(c).isNull() for c in plain]), "h2": F.xxhash64(F.lit(1), *plain, *[F.col(c).isNull() for c in plain])}
+    )
+    row = [key, "h1", "h2"]
+    told = marked.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *[F.col(c) for c in ("h1", "h2")])
+    kind = "doc_id long, h1 long, h2 long, fp long"
+    prints = stored(told.mapInArrow(partial(_row_fingerprints, shingle=shingle), kind), "row-fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("best")
+    labelled = _labels(prints.groupBy("fp").agg(best), max_bits, blocks)
+    first = labelled.groupBy("label").agg(F.min("best").alias("best")).select("best.doc_id", "best.h1", "best.h2")
+    same = [marked[key].cast("long") == first["doc_id"], marked["h1"] == first["h1"], marked["h2"] == first["h2"]]
+    # rows that are alike in all columns are one
+    kept = marked.join(first, same, "left_semi").dropDuplicates(row).select(*flat.columns)
     return kept.unionByName(flat.where(F.col(key).isNull())).toDF(*docs.columns)
