@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import clashing, documents, odd_rows, prose
@@ -63,21 +64,36 @@ def test_special_strings_and_cache(monkeypatch):
 
 
 def test_rows(spark, monkeypatch):
-    rows = [r for r in odd_rows() if r[0] is not None] + [(100 - i, prose(i, 30)) for i in range(40)]
+    rows = odd_rows() + [(None, "another"), *((100 - i, prose(i, 30)) for i in range(40))]
     docs = clashing(documents(spark, rows).repartition(4))
     told = idfiles.digests(idfiles.round_trip(docs, FILE, partitions=5)).orderBy("start").collect()
     library = Tokenizer.from_file(FILE)
-    assert [r["doc_id"] for r in told] == sorted(r[0] for r in rows)
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    assert [r["doc_id"] for r in told] == [r[0] for r in ordered]
     start = 0
-    wanted = {r[0]: library.encode(r[1] or "", add_special_tokens=False).ids + [0] for r in rows}
-    for r in told:
-        ids = wanted[r["doc_id"]]
+    for r, row in zip(told, ordered, strict=True):
+        ids = library.encode(row[1] or "", add_special_tokens=False).ids + [0]
         crc = zlib.crc32(np.array(ids, "<u4").tobytes())
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), crc)
         start += len(ids)
     assert idfiles.round_trip(docs.limit(0), FILE).count() == 0
 
 
-def test_null_ids_are_left_out(spark):
-    docs = documents(spark, [(None, "a b"), (2, "c")])
-    assert [r["doc_id"] for r in idfiles.round_trip(docs, FILE).collect()] == [2]
+def test_rows_without_an_id_come_last(spark):
+    docs = documents(spark, [(None, "a b"), (2, "c"), (None, None), (-5, "d")])
+    told = idfiles.round_trip(docs, FILE, partitions=3).orderBy("start").collect()
+    assert [r["doc_id"] for r in told] == [-5, 2, None, None]
+    assert [len(r["ids"]) for r in told] == [2, 2, 1, 3]
+    with pytest.raises(ValueError, match="last"):
+        idfiles.pack_file([None, 1], [b"\0" * 4] * 2)
+
+
+def test_several_files_in_a_partition(spark):
+    """Files know their first id's number without the driver's list of them."""
+    one = prose(1, 3000)
+    docs = documents(spark, [(i, one) for i in range(1500)]).coalesce(1)
+    files = idfiles.write_ids(docs, folder := idfiles.shared_folder(spark, "ids"), FILE, partitions=1)
+    assert files.count() == 2
+    told = idfiles.read_back(files, folder).select("doc_id", "start", F.size("ids").alias("n")).orderBy("start").collect()
+    assert [r["doc_id"] for r in told] == list(range(1500))
+    assert all(a["start"] + a["n"] == b["start"] for a, b in zip(told, told[1:], strict=False))

@@ -26,13 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillwork.llm.shared import documents, ready, shared_folder, texts
+from tillwork.llm.shared import documents, ready, shared_folder, stored, texts
 
 MAGIC = b"PFOR1\0\0\0"
-HEAD = struct.Struct("<8sIIIIQ")
+HEAD = struct.Struct("<8sIIIIIIQ")
+VERSION = 2
 BLOCK_HEAD = struct.Struct("<IHBBI")
 BLOCK = 1024
 PERCENTILE = 0.9
@@ -103,23 +105,27 @@ def unpack_block(data: memoryview) -> np.ndarray:
 # -- files ----------------------------------------------------------------------------------------------
 
 
-def pack_file(doc_ids: list[int], ids: list[bytes]) -> bytes:
-    """A whole file from the documents' ids as little-endian unsigned 32-bit integers."""
+def pack_file(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
+    """A whole file from the documents' ids as little-endian unsigned 32-bit integers; documents without an id come last."""
+    unnamed = doc_ids.count(None)
+    if None in doc_ids[: len(doc_ids) - unnamed]:
+        raise ValueError("documents without an id come last")
     flat = np.frombuffer(b"".join(ids), ID)
     ends = np.cumsum([len(x) // ID.itemsize for x in ids]).astype("<u8")
     blocks = [pack_block(flat[i : i + BLOCK]) for i in range(0, len(flat), BLOCK)]
     starts = np.cumsum([0] + [len(b) for b in blocks]).astype("<u8")
-    head = HEAD.pack(MAGIC, 1, BLOCK, len(doc_ids), len(blocks), len(flat))
-    return b"".join([head, np.array(doc_ids, "<i8").tobytes(), ends.tobytes(), starts.tobytes(), *blocks])
+    head = HEAD.pack(MAGIC, VERSION, BLOCK, len(doc_ids), len(blocks), unnamed, 0, len(flat))
+    return b"".join([head, np.array([i or 0 for i in doc_ids], "<i8").tobytes(), ends.tobytes(), starts.tobytes(), *blocks])
 
 
-def read_index(data: memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def read_index(data: memoryview) -> tuple[list[int | None], np.ndarray, np.ndarray, int]:
     """doc_ids, ends of the documents, starts of the blocks, and where the blocks begin."""
-    magic, version, block, n_docs, n_blocks, _ = HEAD.unpack_from(data)
-    if magic != MAGIC or version != 1 or block != BLOCK:
+    magic, version, block, n_docs, n_blocks, unnamed, _, _ = HEAD.unpack_from(data)
+    if magic != MAGIC or version != VERSION or block != BLOCK:
         raise ValueError("not a file of this format")
     at = HEAD.size
-    doc_ids = np.frombuffer(data, "<i8", n_docs, at)
+    doc_ids = np.frombuffer(data, "<i8", n_docs, at).tolist()
+    doc_ids[n_docs - unnamed :] = [None] * unnamed
     ends = np.frombuffer(data, "<u8", n_docs, at + 8 * n_docs).astype(np.int64)
     starts = np.frombuffer(data, "<u8", n_blocks + 1, at + 16 * n_docs).astype(np.int64)
     return doc_ids, ends, starts, at + 16 * n_docs + 8 * (n_blocks + 1)
@@ -133,12 +139,12 @@ def read_ids(data: memoryview, start: int, end: int) -> np.ndarray:
     return np.concatenate([np.zeros(0, ID), *found])[start - first * BLOCK : end - first * BLOCK]
 
 
-def unpack_file(data: memoryview) -> Iterator[tuple[int, int, np.ndarray]]:
+def unpack_file(data: memoryview) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """doc_id, start among the file's ids, and ids of each document, one after another."""
     doc_ids, ends, starts, base = read_index(data)
     held, at, block = np.zeros(0, ID), 0, 0  # unpacked ids, the place of the first, the next block
     start = 0
-    for doc_id, end in zip(doc_ids.tolist(), ends.tolist(), strict=True):
+    for doc_id, end in zip(doc_ids, ends.tolist(), strict=True):
         parts, have = [held], at + len(held)
         while have < end:
             parts.append(unpack_block(data[base + starts[block] : base + starts[block + 1]]))
@@ -203,14 +209,17 @@ class Encoder:
             self.older, self.newer = self.newer, {}
         end = np.array([END_ID], ID).tobytes()
         split = [_SEGMENT.findall(text) if text else [] for text in some]
-        new = set().union(*split).difference(self.newer)
+        get = self.newer.get
+        told = [list(map(get, segments)) for segments in split]
+        open_ = [i for i, parts in enumerate(told) if None in parts]
+        new = {s for i in open_ for s, part in zip(split[i], told[i], strict=True) if part is None}
         self._kept(new)
-        get = self.newer.__getitem__
-        found = [b"".join(map(get, segments)) + end for segments in split]
+        for i in open_:
+            told[i] = [part or get(s) for s, part in zip(split[i], told[i], strict=True)]
         for segment in new:
             if len(segment) > LONGEST_KEPT:
                 del self.newer[segment]
-        return found
+        return [b"".join(parts) + end for parts in told]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -234,18 +243,18 @@ def _put(folder: str, name: str, data: bytes) -> None:
 
 
 def _written(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str) -> Iterator[pa.RecordBatch]:
-    """Write the sorted documents of one partition; tell each file's name, documents and ids."""
+    """Write the sorted documents of one partition; tell each file's name, and the partition's ids before it and in it."""
     encoder, partition = encoder_at(tokenizer), TaskContext.get().partitionId()
-    doc_ids: list[int] = []
+    doc_ids: list[int | None] = []
     ids: list[bytes] = []
-    held = number = 0
+    held = number = before = 0
 
     def close() -> pa.RecordBatch:
-        nonlocal doc_ids, ids, held, number
+        nonlocal doc_ids, ids, held, number, before
         name = f"ids-{partition:08d}-{number:06d}.pfor"
         _put(folder, name, pack_file(doc_ids, ids))
-        told = pa.RecordBatch.from_pylist([{"file": name, "n_docs": len(doc_ids), "n_ids": held}])
-        doc_ids, ids, held, number = [], [], 0, number + 1
+        told = pa.RecordBatch.from_pylist([{"file": name, "part": partition, "before": before, "n_ids": held}])
+        doc_ids, ids, held, number, before = [], [], 0, number + 1, before + held
         return told
 
     for batch in batches:
@@ -261,24 +270,29 @@ def _written(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str) ->
 
 def write_ids(
     docs: DataFrame, folder: str, tokenizer: str, *, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> list[tuple[str, int]]:
-    """Write the ids of all documents to files below ``folder``, in ascending order of doc_id, and return the files' names and first id numbers.
+) -> DataFrame:
+    """Write the ids of all documents to files below ``folder``, in ascending order of doc_id, and return the files: file, first (its first id's number).
 
     Documents are dealt out by ranges of doc_id and sorted there, so file names sort as their documents do.  Null texts
-    count as empty and have the end id alone; rows of equal doc_id stay side by side, ordered by text;
-    rows without a doc_id are left out, for the order does not say where they belong; an
-    empty table makes no file.  What comes back has one entry for every IDS_PER_FILE ids.
+    count as empty and have the end id alone; rows of equal doc_id stay side by side, ordered by text; rows without a
+    doc_id come after all others; an empty table makes no file.  The driver gets one row for each partition; the
+    table of files, one row for every IDS_PER_FILE ids, is written to the shared folder.
     """
     spark = docs.sparkSession
     ready(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    told = documents(docs, id_col, text_col).where("doc_id is not null")
+    told = documents(docs, id_col, text_col)
     # the text orders rows of equal doc_id, and no more
-    dealt = told.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = F.col("doc_id").asc_nulls_last()
+    dealt = told.repartitionByRange(partitions, order).sortWithinPartitions(order, "text")
     write = partial(_written, folder=folder, tokenizer=tokenizer)
-    files = sorted(map(tuple, dealt.mapInArrow(write, "file string, n_docs long, n_ids long").collect()))
-    firsts = np.cumsum([0] + [n for _, _, n in files]).tolist()
-    return [(name, first) for (name, _, _), first in zip(files, firsts, strict=False)]
+    files = stored(dealt.mapInArrow(write, "file string, part long, before long, n_ids long"), "id-files")
+    totals = sorted(tuple(r) for r in files.groupBy("part").agg(F.sum("n_ids")).collect())
+    firsts = np.cumsum([0] + [n for _, n in totals]).tolist()
+    if not totals:
+        return files.select("file", F.col("before").alias("first"))
+    of_part = F.create_map(*[F.lit(x) for (part, _), first in zip(totals, firsts, strict=False) for x in (part, first)])
+    return files.select("file", (of_part[F.col("part")] + F.col("before")).alias("first"))
 
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
@@ -287,7 +301,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
         for row in batch.to_pylist():
             with system.open_input_stream(f"{path}/{row['file']}") as told:
                 data = memoryview(told.read())
-            out: list[tuple[int, int, np.ndarray]] = []
+            out: list[tuple[int | None, int, np.ndarray]] = []
             held = 0
             for doc in unpack_file(data):
                 out.append(doc)
@@ -299,7 +313,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
                 yield _rows(out, row["first"])
 
 
-def _rows(out: list[tuple[int, int, np.ndarray]], first: int) -> pa.RecordBatch:
+def _rows(out: list[tuple[int | None, int, np.ndarray]], first: int) -> pa.RecordBatch:
     ends = np.cumsum([0] + [len(ids) for _, _, ids in out])
     flat = np.concatenate([ids for _, _, ids in out])
     return pa.RecordBatch.from_arrays(
@@ -312,13 +326,12 @@ def _rows(out: list[tuple[int, int, np.ndarray]], first: int) -> pa.RecordBatch:
     )
 
 
-def read_back(spark: SparkSession, folder: str, files: list[tuple[str, int]]) -> DataFrame:
+def read_back(files: DataFrame, folder: str) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents before it), ids (array<int>, the end id included)."""
-    kind = "doc_id long, start long, ids array<int>"
-    if not files:
-        return spark.createDataFrame([], kind)
-    names = spark.createDataFrame(files, "file string, first long").repartition(len(files))
-    return names.mapInArrow(partial(_read, folder=folder), kind)
+    spark = files.sparkSession
+    # files are of like size; a task reads several where there are many
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return files.repartition(tasks).mapInArrow(partial(_read, folder=folder), "doc_id long, start long, ids array<int>")
 
 
 def crc32(ids: Iterable[np.ndarray]) -> list[int]:
@@ -343,4 +356,4 @@ def digests(ids: DataFrame) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str, **columns: str) -> DataFrame:
     """Write the ids of all documents to a new shared folder and read them back."""
     folder = shared_folder(docs.sparkSession, "ids")
-    return read_back(docs.sparkSession, folder, write_ids(docs, folder, tokenizer, **columns))
+    return read_back(write_ids(docs, folder, tokenizer, **columns), folder)
