@@ -52,6 +52,15 @@ def test_without_labels(spark, tables):
     assert toxicity.assess(docs.limit(0), labels).count() == 0
 
 
+def test_other_labels_are_passed_over(spark, tables):
+    docs, _ = tables
+    small = docs.where("doc_id < 20")
+    odd = labels = spark.createDataFrame([(i, 5 if i % 2 else -3) for i in range(20)], "doc_id long, toxic int")
+    assert {r["score"] for r in toxicity.assess(small, odd).collect()} == {0.0}
+    some = labels.unionByName(spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, toxic int"))
+    assert {r["score"] for r in toxicity.assess(small, some).collect()} == {1.0}
+
+
 def test_features():
     zero = toxicity.features(None, {})
     assert zero == toxicity.features("", {}) == [0.0] * len(toxicity.FEATURES)

@@ -195,11 +195,12 @@ def fit(
 ) -> Model:
     """Fit on about ``sample`` labelled texts, chosen evenly by a hash of their ids.
 
-    Labels are 0 or 1; null labels and ids are passed over, and an id with several labels counts as toxic if any says so.  The sample's
-    ids are broadcast: ``sample`` bounds them.
+    Labels are 0 or 1; null and other labels and null ids are passed over, and an id with several labels counts as toxic if any says so.
+    Without labels, as in an empty table, every score is 0; with labels of one kind it is their share.  Extra columns are
+    ignored.  The sample's ids are broadcast: ``sample`` bounds them.
     """
     ready(docs.sparkSession)
-    known = pick(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label is not null")
+    known = pick(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     total, positive = known.agg(F.count("*"), F.sum("label")).first()
     if not total:
