@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from tillwork.llm.components import components
 
 
@@ -35,3 +37,21 @@ def test_loops_nulls_and_nothing(spark):
     made = spark.createDataFrame([(1, 1), (None, 2), (3, None), (4, 5), (5, 4)], "a long, b long")
     assert sorted(map(tuple, components(made).collect())) == [(4, 4), (5, 4)]
     assert components(made.limit(0)).count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    """Off one machine no local folder stands in for the shared one."""
+    from types import SimpleNamespace
+
+    from tillwork.llm.shared import shared_folder
+
+    def session(master, base=None):
+        conf = SimpleNamespace(get=lambda *_: base, set=lambda *_: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://host"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(session(master), "x")
+        assert shared_folder(session(master, "hdfs:///tmp/"), "x").startswith("hdfs:///tmp/tillwork/x-")
+    assert shared_folder(session("local[8]"), "x").startswith("file://")
+    assert shared_folder(session("local"), "x").startswith("file://")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -72,10 +73,14 @@ _shipped: set[str] = set()
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is missing, as in tests, a local folder stands in for it.
+    Where that setting is missing a local folder stands in for it if all tasks run in the driver's process, as in tests;
+    on a cluster executors would not see each other's files, and that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = "file://" + tempfile.mkdtemp(prefix="tillwork-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tillwork/{name}-{uuid.uuid4().hex}"
