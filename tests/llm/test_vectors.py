@@ -102,12 +102,53 @@ def test_tables(n):
 
 
 def test_recall_on_the_given_vectors(spark, sf_dir):
-    made = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = [(r["vec_id"], r["embedding"]) for r in made.collect()]
-    matrix = np.array([v for _, v in rows], float)
+    """The given vectors with partners planted beside half of them, since no two of their own are so close: cosines of 0.9 to 0.92."""
+    read = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    matrix = np.array([r["embedding"] for r in read], float)
     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
-    degree = ((matrix @ matrix.T) >= 0.9).sum(axis=1) - 1
+    own = matrix @ matrix.T - np.eye(len(matrix))
+    assert own.max() < 0.9
+    rng = np.random.default_rng(8)
+    wanted = rng.uniform(0.901, 0.92, 1000)[:, None]
+    side = rng.normal(size=(1000, matrix.shape[1]))
+    side -= (side * matrix[:1000]).sum(axis=1, keepdims=True) * matrix[:1000]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    planted = (wanted * matrix[:1000] + np.sqrt(1 - wanted**2) * side).astype(np.float32)
+    every = np.concatenate([matrix.astype(np.float32), planted]).astype(float)
+    every /= np.linalg.norm(every, axis=1, keepdims=True)
+    degree = (every @ every.T >= 0.9).sum(axis=1) - 1
+    assert degree.sum() >= 2000
+    made = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([matrix.astype(np.float32), planted]))], KIND)
     got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(made).collect()}
-    found = np.array([got[i] for i, _ in rows])
+    found = np.array([got[i] for i in range(len(every))])
     assert (found <= degree).all()
-    assert found.sum() >= 0.9 * degree.sum()
+    assert found.sum() >= 0.95 * degree.sum()
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [0.99, 0.05, 0.0]), (2, [0.0, 0.0, 1.0])]
+    assert told(spark, rows, recall=0.999999) == [(1, 0, 1), (1, 1, 1), (2, 0, 2), (2, 1, 1)]
+
+
+def test_codes_of_close_pairs_differ_in_few_signs():
+    rng = np.random.default_rng(2)
+    for dim in (3, 64, 200):
+        a = vectors.unit(rng.normal(size=(2000, dim)))
+        side = rng.normal(size=a.shape)
+        side = vectors.unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+        b = 0.9 * a + np.sqrt(1 - 0.81) * side
+        differing = np.bitwise_count(vectors.encode(a)[0] ^ vectors.encode(b)[0]).sum(axis=1)
+        assert (differing <= vectors.most_differing(dim, 0.9)).mean() > 0.998
+
+
+def test_vectors_are_fetched_for_near_codes_only(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(600)] + [(900, (np.arange(64) + 0.1).tolist()), (901, (np.arange(64) + 0.2).tolist())]
+    near = []
+    stored, vectors.stored = vectors.stored, lambda df, name: near.append(stored(df, name)) or near[-1] if name == "near" else stored(df, name)
+    try:
+        assert [r for r in told(spark, rows) if r[1]] == [(900, 1, 900), (901, 1, 900)]
+    finally:
+        vectors.stored = stored
+    _, tables = vectors.tables_for(602, 0.9)
+    assert near[0].count() < 0.3 * 602 * tables

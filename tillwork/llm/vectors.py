@@ -8,6 +8,10 @@ upper bound misses the threshold is dropped; every other pair is recomputed exac
 Pairs come from tables of signs: each table files a vector under some signs of a rotation of its own, and vectors that are filed
 together are compared.  The number of signs grows with the logarithm of the number of vectors, and the number of tables
 is what gives a pair just at the threshold the chosen chance to meet.  Equal vectors are one row.
+
+Only codes go to the tables.  Two codes differ in each sign with a chance that is the vectors' angle over pi, so a pair whose codes
+differ in more signs than the threshold's angle allows, at the chosen confidence, is dropped there; the vectors themselves are
+fetched only for those cells and vectors that have a pair left.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ RECALL = 0.96
 PER_CELL = 256
 #: Standard deviations of the estimate's error within which a pair is recomputed.
 CONFIDENCE = 5.0
+#: The same for the signs in which two codes differ, before vectors are fetched: one pair at the threshold in some thousands is lost.
+SIEVE = 3.5
 #: Rows of a cell, about, beyond which it is split into chunks whose pairs are tasks of their own.
 CHUNK = 2048
 #: Rows that are compared with each other at a time.
@@ -121,6 +127,42 @@ def _coded(batches: Iterator[pa.RecordBatch], signs: int, tables: int) -> Iterat
             )
 
 
+def most_differing(dim: int, threshold: float, confidence: float = SIEVE) -> float:
+    """Signs in which the codes of a pair at the threshold differ at most, at this confidence."""
+    chance = math.acos(threshold) / math.pi
+    return dim * chance + confidence * math.sqrt(dim * chance * (1 - chance)) + 0.5
+
+
+def _near(a: np.ndarray, b: np.ndarray, most: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two tables of codes have a row in the other whose code is near; of one table, another row."""
+    left, right = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    for i in range(0, len(a), SIDE):
+        for j in range(0, len(b), SIDE):
+            differing = np.bitwise_count(a[i : i + SIDE, None] ^ b[None, j : j + SIDE]).sum(axis=2)
+            close = differing <= most
+            if same and i == j:
+                np.fill_diagonal(close, False)
+            left[i : i + SIDE] |= close.any(axis=1)
+            right[j : j + SIDE] |= close.any(axis=0)
+    return left, right
+
+
+def _sieved(key: tuple, rows: pa.Table, threshold: float) -> pa.Table:
+    """The classes of one pair of chunks that have a partner by their codes."""
+    dim, low, high = (key[i].as_py() for i in (2, 3, 4))
+    size = -(-dim // 64) * 8
+    codes = np.frombuffer(b"".join(c.ljust(size, b"\0") for c in rows["code"].to_pylist()), "<u8").reshape(len(rows), -1)
+    side, ids = rows["side"].to_numpy(), rows["class_id"].to_numpy()
+    at, beside = np.flatnonzero(side == low), np.flatnonzero(side == high)
+    left, right = _near(codes[at], codes[beside], most_differing(dim, threshold), low == high)
+    kept = np.unique(np.concatenate([at[left], beside[right]]))
+    told = {name: [value.as_py()] * len(kept) for name, value in zip(_PLACE, key, strict=True)}
+    return pa.table({name: pa.array(v, pa.int64()) for name, v in told.items()} | {"side": side[kept].astype(np.int64), "class_id": ids[kept]})
+
+
+_PLACE = ("table", "cell", "dim", "low", "high")
+
+
 class Cell:
     """Rows of one chunk of a cell."""
 
@@ -191,21 +233,25 @@ def _pairs(classes: DataFrame, signs: int, tables: int, threshold: float) -> Dat
     """class_id, links, peer: what each pair of chunks of each cell found."""
     vector = classes.schema["vector"].dataType.simpleString()
     kind = f"class_id long, copies long, vector {vector}, code binary, factor double, cells array<long>"
-    coded = classes.mapInArrow(partial(_coded, signs=signs, tables=tables), kind)
-    filed = coded.select("class_id", "copies", "vector", "code", "factor", F.posexplode("cells").alias("table", "cell"))
-    filed = filed.withColumn("dim", F.size("vector"))
+    told = classes.select("class_id", "copies", "vector")
+    coded = stored(told.mapInArrow(partial(_coded, signs=signs, tables=tables), kind), "codes")
+    dim = F.size("vector").cast("long").alias("dim")
+    filed = coded.select("class_id", "code", dim, F.posexplode("cells").alias("table", "cell"))
+    filed = filed.withColumn("table", F.col("table").cast("long"))
     cell = ["table", "cell", "dim"]
     large = filed.groupBy(*cell).count().where(F.col("count") > CHUNK)
     chunks = F.coalesce(F.ceil(F.col("count") / CHUNK), F.lit(1)).cast("int")
     split = filed.join(large, cell, "left").withColumn("chunks", chunks).drop("count")
-    split = split.withColumn("side", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
+    split = split.withColumn("side", F.pmod(F.xxhash64("class_id"), F.col("chunks")))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    told = split.select(
-        *cell, F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-        "side", "class_id", "copies", "vector", "code", "factor",
-    )
-    compare = partial(_compared, signs=signs, threshold=threshold)
-    return told.groupBy(*cell, "low", "high").applyInArrow(lambda key, rows: compare(key, rows), "class_id long, links long, peer long")
+    placed = split.select(*cell, F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "class_id", "code")
+    sieve, compare = partial(_sieved, threshold=threshold), partial(_compared, signs=signs, threshold=threshold)
+    near = placed.groupBy(*_PLACE).applyInArrow(
+        lambda key, rows: sieve(key, rows), ", ".join(f"{name} long" for name in (*_PLACE, "side", "class_id"))
+    )
+    rows = coded.select("class_id", "copies", "vector", "code", "factor")
+    fetched = stored(near, "near").join(rows, "class_id")
+    return fetched.groupBy(*_PLACE).applyInArrow(lambda key, rows: compare(key, rows), "class_id long, links long, peer long")
 
 
 def near_duplicates(
@@ -220,7 +266,8 @@ def near_duplicates(
 
     Two vectors are linked if they share a table's cell and their cosine in double precision reaches ``threshold``.  A vector that is
     null, empty, zero or holds a null or non-finite component, and one without an id, links with nothing and is its own
-    component; so do vectors of different lengths.  Repeated rows are vectors of their own that link with each other.
+    component; so do vectors of different lengths.  Repeated rows are vectors of their own that link with each other; rows of one
+    id with different vectors each have their own links.  Other columns are ignored; an empty table has no rows.
     """
     ready(vectors.sparkSession)
     told = pick(vectors, vec_id=id_col, vector=vector_col)
@@ -228,15 +275,17 @@ def near_duplicates(
     sound = F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
     told = told.withColumn("vector", F.when(F.coalesce(sound, F.lit(False)), F.col("vector")))
     valid = told.where("vector is not null")
-    classes = valid.groupBy("vector").agg(F.min("vec_id").cast("long").alias("class_id"), F.count("*").alias("copies"))
-    classes = stored(classes.select("class_id", "copies", "vector"), "classes")
+    classes = valid.groupBy("vector").agg(F.min("vec_id").cast("long").alias("first_id"), F.count("*").alias("copies"))
+    # an id may have several vectors, so classes are numbered; the numbers hold once they are written
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("class_id"), "first_id", "copies", "vector"), "classes")
     found = stored(_pairs(classes, *tables_for(classes.count(), threshold, recall), threshold), "links")
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     labels = components(found, "class_id", "peer").select(F.col("node").alias("class_id"), "component")
-    known = classes.join(links, "class_id", "left").join(labels, "class_id", "left").select(
-        "vector",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "class_id").alias("component_id"),
+    labelled = classes.join(links, "class_id", "left").join(labels, "class_id", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "class_id"))
+    first = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    known = labelled.join(first, "component").select(
+        "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     ids = told.join(known, "vector", "left").select(
         "vec_id",
