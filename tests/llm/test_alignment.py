@@ -137,28 +137,38 @@ def test_windows_are_whole(libraries, some):
     some = [s for s in some if s]
     for text, ids in zip(some, both.encode(some), strict=True):
         placed = spelled(libraries, text)
-        assert (ids is None) == (placed is None)
-        if ids:
+        assert both.verified([text, text], [ids, ids]).tolist() == [placed is not None] * 2
+        if placed:
             cut = alignment.Cut([ids, ids], both)
-            keys, told = cut.distinct()
-            windows = [keys[i] for i in told]
-            assert [i for a, _ in windows for i in a] == 2 * [i for i, *_ in placed[0]]
-            assert [i for _, b in windows for i in b] == 2 * [i for i, *_ in placed[1]]
-            aligned = both.align(keys)
-            links = [link for i in told for link in aligned[i][1]]
+            first, told = cut.distinct()
+            for side in (0, 1):
+                every = [i for w in told for i in cut.ids[side][cut.starts[side][first[w]] : cut.ends[side][first[w]]]]
+                assert every == 2 * [i for i, *_ in placed[side]]
+            links, widths, written = cut.align(first)
+            ends = np.cumsum(widths)
+            every = [link for w in told for link in links[ends[w] - widths[w] : ends[w]]]
             wanted = [i << 32 | j for i, s, e in placed[0] for j, t, f in placed[1] if t < e and f > s]
-            assert sorted(links) == sorted(2 * wanted)
-            assert cut.groups.sum() == sum(aligned[i][0].count("|") for i in told)
+            assert sorted(every) == sorted(2 * wanted)
+            assert cut.groups.sum() == sum(written[w].count("|") for w in told)
 
 
-def test_windows_of_equal_hash_are_told_apart(libraries, monkeypatch):
+def test_verification():
     both = alignment.tokenizers_at(*FILES)
-    some = [ids for ids in both.encode(["two words here", "here two words two", "here here"])]
-    cut = alignment.Cut(some, both)
-    keys, told = cut.distinct()
+    some = ["two words", "a ▁ mark", "more text here", "é"]
+    ids = both.encode(some)
+    assert both.verified(some, ids).tolist() == [True, False, True, True]
+    assert both.verified(["two wordz", "é"], [ids[0], ids[3]]).tolist() == [False, True]
+    assert both.verified(["two words!", "é"], [ids[0], ids[3]]).tolist() == [False, True]
+    assert both.verified(["two wordz"], ids[:1]).tolist() == [False]
+
+
+def test_windows_of_equal_hash_are_told_apart(monkeypatch):
+    both = alignment.tokenizers_at(*FILES)
+    cut = alignment.Cut(both.encode(["two words here", "here two words two", "here here"]), both)
+    first, told = cut.distinct()
     monkeypatch.setattr(alignment.Cut, "_alike", lambda *_: False)
-    others, number = alignment.Cut(some, both).distinct()
-    assert [others[i] for i in number] == [keys[i] for i in told]
-    assert len(others) == len(keys) == 3
+    others, number = cut.distinct()
+    assert (others[number] == first[told]).all()
+    assert len(others) == len(first) == 3
     monkeypatch.undo()
-    assert not cut._alike(np.zeros(len(told), int), [e - s for e, s in zip(cut.ends, cut.starts, strict=True)])
+    assert not cut._alike(np.zeros(len(told), int))

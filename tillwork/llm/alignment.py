@@ -2,8 +2,8 @@
 
 Both tokenizers encode the whole text.  A place where a token of each ends and the next token of each begins with a space is an
 anchor, once the tokens' bytes have been verified to spell the text: there a document splits into windows, one word each as a rule, and a
-window's alignment depends on its two tuples of ids alone.  So windows met before, in this block or lately in this worker, need no second
-alignment; those that are new in a block are aligned together.
+window's alignment depends on its two tuples of ids alone.  So each different window of a block is aligned once, all of them
+together, and every other occurrence takes what is remembered for its ids.
 
 Documents are dealt into blocks.  A block asks for each of its different id pairs once, with the number of its documents that
 link it; Spark adds these up over all blocks, finds each left id's highest count, and sends both back to the blocks that asked.
@@ -23,19 +23,13 @@ from pyspark.sql import functions as F
 
 from tillwork.llm.idfiles import Encoder
 from tillwork.llm.packing import pack, unpack
-from tillwork.llm.pieces import MergeModel
+from tillwork.llm.pieces import LONGEST_KEPT, MergeModel
 from tillwork.llm.shared import documents, ready, stored, texts
 
 #: Left tokens of a block, about; a longer document is a block of its own.
 BLOCK_TOKENS = 400_000
-#: Windows whose alignment a Python worker keeps, and words whose ids it keeps; the half that is older goes when there are more.
-KEPT_WINDOWS = 160_000
+#: Words whose ids a Python worker keeps; the half that is older goes when there are more.
 KEPT_WORDS = 400_000
-#: Tokens of a window that is worth keeping.
-LONGEST_KEPT = 24
-
-Ids = tuple[int, ...]
-Window = tuple[str, tuple[int, ...]]  # its groups as text, its links as pairs of ids
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,11 +39,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Words(MergeModel):
+    """A SentencePiece model that keeps the ids of words, and has its library encode new ones."""
+
+    def word(self, word: str) -> bytes:
+        spelled = self.older.get(word)
+        if spelled is None:
+            ids = self.library.encode(word)
+            if word[0] == "\n":  # the library puts a space before, which no piece joins with a line end
+                ids = ids[1:]
+            spelled = np.array(ids, "<u4").tobytes()
+        if len(word) <= LONGEST_KEPT:
+            self.newer[word] = spelled
+        return spelled
+
+
 class Tokenizers:
     """A byte-level tokenizer (left) and a SentencePiece model (right), with the bytes that their tokens spell."""
 
     def __init__(self, byte_level: str, pieces: str):
-        self.left, self.right = Encoder(byte_level), MergeModel(pieces)
+        self.left, self.right = Encoder(byte_level), Words(pieces)
         library = self.left.library
         library.encode_special_tokens = True  # their strings are plain text
         letters, special = byte_letters(), library.get_added_tokens_decoder()
@@ -59,63 +68,54 @@ class Tokenizers:
         right = [p.replace("▁", " ").encode() for p in self.right.pieces]
         for b, i in self.right.bytes.items():
             right[i] = bytes([b])
-        self.bytes = left, right
-        self.size = tuple(np.array([len(b) for b in told]) for told in self.bytes)
-        self.marked = tuple(np.array([b[:1] == b" " for b in told]) for told in self.bytes)
-        self.newer: dict[tuple[Ids, Ids], Window] = {}
-        self.older: dict[tuple[Ids, Ids], Window] = {}
+        self.size = tuple(np.array([len(b) for b in told]) for told in (left, right))
+        self.marked = tuple(np.array([b[:1] == b" " for b in told]) for told in (left, right))
+        # all tokens' bytes behind one another, and where each token's begin
+        self.bytes = tuple(np.frombuffer(b"".join(told), np.uint8) for told in (left, right))
+        self.first = tuple(np.cumsum(size) - size for size in self.size)
+
+        # all ids as decimals, a mark behind each
+        told = [str(i) for i in range(max(len(left), len(right)))]
+        size = np.array([len(t) for t in told])
+        self.decimals = np.frombuffer(" ".join([*told, ""]).encode(), np.uint8), np.cumsum(size + 1) - size - 1, size
 
     def encode(self, some: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of each text, once verified; None without a text and where the tokens' bytes are not a space and the text."""
+        """Ids of each text; None without a text."""
         for words in (self.left, self.right):
             if len(words.newer) >= KEPT_WORDS // 2:
                 words.older, words.newer = words.newer, {}
-        spaced = [" " + text if text else None for text in some]
         found: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for text, wanted, spelled in zip(some, spaced, self.left.encode(spaced), strict=True):
-            if not text:
+        for text, left in zip(some, self.left.encode([" " + text if text else None for text in some]), strict=True):
+            if text:
+                found.append((np.frombuffer(left, "<u4")[:-1], np.frombuffer(self.right.encode(text), "<u4")))
+            else:
                 found.append(None)
-                continue
-            ids = np.frombuffer(spelled, "<u4")[:-1], np.frombuffer(self.right.encode(text), "<u4")
-            told = [b"".join(map(spells.__getitem__, i.tolist())) for spells, i in zip(self.bytes, ids, strict=True)]
-            found.append(ids if told == [wanted.encode()] * 2 else None)
         return found
 
-    def align(self, keys: list[tuple[Ids, Ids]]) -> list[Window]:
-        """Groups and links of different windows, from their ids."""
-        newer, older = self.newer, self.older
-        found = [newer.get(key) or older.get(key) for key in keys]
-        new = [key for key, known in zip(keys, found, strict=True) if known is None]
-        made = dict(zip(new, self._aligned(new), strict=True)) if new else {}
-        found = [made[key] if known is None else known for key, known in zip(keys, found, strict=True)]
-        for key, window in zip(keys, found, strict=True):
-            if len(key[0]) + len(key[1]) <= LONGEST_KEPT:
-                if len(self.newer) >= KEPT_WINDOWS // 2:
-                    self.older, self.newer = self.newer, {}
-                self.newer[key] = window
-        return found
-
-    def _aligned(self, keys: list[tuple[Ids, Ids]]) -> list[Window]:
-        """All these windows behind one another: each stretch between neighbouring ends belongs to one link."""
-        ids = [np.array([i for key in keys for i in key[side]]) for side in (0, 1)]
-        ends = [np.cumsum(size[i]) for size, i in zip(self.size, ids, strict=True)]
-        every = np.union1d(*ends)
-        at = [np.searchsorted(e, every) for e in ends]
-        links = (ids[0][at[0]] << 32 | ids[1][at[1]]).tolist()
-        shared = (ends[0][at[0]] == every) & (ends[1][at[1]] == every)
-        # cut the links where windows end, and the tokens where groups end
-        last = np.cumsum([len(a) for a, _ in keys]) - 1
-        cuts = (np.searchsorted(every, ends[0][last]) + 1).tolist()
-        groups = np.cumsum(shared)[np.array(cuts) - 1].tolist()
-        bounds = [(i[shared] + 1).tolist() for i in at]
-        written = [list(map(str, i.tolist())) for i in ids]
-        parts = []
-        for i, k, j, m in zip([0, *bounds[0]], bounds[0], [0, *bounds[1]], bounds[1], strict=False):
-            parts.append(",".join(written[0][i:k]) + "|" + ",".join(written[1][j:m]))
-        return [
-            (";".join(parts[g:h]), tuple(links[a:b]))
-            for a, b, g, h in zip([0, *cuts], cuts, [0, *groups], groups, strict=False)
-        ]
+    def verified(self, some: list[str], ids: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of each text whether the bytes of its tokens, left and right, are a space and the text."""
+        wanted = [b" " + text.encode() for text in some]
+        lengths = np.array([len(w) for w in wanted], np.int64)
+        sound = np.ones(len(some), bool)
+        for side, (size, first, told) in enumerate(zip(self.size, self.first, self.bytes, strict=True)):
+            flat = np.concatenate([pair[side] for pair in ids])
+            ends = np.cumsum([len(pair[side]) for pair in ids])
+            spelled = np.append(0, np.cumsum(size[flat]))[ends]
+            sound &= np.diff(spelled, prepend=0) == lengths
+            if not sound.all():
+                some_left = np.flatnonzero(sound)
+                if len(some_left):
+                    kept = self.verified([some[i] for i in some_left], [ids[i] for i in some_left])
+                    sound[some_left] = kept
+                return sound
+            here = told[_spread(first[flat], size[flat])] == np.frombuffer(b"".join(wanted), np.uint8)
+            if not here.all():
+                sound &= np.logical_and.reduceat(here, np.cumsum(lengths) - lengths)
+                some_left = np.flatnonzero(sound)
+                if len(some_left):
+                    sound[some_left] = self.verified([some[i] for i in some_left], [ids[i] for i in some_left])
+                return sound
+        return sound
 
 
 _tokenizers: dict[tuple[str, str], Tokenizers] = {}
@@ -137,83 +137,121 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
+def _different(numbers: np.ndarray) -> np.ndarray:
+    """The different numbers, ascending; sorting them is faster than hashing."""
+    ordered = np.sort(numbers)
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(ordered) else ordered
+
+
 class Cut:
     """Tokens of some documents that both tokenizers spell, cut at anchors into windows."""
 
     def __init__(self, some: list[tuple[np.ndarray, np.ndarray]], both: Tokenizers):
+        self.both = both
         ids = [np.concatenate([pair[side] for pair in some]).astype(np.int64) for side in (0, 1)]
         ends = [np.cumsum(size[i]) for size, i in zip(both.size, ids, strict=True)]
         at = np.searchsorted(ends[1], ends[0])
         shared = np.flatnonzero(ends[1][at] == ends[0])
         beside = at[shared]
         # documents end where both do, and the last of them ends everything
-        finish = np.isin(shared, np.cumsum([len(a) for a, _ in some]) - 1, assume_unique=True)
+        last = np.zeros(len(ids[0]), bool)
+        last[np.cumsum([len(a) for a, _ in some]) - 1] = True
+        finish = last[shared]
         after = [np.append(mark[i], True) for mark, i in zip(both.marked, ids, strict=True)]
         window = finish | (after[0][shared + 1] & after[1][beside + 1])
         self.ids = ids
         self.ends = [shared[window] + 1, beside[window] + 1]
         self.starts = [np.append(0, e[:-1]) for e in self.ends]
+        self.sizes = [e - s for e, s in zip(self.ends, self.starts, strict=True)]
         self.finish = np.flatnonzero(finish[window]) + 1  # windows up to each document's end
         self.groups = np.diff(np.flatnonzero(finish) + 1, prepend=0)
 
-    def distinct(self) -> tuple[list[tuple[Ids, Ids]], np.ndarray]:
-        """The different windows as tuples of ids, and which of them each window is."""
-        sizes = [e - s for e, s in zip(self.ends, self.starts, strict=True)]
-        mixed = sizes[0].astype(np.uint64)
-        for ids, starts, size, odd in zip(self.ids, self.starts, sizes, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), strict=True):
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first window of each different pair of id tuples, and which of them each window is."""
+        mixed = self.sizes[0].astype(np.uint64)
+        for ids, starts, size, odd in zip(self.ids, self.starts, self.sizes, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), strict=True):
             within = (np.arange(len(ids)) - np.repeat(starts, size)).astype(np.uint64)
             salted = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(odd) + within * np.uint64(0x165667B19E3779F9)
             salted = (salted ^ (salted >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
             mixed = mixed * np.uint64(odd) + np.add.reduceat(salted ^ (salted >> np.uint64(29)), starts)
         _, first, number = np.unique(mixed, return_index=True, return_inverse=True)
-        lists = [i.tolist() for i in self.ids]
-        if not self._alike(first[number], sizes):  # equal hashes of different windows
-            every = self._tuples(lists, np.arange(len(mixed)))
-            places: dict[tuple[Ids, Ids], int] = {}
-            number = np.array([places.setdefault(key, len(places)) for key in every])
-            return list(places), number
-        return self._tuples(lists, first), number
-
-    def _tuples(self, lists: list[list[int]], some: np.ndarray) -> list[tuple[Ids, Ids]]:
-        cuts = zip(*(x[some].tolist() for x in (self.starts[0], self.ends[0], self.starts[1], self.ends[1])), strict=True)
-        return [(tuple(lists[0][i:j]), tuple(lists[1][k:m])) for i, j, k, m in cuts]
-
-    def _alike(self, model: np.ndarray, sizes: list[np.ndarray]) -> bool:
+        if not self._alike(first[number]):  # equal hashes of different windows
+            places: dict[tuple[bytes, bytes], int] = {}
+            keys = zip(*([i[a:b].tobytes() for a, b in zip(s.tolist(), e.tolist(), strict=True)] for i, s, e in zip(self.ids, self.starts, self.ends, strict=True)), strict=True)
+            number = np.array([places.setdefault(key, len(places)) for key in keys])
+            first = np.unique(number, return_index=True)[1]
+        return first, number
+
+    def _alike(self, model: np.ndarray) -> bool:
         return all(
             (size == size[model]).all() and (ids == ids[_spread(starts[model], size)]).all()
-            for ids, starts, size in zip(self.ids, self.starts, sizes, strict=True)
+            for ids, starts, size in zip(self.ids, self.starts, self.sizes, strict=True)
         )
 
+    def align(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Of some windows: all links as pairs of ids, how many links each has, and each one's groups as text.
 
-def _close(block: int, doc_ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray] | None], both: Tokenizers) -> pa.RecordBatch:
+        The windows stand behind one another; each stretch between neighbouring ends belongs to one link.
+        """
+        sizes = [size[windows] for size in self.sizes]
+        ids = [i[_spread(starts[windows], size)] for i, starts, size in zip(self.ids, self.starts, sizes, strict=True)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.both.size, ids, strict=True)]
+        every = _different(np.concatenate(ends))
+        at = [np.searchsorted(e, every) for e in ends]
+        links = ids[0][at[0]] << 32 | ids[1][at[1]]
+        last = np.searchsorted(every, ends[0][np.cumsum(sizes[0]) - 1])
+        shared = np.flatnonzero((ends[0][at[0]] == every) & (ends[1][at[1]] == every))
+        # a group's left tokens, then its right ones
+        ends = [i[shared] + 1 for i in at]
+        counts = [np.diff(e, prepend=0) for e in ends]
+        behind = [np.append(0, ends[1][:-1]), ends[0]]
+        place = [np.arange(len(i)) + np.repeat(b, n) for i, b, n in zip(ids, behind, counts, strict=True)]
+        told = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        mark = np.full(len(told), ord(","), np.uint8)
+        for i, p in zip(ids, place, strict=True):
+            told[p] = i
+        mark[ends[0] + behind[0] - 1] = ord("|")
+        mark[ends[0] + ends[1] - 1] = ord(";")
+        digits, first, size = self.both.decimals
+        width = size[told] + 1
+        close = np.cumsum(width)
+        spelled = digits[_spread(first[told], width)]
+        spelled[close - 1] = mark
+        # a window ends with a group, whose mark is left out
+        cuts = close[(ends[0] + ends[1])[np.searchsorted(shared, last)] - 1].tolist()
+        text = spelled.tobytes().decode("ascii")
+        return links, np.diff(last + 1, prepend=0), [text[a : b - 1] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
+def _close(block: int, rows: list[tuple[int | None, str, tuple[np.ndarray, np.ndarray] | None]], both: Tokenizers) -> pa.RecordBatch:
     """One row for a block: its documents' numbers, their windows, and the pairs that they link."""
-    some = [pair for pair in found if pair is not None]
-    there = np.array([pair is not None for pair in found])
-    n_a, n_b, n_groups, sizes = (np.zeros(len(found), np.int64) for _ in range(4))
-    digests = [""] * len(found)
-    told, links = np.zeros(0, np.int64), []
+    there = np.array([ids is not None for *_, ids in rows])
+    if there.any():
+        there[there] = both.verified([text for _, text, ids in rows if ids is not None], [ids for *_, ids in rows if ids is not None])
+    some = [ids for (*_, ids), kept in zip(rows, there.tolist(), strict=True) if kept]
+    n_a, n_b, n_groups, sizes = (np.zeros(len(rows), np.int64) for _ in range(4))
+    digests = [""] * len(rows)
+    told = links = widths = np.zeros(0, np.int64)
     if some:
         cut = Cut(some, both)
-        keys, told = cut.distinct()
-        windows = both.align(keys)
-        links = [window[1] for window in windows]
-        written = np.array([window[0] for window in windows], object)[told]
+        first, told = cut.distinct()
+        links, widths, written = cut.align(first)
+        written = np.array(written, object)[told]
         for i, a, b in zip(np.flatnonzero(there).tolist(), [0, *cut.finish.tolist()], cut.finish.tolist(), strict=False):
             digests[i] = hashlib.sha256(";".join(written[a:b]).encode()).hexdigest()
         n_a[there], n_b[there] = [len(a) for a, _ in some], [len(b) for _, b in some]
         n_groups[there], sizes[there] = cut.groups, np.diff(cut.finish, prepend=0)
-    widths = np.array([len(x) for x in links], np.int64)
-    pairs, place = np.unique(np.array([pair for x in links for pair in x], np.int64), return_inverse=True)
+    pairs, place = np.unique(links, return_inverse=True)
     # documents of each pair: a document's windows once each, then their pairs once each
-    width = len(links) or 1
-    seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + told)
-    window, wide = seen % width, len(pairs) or 1
-    spread = widths[window] if links else window
-    linked = place[_spread((np.cumsum(widths) - widths)[window], spread)] if links else window
-    here = np.unique(np.repeat(seen // width, spread) * wide + linked)
+    width = len(widths) or 1
+    seen = _different(np.repeat(np.arange(len(sizes)), sizes) * width + told)
+    document, window = np.divmod(seen, width)
+    spread = widths[window] if len(widths) else window
+    linked = place[_spread((np.cumsum(widths) - widths)[window], spread)] if len(widths) else window
+    here = _different(np.repeat(document, spread) + linked * len(rows))
     row = {
         "block": block,
-        "doc_ids": doc_ids,
+        "doc_ids": [doc_id for doc_id, *_ in rows],
         "n_a": n_a,
         "n_b": n_b,
         "n_groups": n_groups,
@@ -223,7 +261,7 @@ def _close(block: int, doc_ids: list[int | None], found: list[tuple[np.ndarray,
         "widths": pack(widths),
         "links": pack(place),
         "pairs": pairs,
-        "n_docs": np.bincount(here % wide, minlength=len(pairs))[: len(pairs)],
+        "n_docs": np.bincount(here // len(rows), minlength=len(pairs)),
     }
     return pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
 
@@ -247,19 +285,18 @@ _BLOCK_KIND = (
 
 def _blocks(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, block_tokens: int) -> Iterator[pa.RecordBatch]:
     both, partition, number, held = tokenizers_at(byte_level, pieces), TaskContext.get().partitionId(), 0, 0
-    doc_ids: list[int | None] = []
-    found: list[tuple[np.ndarray, np.ndarray] | None] = []
+    rows: list[tuple[int | None, str, tuple[np.ndarray, np.ndarray] | None]] = []
     for batch in batches:
-        for doc_id, ids in zip(batch.column(0).to_pylist(), both.encode(texts(batch)), strict=True):
+        some = texts(batch)
+        for doc_id, text, ids in zip(batch.column(0).to_pylist(), some, both.encode(some), strict=True):
             size = 0 if ids is None else len(ids[0])
             if held and held + size > block_tokens:
-                yield _close(partition << 32 | number, doc_ids, found, both)
-                doc_ids, found, number, held = [], [], number + 1, 0
-            doc_ids.append(doc_id)
-            found.append(ids)
+                yield _close(partition << 32 | number, rows, both)
+                rows, number, held = [], number + 1, 0
+            rows.append((doc_id, text, ids))
             held += size
-    if found:
-        yield _close(partition << 32 | number, doc_ids, found, both)
+    if rows:
+        yield _close(partition << 32 | number, rows, both)
 
 
 _KIND = (
