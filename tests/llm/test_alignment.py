@@ -152,6 +152,17 @@ def test_windows_are_whole(libraries, some):
             assert cut.groups.sum() == sum(written[w].count("|") for w in told)
 
 
+@given(st.lists(st.text(alphabet=st.sampled_from("ab eé漢🙂▁\n\n \t<>0x41 's"), max_size=30), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_ids_are_the_libraries(libraries, some):
+    both = alignment.tokenizers_at(*FILES)
+    for text, ids in zip(some, both.encode(some), strict=True):
+        assert (ids is None) == (not text)
+        if text:
+            assert ids[0].tolist() == libraries[0].encode(" " + text, add_special_tokens=False).ids
+            assert ids[1].tolist() == libraries[1].encode(text)
+
+
 def test_verification():
     both = alignment.tokenizers_at(*FILES)
     some = ["two words", "a ▁ mark", "more text here", "é"]

@@ -12,6 +12,7 @@ link it; Spark adds these up over all blocks, finds each left id's highest count
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillwork.llm.idfiles import Encoder
 from tillwork.llm.packing import pack, unpack
-from tillwork.llm.pieces import LONGEST_KEPT, MergeModel
+from tillwork.llm.pieces import LONGEST_KEPT, SPACE, MergeModel
 from tillwork.llm.shared import documents, ready, stored, texts
 
 #: Left tokens of a block, about; a longer document is a block of its own.
@@ -40,18 +41,48 @@ def byte_letters() -> dict[str, int]:
 
 
 class Words(MergeModel):
-    """A SentencePiece model that keeps the ids of words, and has its library encode new ones."""
+    """A SentencePiece model that keeps the ids of words, and has its library encode new ones together."""
+
+    def words_of(self, text: str) -> list[str] | None:
+        """A text as words, each behind a space or a line end; None where runs of spaces reach from word to word."""
+        string = self.library.normalize(text)
+        if SPACE + SPACE in string or not self.lines_apart or string[:1] != SPACE:
+            return None
+        words: list[str] = []
+        for number, line in enumerate(string.split("\n")):
+            if line[-1:] == SPACE:
+                return None
+            here = line.split(SPACE)
+            if number:
+                here[0] = "\n" + here[0]
+            words += here if number else here[1:]
+        return words
+
+    def encode_all(self, some: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; none without a text."""
+        split = [self.words_of(text) if text else [] for text in some]
+        whole = {i: self.encode(some[i]) for i, words in enumerate(split) if words is None}
+        split = [words or [] for words in split]
+        new = set().union(*split).difference(self.newer)
+        self._keep(new)
+        get = self.newer.__getitem__
+        found = [whole.get(i) or b"".join(map(get, words)) for i, words in enumerate(split)]
+        for word in new:
+            if len(word) > LONGEST_KEPT:
+                del self.newer[word]
+        return found
 
-    def word(self, word: str) -> bytes:
-        spelled = self.older.get(word)
-        if spelled is None:
-            ids = self.library.encode(word)
-            if word[0] == "\n":  # the library puts a space before, which no piece joins with a line end
-                ids = ids[1:]
-            spelled = np.array(ids, "<u4").tobytes()
-        if len(word) <= LONGEST_KEPT:
-            self.newer[word] = spelled
-        return spelled
+    def _keep(self, words: set[str]) -> None:
+        missing = []
+        for word in words:
+            known = self.older.get(word)
+            if known is None:
+                missing.append(word)
+            else:
+                self.newer[word] = known
+        for word, ids in zip(missing, self.library.encode(missing, num_threads=1) if missing else [], strict=True):
+            # the library puts a space before a line end, and no piece joins the two
+            self.newer[word] = array("I", ids[1:] if word[0] == "\n" else ids).tobytes()
 
 
 class Tokenizers:
@@ -84,13 +115,12 @@ class Tokenizers:
         for words in (self.left, self.right):
             if len(words.newer) >= KEPT_WORDS // 2:
                 words.older, words.newer = words.newer, {}
-        found: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for text, left in zip(some, self.left.encode([" " + text if text else None for text in some]), strict=True):
-            if text:
-                found.append((np.frombuffer(left, "<u4")[:-1], np.frombuffer(self.right.encode(text), "<u4")))
-            else:
-                found.append(None)
-        return found
+        left = self.left.encode([" " + text if text else None for text in some])
+        right = self.right.encode_all(some)
+        return [
+            (np.frombuffer(a, "<u4")[:-1], np.frombuffer(b, "<u4")) if text else None
+            for text, a, b in zip(some, left, right, strict=True)
+        ]
 
     def verified(self, some: list[str], ids: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Of each text whether the bytes of its tokens, left and right, are a space and the text."""

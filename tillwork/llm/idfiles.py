@@ -209,17 +209,14 @@ class Encoder:
             self.older, self.newer = self.newer, {}
         end = np.array([END_ID], ID).tobytes()
         split = [_SEGMENT.findall(text) if text else [] for text in some]
-        get = self.newer.get
-        told = [list(map(get, segments)) for segments in split]
-        open_ = [i for i, parts in enumerate(told) if None in parts]
-        new = {s for i in open_ for s, part in zip(split[i], told[i], strict=True) if part is None}
+        new = set().union(*split).difference(self.newer)
         self._kept(new)
-        for i in open_:
-            told[i] = [part or get(s) for s, part in zip(split[i], told[i], strict=True)]
+        get = self.newer.__getitem__
+        found = [b"".join(map(get, segments)) + end for segments in split]
         for segment in new:
             if len(segment) > LONGEST_KEPT:
                 del self.newer[segment]
-        return [b"".join(parts) + end for parts in told]
+        return found
 
 
 _encoders: dict[str, Encoder] = {}
