@@ -9,7 +9,7 @@ import pytest
 
 from tests.llm.helpers import clashing, documents, odd_rows, prose
 from tillwork.llm import repeats
-from tillwork.llm.fm_index import FMIndex, WaveletMatrix
+from tillwork.llm.fm_index import FMIndex, WaveletMatrix, encode, suffix_order
 
 
 def plain(rows, window=20):
@@ -97,13 +97,14 @@ def test_rank():
 def test_matching_statistics():
     rng = random.Random(6)
     sequences = [[rng.choice("abc") for _ in range(rng.randint(1, 30))] for _ in range(40)]
-    index = FMIndex(sequences)
+    text, starts, size = encode(sequences)
+    index = FMIndex(text, starts, size)
     joined = ["".join(s) for s in sequences]
-    ends = np.flatnonzero(index.text > 0)
-    length, low, high = index.statistics(ends, 12)
+    ends = np.flatnonzero(text > 0)
+    length, low, high = index.statistics(text, ends, 12)
     for n, (end, got) in enumerate(zip(ends, length, strict=True)):
-        which = int(np.searchsorted(index.starts, end, side="right")) - 1
-        upto = joined[which][: end - index.starts[which] + 1]
+        which = int(np.searchsorted(starts, end, side="right")) - 1
+        upto = joined[which][: end - starts[which] + 1]
 
         def count(k, upto=upto):
             return sum(s.startswith(upto[-k:], i) for s in joined for i in range(len(s)))
@@ -112,3 +113,37 @@ def test_matching_statistics():
         assert got == best
         if best:
             assert high[n] - low[n] == count(best)
+
+
+def test_places_are_found_without_the_suffix_array():
+    """Every suffix, by walking back to a kept place, and in few bytes a word."""
+    rng = random.Random(9)
+    sequences = [[rng.choice("abcdefgh") for _ in range(rng.randint(1, 70))] for _ in range(200)]
+    sequences += [sequences[i % 5] for i in range(60)] + [["a"] * 32] * 3
+    text, starts, size = encode(sequences)
+    index = FMIndex(text, starts, size)
+    rows = np.arange(len(text))
+    assert (index.locate(rows) == suffix_order(text)).all()
+    symbols, ranks = index.matrix.access(rows)
+    transform = text[suffix_order(text) - 1]
+    assert (symbols == transform).all()
+    assert ranks[:500].tolist() == [int((transform[:i] == transform[i]).sum()) for i in range(500)]
+    assert not hasattr(index, "text") and not hasattr(index, "order")
+
+
+def test_bytes_of_an_index():
+    """Some four to six bytes a word, with tens of thousands of different words, where text and suffix array take sixteen."""
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(60_000)]
+    sequences = [[rng.choice(words) for _ in range(28)] for _ in range(14_000)]
+    text, starts, size = encode(sequences)
+    assert FMIndex(text, starts, size).nbytes / len(text) < 6
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """A text without an id loses what a document repeats, whatever other rows without one hold at the same places."""
+    shared = prose(77, 20)
+    rows = [(1, shared), (None, shared), (None, prose(5, 20)), (None, prose(6, 60)), (None, prose(6, 60)), (2, prose(6, 60))]
+    got = repeats.remove_repeats(documents(spark, rows)).collect()
+    told = sorted((r["doc_id"] is None, r["n_words"], r["n_removed"]) for r in got)
+    assert told == [(False, 20, 0), (False, 60, 0), (True, 20, 0), (True, 20, 20), (True, 60, 60), (True, 60, 60)]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.fm_index import FMIndex
+from tillwork.llm.fm_index import FMIndex, encode
 from tillwork.llm.shared import documents, ready, texts
 
 WINDOW = 20
@@ -36,7 +36,6 @@ GRAM = 8
 GROUP_RUNS = 4000
 #: Words of a shard's index, about; a shard ends where an anchor does.
 SHARD_WORDS = 400_000
-NONE = (1 << 63) - 1  # stands for a null doc_id, which sorts last
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,11 +154,11 @@ def _first_runs(batches: Iterator[pa.RecordBatch], window: int, gram: int, cut:
 def _searched(rows: list[tuple[int, int, str]], window: int) -> pa.RecordBatch:
     """Of the runs of one shard, in order of their places, the windows that start first: a bit for each."""
     sequences = [words.split(" ") for _, _, words in rows]
-    index = FMIndex(sequences)
+    text, starts, size = encode(sequences)
     counts = np.array([len(s) - window + 1 for s in sequences])
     offsets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    windows = np.repeat(index.starts, counts) + offsets
-    own = index.first_places(windows, window) == windows
+    windows = np.repeat(starts, counts) + offsets
+    own = FMIndex(text, starts, size).first_places(text, windows, window) == windows
     masks = np.add.reduceat(np.where(own, np.int64(1) << offsets, 0), np.cumsum(counts) - counts)
     kept = np.flatnonzero(masks)
     return pa.RecordBatch.from_arrays(
@@ -187,7 +186,7 @@ def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def _kept(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc_id, text, single, firsts in _columns(batch, "doc_id", "text", "single", "firsts"):
+        for doc_id, text, single, firsts in _columns(batch, "given_id", "text", "single", "firsts"):
             words = words_of(text)
             at, rolled = anchors(words, window, gram)
             own = np.zeros(len(at) + window, bool)
@@ -207,7 +206,7 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator
             out.append((doc_id, len(words), int(gone.sum()), kept.decode(), spans))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([None if d == NONE else d for d, *_ in out], pa.int64()),
+                pa.array([d for d, *_ in out], pa.int64()),
                 _longs([n for _, n, *_ in out]),
                 _longs([g for _, _, g, *_ in out]),
                 pa.array([k for *_, k, _ in out], pa.string()),
@@ -225,15 +224,20 @@ def remove_repeats(
     A word goes if some window of ``window`` consecutive words that covers it also starts earlier: in a document of smaller id, or
     further forward in the same one; windows are those of the input.  Null and empty texts have no words; documents shorter than
     a window lose none.  doc_id should identify a text: rows that repeat both get the result of one, rows with
-    one id and different texts are each treated with the marks of all of them, and null ids count as one id after all others.
+    one id and different texts are each treated with the marks of all of them.  A row without an id stands for its text: a hash of that
+    takes the place of its id, among the largest, so that rows without an id and different texts are documents of their own.  Other
+    columns are ignored; an empty table has no rows.
     """
     if not 0 < gram <= window <= 32:
         raise ValueError("an anchor fits in a window, and a window has 32 words at most")
     ready(docs.sparkSession)
     sizes = {"window": window, "gram": gram}
-    told = documents(docs, id_col, text_col).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc_id"), "text")
+    own_id = F.xxhash64("text", F.lit("no id")).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+    told = documents(docs, id_col, text_col).select(
+        F.coalesce(F.col("doc_id").cast("long"), own_id).alias("doc_id"), "text", F.col("doc_id").cast("long").alias("given_id")
+    )
 
-    counted = told.mapInArrow(partial(_anchor_counts, **sizes), "anchor long, n long, doc_id long, place long")
+    counted = told.select("doc_id", "text").mapInArrow(partial(_anchor_counts, **sizes), "anchor long, n long, doc_id long, place long")
     once = counted.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("place").alias("place"))
     single = once.where("n = 1").groupBy("doc_id").agg(F.collect_list(F.col("place").cast("int")).alias("single"))
     marked = told.join(single, "doc_id", "left")
@@ -259,4 +263,4 @@ def remove_repeats(
     firsts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("firsts"))
 
     result = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>"
-    return marked.join(firsts, "doc_id", "left").select("doc_id", "text", "single", "firsts").mapInArrow(partial(_kept, **sizes), result)
+    return marked.join(firsts, "doc_id", "left").select("given_id", "text", "single", "firsts").mapInArrow(partial(_kept, **sizes), result)
