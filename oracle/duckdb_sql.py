@@ -110,6 +110,12 @@ def _weekly() -> dict[str, str]:
         "b2_weekly_kpi_channel": with_relations(
             _KPI, f"select {_kpi_columns('declined_rate_pct')} from kpi"
         ),
+        "b5_merged_weekly_state": with_relations(
+            _KPI,
+            """select week_start, channel, attempted_txns, settled_txns, declined_txns, fraud_txns,
+                      attempted_usd::double as attempted_usd
+               from kpi""",
+        ),
         "b3_weekly_trend": with_relations(
             _KPI + " trend", f"select {_TREND_COLUMNS} from trend"
         ),

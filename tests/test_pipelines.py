@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tests.compare import assert_same, spark_rows
 from tillwork.operators import merchant, payments, sla, weekly
@@ -92,3 +95,146 @@ def test_every_order_names_columns_of_its_report(spark, sf_dir):
     for report, keys in reports.ORDER.items():
         columns = built[report](d).columns
         assert {k.lstrip("-") for k in keys} <= set(columns), report
+
+
+def files(path) -> dict:
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def failing(df):
+    """Rows whose last task fails after others have written."""
+    bad = F.when(F.col("merchant_id").isNull(), F.raise_error(F.lit("broken row"))).otherwise(F.col("channel"))
+    return df.withColumn("channel", bad)
+
+
+def test_reload_of_one_month_leaves_the_others(spark, sf_dir, tmp_path):
+    path = tmp_path / "txns"
+    txns = TestData(spark, sf_dir).transactions().where("txn_month >= '1998-01-01'")
+    tables.reload_partitions(txns, str(path), ["txn_month"])
+    before = files(path)
+    month = dt.date(1998, 3, 1)
+    part = txns.where(F.col("txn_month") == month).withColumn("channel", F.lit("NEW"))
+    tables.reload_partitions(part, str(path), ["txn_month"])
+    after = files(path)
+    inside = f"txn_month={month}"
+    assert {f: t for f, t in before.items() if inside not in f} == {f: t for f, t in after.items() if inside not in f}
+    assert not {f for f in before if inside in f} & {f for f in after if inside in f}
+    stored = spark.read.parquet(str(path))
+    assert stored.where(F.col("txn_month") == month).select("channel").distinct().collect() == [("NEW",)]
+    assert stored.count() == txns.count()
+    with pytest.raises(PySparkException, match="broken row"):
+        tables.reload_partitions(failing(txns), str(path), ["txn_month"])
+    assert files(path) == after
+    with pytest.raises(ValueError):
+        tables.reload_partitions(txns, str(path), [])
+
+
+def test_a_failed_reload_leaves_the_old_rows(spark, sf_dir, tmp_path):
+    path = tmp_path / "txns"
+    txns = TestData(spark, sf_dir).transactions()
+    tables.reload_table(txns, str(path))
+    before = files(path)
+    with pytest.raises(PySparkException, match="broken row"):
+        tables.reload_table(failing(txns), str(path))
+    assert files(path) == before
+    # from the table itself
+    tables.reload_table(spark.read.parquet(str(path)).where("channel = 'POS'"), str(path))
+    assert spark.read.parquet(str(path)).count() == txns.where("channel = 'POS'").count()
+    assert [p.name for p in tmp_path.iterdir()] == ["txns"]
+
+
+def test_weekly_state_by_increments(spark, sf_dir, tmp_path):
+    """Two increments, with late rows of old weeks in the second, equal one full run; a repeated one counts once."""
+    txns = TestData(spark, sf_dir).transactions()
+    late = (F.col("txn_ts_parsed") >= "1996-01-01") | (F.col("txn_id") % 17 == 0) | F.col("txn_ts_parsed").isNull()
+    path = str(tmp_path / "state")
+    pipelines.add_to_weekly_state(txns.where(~late), path, "to-1995")
+    old = files(tmp_path / "state")
+    for _ in range(2):
+        pipelines.add_to_weekly_state(txns.where(late), path, "since-1996")
+    assert old.items() <= files(tmp_path / "state").items()
+    state = pipelines.read_weekly_state(spark, path)
+    assert_same(spark_rows(state), spark_rows(weekly.weekly_state(txns)))
+    assert state.schema["attempted_usd"] == weekly.weekly_state(txns).schema["attempted_usd"]
+    kpi, full = weekly.kpi_from_state(state), weekly.weekly_kpi_channel(txns)
+    assert_same(spark_rows(weekly.weekly_alerts(weekly.weekly_trend(kpi))), spark_rows(weekly.weekly_alerts(weekly.weekly_trend(full))))
+    summary = pipelines.sla_breaches_from_state(spark, path)
+    assert_same(spark_rows(summary), spark_rows(pipelines.sla_breaches(txns)))
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and plan.count("FileScan") == 1
+    pipelines.compact_weekly_state(spark, path, "to-1998")
+    assert len(files(tmp_path / "state")) == 1
+    assert_same(spark_rows(pipelines.sla_breaches_from_state(spark, path)), spark_rows(pipelines.sla_breaches(txns)))
+
+
+@pytest.fixture
+def bucketed(spark, sf_dir, tmp_path):
+    """The provided tables with headers and lines stored by order; nothing is broadcast."""
+    data = TestData(spark, sf_dir)
+    header, detail = pipelines.bucket_order_tables(data.order_header(), data.order_detail(), "test_orders", 8, str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    class Bucketed(TestData):
+        def order_header(self):
+            return spark.table(header)
+
+        def order_detail(self):
+            return spark.table(detail)
+
+    yield Bucketed(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in (header, detail):
+        spark.sql(f"drop table {name}")
+
+
+def test_bucketed_orders_are_summed_and_joined_without_a_shuffle(spark, sf_dir, bucketed):
+    for name, build in BUILDS.items():
+        if name.startswith("f"):
+            df = build(bucketed)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(SalesOrderID" not in plan, name
+            assert_same(spark_rows(df), spark_rows(build(TestData(spark, sf_dir))))
+    for name in ("f1_order_fact_day", "f2_order_fact_month"):
+        plan = BUILDS[name](bucketed)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert "Bucketed: true" in plan
+    # files of the plain tables are shuffled
+    plain = BUILDS["f1_order_fact_day"](TestData(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plain
+
+
+def test_newest_month_from_footers(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "txns")
+    data = TestData(spark, sf_dir)
+    dated = data.transactions().where("txn_month is not null")
+    dated.repartition(4).write.parquet(path)
+    wanted = dated.agg(F.max("txn_month")).first()[0]
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert tables.newest_value(spark, path, "txn_month") == wanted
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    # what is read in between
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        plan = tables._newest(spark, path, "txn_month")._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [MAX(txn_month)]" in plan
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+        spark.conf.unset("spark.sql.parquet.aggregatePushdown")
+    score = pipelines.merchant_scorecard(spark, path, data.accounts(), data.merchants(), months_back=12, min_txns=1)
+    full = merchant.merchant_health(data.transactions(), data.accounts(), data.merchants(), 12, min_txns=1)
+    assert_same(spark_rows(score), spark_rows(full))
+    assert score._jdf.queryExecution().executedPlan().toString().count("FileScan") < full._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_newest_value_without_statistics(spark, tmp_path):
+    """Columns and files whose footers do not tell are read."""
+    frame = spark.sql("select date'2024-01-01' as day, 'b' as name, timestamp_ntz'2024-05-05 00:00:00' as at, cast(null as date) as none")
+    frame.unionByName(frame.withColumn("name", F.lit("c"))).write.parquet(str(tmp_path / "t"))
+    frame.where("name = 'x'").write.mode("append").parquet(str(tmp_path / "t"))
+    path = str(tmp_path / "t")
+    assert tables.newest_value(spark, path, "day") == dt.date(2024, 1, 1)
+    assert tables.newest_value(spark, path, "name") == "c"
+    assert tables.newest_value(spark, path, "at") == dt.datetime(2024, 5, 5)
+    assert tables.newest_value(spark, path, "none") is None

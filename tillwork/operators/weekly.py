@@ -12,11 +12,16 @@ from tillwork.functions import pct, week_start
 DECLINED = ("DECLINED", "FAILED")
 
 
-def weekly_kpi_channel(
-    txns: DataFrame, datefirst: int = 1, declined_rate_name: str = "declined_rate_pct"
-) -> DataFrame:
-    """KPIs per week and channel; transactions without a timestamp are left out."""
-    counted = (
+#: What a week's state holds: numbers that add up over any parts of the transactions.
+STATE = ["attempted_txns", "settled_txns", "declined_txns", "fraud_txns", "attempted_usd"]
+
+
+def weekly_state(txns: DataFrame, datefirst: int = 1) -> DataFrame:
+    """Counts and amounts per week and channel; transactions without a timestamp are left out.
+
+    States of different transactions add up to the state of all of them, see ``merge_states``.
+    """
+    return (
         txns.where(F.col("txn_ts_parsed").isNotNull())
         .groupBy(week_start(F.col("txn_ts_parsed"), datefirst).alias("week_start"), "channel")
         .agg(
@@ -27,8 +32,20 @@ def weekly_kpi_channel(
             F.sum("amount_usd").alias("attempted_usd"),
         )
     )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One row per week and channel from the states of several parts of the transactions, stacked."""
+    amount = states.schema["attempted_usd"].dataType
+    total = [F.sum(c).alias(c) for c in STATE[:-1]]
+    total.append(F.sum("attempted_usd").cast(amount).alias("attempted_usd"))
+    return states.groupBy("week_start", "channel").agg(*total)
+
+
+def kpi_from_state(state: DataFrame, declined_rate_name: str = "declined_rate_pct") -> DataFrame:
+    """The KPIs of a state that has one row per week and channel."""
     attempted = F.col("attempted_txns")
-    return counted.select(
+    return state.select(
         "week_start",
         "channel",
         "attempted_txns",
@@ -41,6 +58,13 @@ def weekly_kpi_channel(
     )
 
 
+def weekly_kpi_channel(
+    txns: DataFrame, datefirst: int = 1, declined_rate_name: str = "declined_rate_pct"
+) -> DataFrame:
+    """KPIs per week and channel; transactions without a timestamp are left out."""
+    return kpi_from_state(weekly_state(txns, datefirst), declined_rate_name)
+
+
 def weekly_kpi_report(txns: DataFrame, datefirst: int = 7) -> DataFrame:
     """The same KPIs as printed in the report: Sunday weeks, ``decline_rate_pct``."""
     return weekly_kpi_channel(txns, datefirst, declined_rate_name="decline_rate_pct")

@@ -51,6 +51,13 @@ def _kpi(d: TestData) -> DataFrame:
     return weekly.weekly_kpi_channel(d.transactions(), datefirst=1)
 
 
+def _merged_state(d: TestData) -> DataFrame:
+    """The weekly state of all transactions from those of two parts, in which weeks overlap."""
+    txns = d.transactions()
+    parts = [weekly.weekly_state(txns.where(part)) for part in (F.col("txn_id") % 3 == 0, F.col("txn_id") % 3 != 0)]
+    return weekly.merge_states(parts[0].unionByName(parts[1]))
+
+
 def _trend(d: TestData) -> DataFrame:
     return weekly.weekly_trend(_kpi(d))
 
@@ -113,6 +120,7 @@ BUILDS: dict[str, Build] = {
     "b2_weekly_kpi_channel": _kpi,
     "b3_weekly_trend": _trend,
     "b4_weekly_alerts": lambda d: weekly.weekly_alerts(_trend(d)),
+    "b5_merged_weekly_state": _merged_state,
     "c2_kpi_long": lambda d: sla.kpi_long(_kpi(d)),
     "c3_match_rules": _matched,
     "c4_sla_scoreboard": _scoreboard,
