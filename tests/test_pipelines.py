@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.compare import assert_same, spark_rows
-from tillwork.operators import merchant, payments, sla, weekly
+from tillwork.operators import cohort, merchant, payments, sla, weekly
 from tillwork.plans import pipelines, reports
 from tillwork.plans.queries import BUILDS, TestData
 from tillwork.sources import tables
@@ -238,3 +238,30 @@ def test_newest_value_without_statistics(spark, tmp_path):
     assert tables.newest_value(spark, path, "name") == "c"
     assert tables.newest_value(spark, path, "at") == dt.datetime(2024, 5, 5)
     assert tables.newest_value(spark, path, "none") is None
+
+
+def test_collated_status(spark, sf_dir, tmp_path):
+    """'settled ' counts in every report that compares a status, and the comparison is shown at the scan."""
+    data, path = TestData(spark, sf_dir), str(tmp_path / "txns")
+    txns = data.transactions()
+    odd = F.when(F.col("txn_id") % 3 == 0, F.concat(F.lower("status"), F.lit("  "))).when(F.col("txn_id") % 3 == 1, F.initcap("status"))
+    txns.withColumn("status", F.coalesce(odd, "status")).write.parquet(path)
+    got = tables.read_relation(spark, path, "transactions", collated_status=True)
+    accounts, customers, merchants = data.accounts(), data.customers(), data.merchants()
+
+    def reports_of(t):
+        return {
+            "a1": payments.monthly_trend(t),
+            "a2": payments.channel_type_mix(t),
+            "b2": weekly.weekly_kpi_channel(t),
+            "d4": merchant.merchant_agg(merchant.merchant_customers(t, accounts), merchants),
+            "e1": cohort.customer_active_months(t, accounts, customers),
+        }
+
+    plain = tables.read_relation(spark, path, "transactions", clean_status=False)
+    for name, df in reports_of(got).items():
+        assert_same(spark_rows(df), spark_rows(reports_of(txns)[name]))
+    assert reports_of(plain)["a1"].agg(F.sum("txn_count")).first()[0] < reports_of(got)["a1"].agg(F.sum("txn_count")).first()[0]
+    for name in ("a1", "e1"):
+        plan = reports_of(got)[name]._jdf.queryExecution().executedPlan().toString()
+        assert "CollatedEqualTo(status,SETTLED" in plan, name
