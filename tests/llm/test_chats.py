@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
+import duckdb
+
 from tests.llm.helpers import clashing
-from tillwork.llm import chats
+from tillwork.llm import chats, registry
 
 KIND = "conv_id long, turn long, role string, text string"
 
@@ -107,3 +111,22 @@ def test_no_python_in_the_plan(spark):
     rolled = chats.maximal(chats.openings(chats._turns(made(spark, rows), "conv_id", "turn", "role", "text")))
     plan += rolled._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_ties_are_ordered_as_in_the_sql(spark, tmp_path):
+    """Turns of equal number and role, by their text; nulls first."""
+    rng = random.Random(6)
+    texts = [None, "", "a", "b", "Z", "é", "漢", "a b", "ab"]
+    rows = [(c, rng.choice([None, 0, 1, 2]), rng.choice([None, "user", "assistant"]), rng.choice(texts)) for c in range(40) for _ in range(6)]
+    rows += [(50, 0, "user", t) for t in ("x", "y")] + [(51, 0, "user", "x")] + [(52, 0, "user", "y")]
+    frame = made(spark, rows)
+    got = chats.format_chats(frame)
+    frame.toPandas().astype({"turn": "Int64"}).to_parquet(tmp_path / "conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet'")
+    wanted = con.execute(registry.OP8_SQL).fetchall()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(wanted)
+    kept = {r["conv_id"] for r in got.collect()}
+    assert 50 in kept and 51 not in kept and 52 in kept
+    turns = chats.format_turns(frame).where("conv_id = 50").orderBy("place").collect()
+    assert [r["rendered"] for r in turns] == ["<|user|>\nx<|end|>", "<|user|>\ny<|end|>"]

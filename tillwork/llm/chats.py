@@ -42,8 +42,8 @@ def placed(turns: DataFrame) -> DataFrame:
     The turns of all conversations are dealt to chunks by range, so that a chunk holds a bounded stretch of a long one; places within
     chunks and the totals of the chunks before give those in the conversation.  Chunks are cut by a sample, hence written.
     """
-    order = [F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc("h1"), F.asc("h2")]
-    narrow = turns.select("conv_id", *TURN).distinct()
+    order = [F.asc_nulls_first(c) for c in ("turn", "role", "tied_text", "h1", "h2")]
+    narrow = _with_tied_texts(turns)
     chunks = stored(narrow.repartitionByRange(F.asc("conv_id"), *order).withColumn("chunk", F.spark_partition_id()), "chunks")
     within = Window.partitionBy("chunk", "conv_id").orderBy(*order)
     whole = Window.partitionBy("conv_id")
@@ -55,6 +55,17 @@ def placed(turns: DataFrame) -> DataFrame:
     return stored(numbered.select("conv_id", *TURN, "chunk", (F.col("ahead") + F.col("at")).alias("place"), "n"), "placed")
 
 
+def _with_tied_texts(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, h1, h2 of the different turns, and the text of those whose number and role several turns have."""
+    narrow = turns.select("conv_id", *TURN).distinct()
+    place = ["conv_id", "turn", "role"]
+    several = narrow.groupBy(*place).count().where("count > 1").select(*(F.col(c).alias(f"tied_{c}") for c in place))
+    same = [F.col(c).eqNullSafe(F.col(f"tied_{c}")) for c in place]
+    tied = turns.join(several, same, "left_semi").groupBy("conv_id", *TURN).agg(F.min("text").alias("tied_text"))
+    alone = narrow.join(several, same, "left_anti").withColumn("tied_text", F.lit(None).cast("string"))
+    return alone.unionByName(tied)
+
+
 def openings(turns: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """conv_id, n, place, p1, p2: the rolling hashes of every opening of a conversation of ``n`` turns."""
     hashed = (placed(turns) if places is None else places).select(
@@ -92,7 +103,7 @@ def _shown(role: Column, text: Column) -> Column:
 
 def render(turns: DataFrame) -> DataFrame:
     """conv_id, rendered: the turns of each conversation, in order, as one string, so that a row holds the whole conversation."""
-    ordered = F.sort_array(F.collect_set(F.struct(*TURN, "text")))
+    ordered = F.sort_array(F.collect_set(F.struct("turn", "role", "text")))
     whole = F.array_join(F.transform(ordered, lambda t: _shown(t["role"], t["text"])), "\n")
     return turns.groupBy("conv_id").agg(whole.alias("rendered"))
 
@@ -124,7 +135,7 @@ def format_chats(
 ) -> DataFrame:
     """One row per maximal conversation: conv_id, n_turns, n_copies (equal conversations, itself included), rendered.
 
-    Turns are ordered by number, role and a hash of the text, nulls first; a row that repeats conversation, number, role and text
+    Turns are ordered by number, role and text, nulls first; a row that repeats conversation, number, role and text
     counts once; numbers need not be consecutive and do not matter beyond their order.  A null text renders as empty and a null
     role as ``unknown``, yet neither equals an empty one when conversations are compared.  Rows without a conversation
     id are passed over; an empty table gives no rows; other columns are ignored.

@@ -138,7 +138,8 @@ from embeddings join lowest on lowest.a = vec_id left join degree on degree.a =
 #: Openings are compared as text here, turn by turn, where the operator compares hashes.
 OP8_SQL = """
 with turns as (
-    select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn, role, text) as place
+    select conv_id, turn, role, text, row_number() over (
+        partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place
     from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)
 ),
 openings as (
