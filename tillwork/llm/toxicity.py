@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -49,7 +50,9 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Whole words of two letters or more without a to z: all that can be in capitals.
 _CAPITALS = re.compile(r"[^\W\d_a-z](?<![^\W\d_][^\W\d_])[^\W\d_a-z]++(?![^\W\d_])")
-_CODED = re.compile(r"[\w@$!*]*[0-9@$!*][\w@$!*]*")
+# runs that hold a digit or mark: each is tried once, from its start
+_CODED = re.compile(r"(?<![\w@$!*])[^\W0-9]*+[0-9@$!*][\w@$!*]*+")
+_BEYOND = re.compile(r"[^\x00-\x7f]+")
 _SPELT = re.compile(r"(?:\b[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
 
 FEATURES = (
@@ -99,6 +102,18 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     return {r["unit"]: r["odds"] for r in best.collect()}
 
 
+def _weigh(word: str, lexicon: dict[str, float]) -> float:
+    """The largest weight of a word's units."""
+    get, n = lexicon.get, len(word)
+    weight = get(word, 0.0)
+    for size in BEGINNINGS:
+        if n > size:
+            other = get(word[:size] + "*", 0.0)
+            if other > weight:
+                weight = other
+    return weight
+
+
 def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     """The dense features of a text, all zero for a null or empty one."""
     if not text:
@@ -109,7 +124,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     counts = Counter(words)
     weights: dict[str, float] = {}
     for word in counts:
-        weight = max((lexicon[u] for u in units(word) if u in lexicon), default=0.0)
+        weight = _weigh(word, lexicon)
         if weight > 0 or word in INSULTS:
             weights[word] = max(weight, 1.0)
     hits = sum(counts[w] for w in weights)
@@ -119,9 +134,14 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     if hits and second:
         places = [i for i, w in enumerate(words) if w in SECOND_PERSON]
         near = sum(any(w in weights for w in words[max(0, i - NEAR) : i + NEAR + 1]) for i in places)
-    upper = sum(map(str.isupper, text)) if lower != text else 0
+    upper = 0
+    if lower != text:
+        upper = sum(map(text.count, string.ascii_uppercase))
+        if not text.isascii():
+            upper += sum(map(str.isupper, "".join(_BEYOND.findall(text))))
     capital_words = sum(map(str.isupper, _CAPITALS.findall(text)))
-    marks = length - sum(map(len, words)) - text.count(" ") - text.count("\n")
+    letters = sum(map(len, words))
+    marks = length - letters - text.count(" ") - text.count("\n")
     coded = [w for w in _CODED.findall(lower) if any(c.isalpha() for c in w)] if marks else []
     decoded = [w.translate(LEET).strip("!*") for w in coded]
     coded_hits = sum(w in INSULTS or any(u in lexicon for u in units(w)) for w in decoded)
@@ -131,7 +151,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         math.log1p(hits), hits / n, float(len(weights)), sum(weights[w] * counts[w] for w in weights) / math.sqrt(n),
         max(weights.values(), default=0.0), float(fixed), fixed / n, near / n, second / n, upper / length,
         capital_words / n, marks / length, text.count("!") / n, doubled / n, len(coded) / n, float(coded_hits),
-        float(len(_SPELT.findall(lower))) / n, math.log1p(len(words)), sum(map(len, words)) / n, digits / length,
+        float(len(_SPELT.findall(lower))) / n, math.log1p(len(words)), letters / n, digits / length,
     ]
 
 
