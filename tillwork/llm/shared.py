@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Documents are long: so few rows keep an Arrow batch within some tens of MB.
 ROWS_PER_BATCH = 400
+#: Bytes of a Parquet row group, which its writer holds in memory.
+ROW_GROUP = 32 << 20
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -49,13 +51,16 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
 def ready(spark: SparkSession) -> None:
     """Make a session fit for the operators that run Python in tasks.
 
-    Few documents go to Python at a time, unless the session asks for fewer, and the executors get this package,
+    Few documents go to Python at a time, unless the session asks for fewer; Parquet files are written in row groups of a size that
+    leaves room for Python beside the writers, unless the session names one; and the executors get this package,
     which need not be installed there.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if not 0 < now <= ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+    if not spark.conf.get("parquet.block.size", None):
+        spark.conf.set("parquet.block.size", str(ROW_GROUP))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
