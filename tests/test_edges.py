@@ -25,6 +25,7 @@ TYPES = {
     "b2_weekly_kpi_channel": "date, string, bigint, bigint, bigint, decimal(10,2), bigint, decimal(10,2), decimal(22,2)",
     "b3_weekly_trend": "date, string, bigint, decimal(22,2), decimal(10,2), decimal(10,2), bigint, decimal(22,2), decimal(10,2), decimal(10,2)",
     "b4_weekly_alerts": "date, string, bigint, decimal(10,2), decimal(10,2), string",
+    "b5_merged_weekly_state": "date, string, bigint, bigint, bigint, bigint, decimal(22,2)",
     "c2_kpi_long": "date, string, string, decimal(10,2)",
     "c3_match_rules": "date, string, string, decimal(10,2), string, decimal(10,2), string, string, string",
     "c4_sla_scoreboard": "date, string, string, decimal(10,2), string, decimal(10,2), string, string, string, decimal(10,2)",

@@ -6,14 +6,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
     DecimalType,
     DoubleType,
-    FractionalType,
+    FloatType,
     IntegralType,
     LongType,
     NumericType,
@@ -155,17 +156,16 @@ def check_contract(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
     if keys:
         parts.append(_key_rules(tables, keys))
     counts = reduce(DataFrame.unionByName, parts)
-    labels = [
-        F.struct(
-            F.lit(i).alias("id"),
-            F.lit(r.table).alias("table_name"),
-            F.lit(_KINDS[type(r)]).alias("rule"),
-            F.lit(",".join(r.columns) if isinstance(r, Unique) else r.column).alias("column_name"),
-        )
-        for i, r in numbered
-    ]
+    labels = pa.table(
+        {
+            "id": pa.array(range(len(rules)), pa.int32()),
+            "table_name": [r.table for r in rules],
+            "rule": [_KINDS[type(r)] for r in rules],
+            "column_name": [",".join(r.columns) if isinstance(r, Unique) else r.column for r in rules],
+        }
+    )
     # a rule that nothing breaks has no count
-    named = tables[rules[0].table].sparkSession.range(1).select(F.inline(F.array(*labels)))
+    named = tables[rules[0].table].sparkSession.createDataFrame(labels)
     return named.join(counts, "id", "left").select(
         "table_name", "rule", "column_name", F.coalesce("violations", F.lit(0)).alias("violations")
     )
@@ -179,24 +179,30 @@ _KINDS = {
 }
 
 
+# Rules are written as SQL: a table's rules are one text, and one call to Spark.
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _row_rules(df: DataFrame, rules: Sequence[tuple[int, NotNull | Accepted]]) -> DataFrame:
-    broken = {
-        i: F.col(r.column).isNull() if isinstance(r, NotNull) else ~F.col(r.column).isin(*r.values)
-        for i, r in rules
-    }
-    counts = [F.count_if(holds).alias(f"n{i}") for i, holds in broken.items()]
-    found = [F.struct(F.lit(i).alias("id"), F.col(f"n{i}").alias("violations")) for i in broken]
-    return df.agg(*counts).select(F.inline(F.array(*found)))
+    nulls = {i: f"count_if({_name(r.column)} is null)" for i, r in rules if isinstance(r, NotNull)}
+    counts = [F.expr(text).alias(f"n{i}") for i, text in nulls.items()]
+    counts += [F.count_if(~F.col(r.column).isin(*r.values)).alias(f"n{i}") for i, r in rules if isinstance(r, Accepted)]
+    found = ", ".join(f"named_struct('id', {i}, 'violations', n{i})" for i, _ in rules)
+    return df.agg(*counts).select(F.expr(f"inline(array({found}))"))
 
 
 def _key_rules(
     tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Unique | ForeignKey]]
 ) -> DataFrame:
     """Surplus rows of each key, and rows of each reference that has no parent."""
-    wanted: dict[str, list[Column]] = {}
+    wanted: dict[str, list[str]] = {}
     for i, rule in rules:
         if isinstance(rule, Unique):
-            key = _key([F.col(c) for c in rule.columns], [_type(tables, rule.table, c) for c in rule.columns])
+            kinds = [_type(tables, rule.table, c) for c in rule.columns]
+            key = _key([_name(c) for c in rule.columns], kinds)
             wanted.setdefault(rule.table, []).append(_entry(i, key, False))
         else:
             kind = _wider(_type(tables, rule.table, rule.column), _type(tables, rule.parent, rule.parent_column))
@@ -204,9 +210,9 @@ def _key_rules(
                 (rule.table, rule.column, False),
                 (rule.parent, rule.parent_column, True),
             ):
-                entry = _entry(i, _key([F.col(column).cast(kind)], [kind]), is_parent)
-                wanted.setdefault(table, []).append(entry)
-    laid_out = [tables[name].select(F.inline(F.array(*entries))) for name, entries in wanted.items()]
+                key = _key([f"cast({_name(column)} as {kind.simpleString()})"], [kind])
+                wanted.setdefault(table, []).append(_entry(i, key, is_parent))
+    laid_out = [tables[name].select(F.expr(f"inline(array({', '.join(entries)}))")) for name, entries in wanted.items()]
     counted = (
         reduce(DataFrame.unionByName, laid_out)
         .groupBy("id", "high", "low")
@@ -223,28 +229,23 @@ def _type(tables: Mapping[str, DataFrame], table: str, column: str) -> DataType:
     return tables[table].schema[column].dataType
 
 
-def _entry(rule: int, key: tuple[Column, Column], is_parent: bool) -> Column:
+def _entry(rule: int, key: tuple[str, str], is_parent: bool) -> str:
     """A row of one width: the rule, the key, and whether it is used or known."""
-    return F.struct(
-        F.lit(rule).alias("id"),
-        key[0].alias("high"),
-        key[1].alias("low"),
-        F.lit(0 if is_parent else 1).cast("long").alias("used"),
-        F.lit(is_parent).alias("known"),
-    )
+    used, known = (0, "true") if is_parent else (1, "false")
+    return f"named_struct('id', {rule}, 'high', {key[0]}, 'low', {key[1]}, 'used', {used}L, 'known', {known})"
 
 
-def _key(columns: Sequence[Column], kinds: Sequence[DataType]) -> tuple[Column, Column]:
+def _key(columns: Sequence[str], kinds: Sequence[DataType]) -> tuple[str, str]:
     """Two longs that are equal where all columns are; the second is NULL for one column that is."""
     if len(columns) == 1 and isinstance(kinds[0], IntegralType):
-        return F.lit(0).cast("long"), columns[0].cast("long")
+        return "0L", f"cast({columns[0]} as bigint)"
     # a hash passes over NULLs, so they are told apart by flags; 0.0 and -0.0 are one number
-    values = [c + 0.0 if isinstance(k, FractionalType) and not isinstance(k, DecimalType) else c for c, k in zip(columns, kinds, strict=True)]
-    parts = [*values, *[c.isNull() for c in columns]]
-    digest = F.xxhash64(*parts), F.xxhash64(F.lit("second half"), *parts)
+    values = [f"{c} + 0.0D" if isinstance(k, FloatType | DoubleType) else c for c, k in zip(columns, kinds, strict=True)]
+    parts = ", ".join([*values, *[f"{c} is null" for c in columns]])
+    digest = f"xxhash64({parts})", f"xxhash64('second half', {parts})"
     if len(columns) > 1:
         return digest
-    return F.when(columns[0].isNotNull(), digest[0]), F.when(columns[0].isNotNull(), digest[1])
+    return tuple(f"if({columns[0]} is null, cast(null as bigint), {half})" for half in digest)
 
 
 def _wider(a: DataType, b: DataType) -> DataType:

@@ -51,7 +51,7 @@ def project_real_balances(
     """The schedule with inflation-adjusted balance and running totals."""
     return _schedule(accounts, carry, partitions).select(
         *_SCHEDULE_COLUMNS,
-        _real_balance(F.col("end_balance"), F.col("period")).alias("real_end_balance"),
+        F.expr(_real("end_balance", "period")).alias("real_end_balance"),
         _paid_in().alias("total_contrib"),
         _earned().alias("total_interest"),
         *carry,
@@ -93,7 +93,7 @@ def projection_summary(
     return _with_balances(terms.withColumn("period", F.col("periods"))).select(
         "account_key",
         F.col("end_balance").alias("final_nominal"),
-        _real_balance(F.col("end_balance"), F.col("period")).alias("final_real"),
+        F.expr(_real("end_balance", "period")).alias("final_real"),
         _paid_in().alias("total_contrib"),
         _earned().alias("total_interest"),
         _goal_year(use_real).alias("goal_year"),
@@ -111,10 +111,6 @@ _SCHEDULE_COLUMNS = [
 ]
 
 
-def _real_balance(balance: Column, period: Column) -> Column:
-    return balance / F.pow(1 + F.col("inflation_rate"), period)
-
-
 def _paid_in() -> Column:
     return F.col("contribution") * F.col("period")
 
@@ -165,34 +161,39 @@ def _with_balances(terms: DataFrame) -> DataFrame:
     """Balances of the period that each row names."""
     return (
         terms.withColumn("year", F.col("period") / F.col("per_year"))
-        .withColumn("start_balance", _opening(F.col("period")))
-        .withColumn("interest", _interest(F.col("start_balance")))
-        .withColumn("end_balance", F.col("start_balance") + F.col("contribution") + F.col("interest"))
+        .withColumn("start_balance", F.expr(_opening("period")))
+        .withColumn("interest", F.expr(_interest("start_balance")))
+        .withColumn("end_balance", F.expr("start_balance + contribution + interest"))
     )
 
 
-def _opening(period: Column) -> Column:
-    """Balance before a period."""
-    rate, paid, upfront = F.col("rate"), F.col("contribution"), F.col("upfront")
-    principal, elapsed = F.col("principal"), period - 1
-    growth = F.pow(1 + rate, elapsed)
-    # (growth - 1) / rate loses its digits at small rates; a rate of -1 or less has no logarithm
-    annuity = F.when(rate > -1, F.expm1(elapsed * F.log1p(rate)) / rate).otherwise(
-        (growth - 1) / rate
-    )
-    grown = principal * growth + paid * (1 + upfront * rate) * annuity
-    return F.when(rate == 0, principal + paid * elapsed).otherwise(grown)
+# The formulas are written as SQL: the search for a goal uses them many times over, and one text is one call to Spark.
+
+
+def _opening(period: str) -> str:
+    """Balance before a period.
+
+    (growth - 1) / rate loses its digits at small rates, hence expm1; a rate of -1 or less has no logarithm.
+    """
+    return f"""(case when rate = 0 then principal + contribution * ({period} - 1)
+        else principal * power(1 + rate, {period} - 1) + contribution * (1 + upfront * rate) * (
+            case when rate > -1 then expm1(({period} - 1) * log1p(rate)) / rate
+            else (power(1 + rate, {period} - 1) - 1) / rate end) end)"""
+
 
+def _interest(opening: str) -> str:
+    return f"(({opening} + upfront * contribution) * rate)"
 
-def _interest(opening: Column) -> Column:
-    return (opening + F.col("upfront") * F.col("contribution")) * F.col("rate")
 
+def _real(balance: str, period: str) -> str:
+    return f"({balance} / power(1 + inflation_rate, {period}))"
 
-def _closing(period: Column, use_real: bool) -> Column:
-    """Balance after a period, as the schedule has it."""
+
+def _reached(period: str, use_real: bool) -> str:
+    """Whether the balance after a period, as the schedule has it, is at least the goal."""
     opening = _opening(period)
-    balance = opening + F.col("contribution") + _interest(opening)
-    return _real_balance(balance, period) if use_real else balance
+    balance = f"({opening} + contribution + {_interest(opening)})"
+    return f"({_real(balance, period) if use_real else balance} >= goal)"
 
 
 def _goal_year(use_real: bool) -> Column:
@@ -202,76 +203,58 @@ def _goal_year(use_real: bool) -> Column:
     one peak or trough at most.  Where a base is negative (a loss of more than everything a year) the signs
     alternate, and every period is tried.
     """
-    periods, rate = F.col("periods"), F.col("rate")
-    nominal = _first_nominal()
-    if use_real:
-        smooth = F.when(F.col("inflation_rate") == 0, nominal).otherwise(_first_real())
-        whole = (rate < -1) | (F.col("inflation_rate") <= -1)
-    else:
-        smooth, whole = nominal, rate < -1
-    tried = F.filter(F.sequence(F.lit(1), periods), lambda t: _reached(t, use_real))
-    return F.when(whole, F.array_min(tried)).otherwise(smooth) / F.col("per_year")
-
-
-def _reached(period: Column, use_real: bool) -> Column:
-    return _closing(period, use_real) >= F.col("goal")
-
-
-def _first_nominal() -> Column:
-    """The inverse of the nominal balance, by logarithm, held against the balances around it."""
-    rate, periods = F.col("rate"), F.col("periods")
-    first_gain = F.col("principal") * rate + F.col("contribution") * (1 + F.col("upfront") * rate)
-    wanted = (F.col("goal") - F.col("principal")) / F.nullif(first_gain, F.lit(0.0))
-    inverse = F.when(rate == 0, wanted).when(
-        (rate > -1) & (rate * wanted > -1), F.log1p(rate * wanted) / F.log1p(rate)
-    )
+    period = f"""case when rate < -1 {"or inflation_rate <= -1" if use_real else ""}
+        then array_min(filter(sequence(1, periods), t -> {_reached("t", use_real)}))
+        else {_first_real() if use_real else _first_nominal()} end"""
+    return F.expr(period) / F.col("per_year")
+
+
+def _first_nominal() -> str:
+    """The inverse of the nominal balance, by logarithm, held against the balances around it.
+
+    A curve that hardly rises has no sharp inverse, and is searched.
+    """
+    first_gain = "(principal * rate + contribution * (1 + upfront * rate))"
+    wanted = f"((goal - principal) / nullif({first_gain}, 0))"
+    inverse = f"""case when rate = 0 then {wanted}
+        when rate > -1 and rate * {wanted} > -1 then log1p(rate * {wanted}) / log1p(rate) end"""
     # beyond the horizon it is out of reach anyhow
-    guess = F.ceil(F.least(F.greatest(inverse, F.lit(1.0)), periods + 1.0)).cast("int")
-    found = [F.least(F.greatest(guess + step, F.lit(1)), periods) for step in (-1, 0, 1)]
-    confirmed = (
-        F.when(_reached(found[0], False), F.when(found[0] == 1, 1))
-        .when(_reached(found[1], False), found[1])
-        .when(_reached(found[2], False), found[2])
-    )
-    # a curve that hardly rises has no sharp inverse
-    searched = _first_between(F.lit(1), periods, False)
-    return F.when(_reached(F.lit(1), False), 1).when(
-        _reached(periods, False), F.coalesce(confirmed, searched)
-    )
+    guess = f"cast(ceil(least(greatest({inverse}, 1), periods + 1)) as int)"
+    near = [f"least(greatest({guess} + {step}, 1), periods)" for step in (-1, 0, 1)]
+    return f"""case when {_reached("1", False)} then 1
+        when {_reached("periods", False)} is not true then null
+        when {_reached(near[0], False)} then {_bisected("1", near[0], False)}
+        when {_reached(near[1], False)} then {near[1]}
+        when {_reached(near[2], False)} then {near[2]}
+        else {_bisected("1", "periods", False)} end"""
 
 
-def _first_real() -> Column:
+def _first_real() -> str:
     """The first period on either side of the peak or trough of the real balance, or beside it."""
-    rate, paid, periods = F.col("rate"), F.col("contribution"), F.col("periods")
-    prices = F.log1p("inflation_rate")
-    per_payment = F.col("principal") / F.nullif(paid * (1 + F.col("upfront") * rate), F.lit(0.0))
-    both = F.log1p(rate * per_payment) + F.log1p(-F.log1p(rate) / prices)
-    turn = F.when(rate == 0, 1 / prices - per_payment).when(rate > -1, -both / F.log1p(rate))
+    prices = "nullif(log1p(inflation_rate), 0)"
+    per_payment = "(principal / nullif(contribution * (1 + upfront * rate), 0))"
+    both = f"(log1p(rate * {per_payment}) + log1p(-log1p(rate) / {prices}))"
+    turn = f"case when rate = 0 then 1 / {prices} - {per_payment} when rate > -1 then -{both} / log1p(rate) end"
     # without a turning point any place will do
-    known = F.when(F.isnan(turn), F.lit(1.0)).otherwise(F.coalesce(turn, F.lit(1.0)))
-    at = F.floor(F.least(F.greatest(known, F.lit(1.0)), periods.cast("double"))).cast("int")
-    beside = [F.when(_reached(t, True), t) for t in (at, F.least(at + 1, periods))]
-    before = _first_between(F.lit(1), at - 1, True)
-    after = _first_between(at + 2, periods, True)
-    return F.coalesce(before, *beside, after)
-
-
-def _first_between(low: Column, high: Column, use_real: bool) -> Column:
-    """First period of a range, on which the balance rises or falls, that reaches the goal; by bisection."""
-
-    def halve(bounds: Column, _: Column) -> Column:
-        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
-        reached = _reached(middle, use_real)
-        return F.struct(
-            F.when(reached, bounds["low"]).otherwise(middle).alias("low"),
-            F.when(reached, middle).otherwise(bounds["high"]).alias("high"),
-        )
-
-    # the goal is reached at the upper end and not at the lower one
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(high - low, F.lit(1)))).cast("int") + 1)
-    bounds = F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
-    halved = F.reduce(steps, bounds, halve)["high"]
-    return F.when(low <= high, F.when(_reached(low, use_real), low).when(_reached(high, use_real), halved))
+    at = f"cast(floor(least(greatest(coalesce(nanvl({turn}, 1), 1), 1), periods)) as int)"
+    near = [f"least(greatest({at} + {step}, 1), periods)" for step in (-1, 0, 1, 2)]
+    return f"""case when {_reached("1", True)} then 1
+        when {_reached(near[0], True)} then {_bisected("1", near[0], True)}
+        when {_reached(near[1], True)} then {near[1]}
+        when {_reached(near[2], True)} then {near[2]}
+        when {_reached(near[3], True)} then {near[3]}
+        when {_reached("periods", True)} then {_bisected(near[3], "periods", True)} end"""
+
+
+def _bisected(low: str, high: str, use_real: bool) -> str:
+    """First period of a range, on which the balance rises, that reaches the goal; the last one does, the first one does not."""
+    middle = "cast(floor((range.low + range.high) / 2) as int)"
+    return f"""aggregate(
+        sequence(1, cast(ceil(log2(greatest({high} - {low}, 1))) as int) + 1),
+        named_struct('low', {low}, 'high', {high}),
+        (range, _) -> if({_reached(middle, use_real)},
+            named_struct('low', range.low, 'high', {middle}), named_struct('low', {middle}, 'high', range.high)),
+        range -> range.high)"""
 
 
 def _option(name: str, values: dict[str, int], strict: bool = True) -> Column:
