@@ -12,9 +12,11 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
+from tests.llm.helpers import clashing, documents, odd_rows, prose
 from tests.llm.test_repeats import plain as plain_repeats
 from tests.llm.test_simhash import groups, plain_fingerprint
 from tillwork.llm import decontam, langid, pii, registry
@@ -30,13 +32,46 @@ def docs():
 
 
 def test_all_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     found = __spark_entry__.queries()
     assert all(sum(q.startswith(n) for q in found) == 1 for n in names)
     assert "pipeline" in found
     assert set(registry.oracle_sql()) <= set(__spark_entry__.oracle_sql())
 
 
+def test_op1(spark, docs):
+    got = registry.op1_pii(spark, SMALL).toPandas().set_index("doc_id")
+    for doc_id, text in zip(docs.doc_id, docs.text, strict=True):
+        new, found = pii.replace(text, pii.DEMO_KEY.encode())
+        row = got.loc[doc_id]
+        assert (row.text, row.n_found) == (new, len(found))
+        assert [(f["kind"], text[f["start"] : f["end"]]) for f in row.found] == [(f["kind"], text[f["start"] : f["end"]]) for f in found]
+        # what was found is nowhere left in the places that it had
+        done, parts = 0, []
+        for f in found:
+            parts += [text[done : f["start"]], f["pseudonym"]]
+            done = f["end"]
+        assert "".join([*parts, text[done:]]) == new
+    assert got.n_found.sum() > 20
+
+
+def test_op5(spark, docs):
+    got = registry.op5_toxicity(spark, SMALL).toPandas()
+    assert sorted(got.doc_id) == sorted(docs.doc_id)
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
+    assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.3)).all()
+
+
+def test_op7(spark, docs):
+    got = registry.op7_token_files(spark, SMALL).toPandas().set_index("doc_id")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    start = 0
+    for doc_id, text in sorted(zip(docs.doc_id, docs.text, strict=True)):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        assert got.loc[doc_id].tolist() == [start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())]
+        start += len(ids)
+
+
 def test_op2(spark, docs):
     got = registry.op2_substring_dedup(spark, SMALL).toPandas()
     wanted = plain_repeats(list(zip(docs.doc_id, docs.text, strict=True)))
@@ -115,3 +150,38 @@ def test_pipeline(spark, docs):
     whole = registry.queries()["pipeline"](spark, SMALL).toPandas().set_index("doc_id")
     assert whole.decoded.to_dict() == last.decoded.to_dict()
     assert np.array_equal(np.sort(whole.index), np.sort(last.index))
+
+
+@pytest.fixture
+def odd_dir(spark, tmp_path):
+    """Tables of odd rows, in columns that clash, beside empty ones."""
+    made = documents(spark, [*odd_rows(), (8, prose(9, 40) + " mail jo@example.com"), (9, prose(9, 40))])
+    made = clashing(made, "fp", "spans", "h1", "best", "block")
+    for name, frame in {"odd": made, "none": made.limit(0)}.items():
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        items = spark.createDataFrame([(1, prose(2, 60)), (None, None), (2, "")], "item_id long, text string")
+        (items if name == "odd" else items.limit(0)).write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    return tmp_path
+
+
+def test_pipeline_over_odd_rows_and_empty_tables(spark, odd_dir):
+    """Every stage keeps the columns of its input, whatever they are; nothing comes of nothing."""
+    frame = spark.read.parquet(f"{odd_dir}/odd/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        before = frame
+        frame = stored(stage(spark, frame, f"{odd_dir}/odd"), name)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert frame.columns == before.columns
+    got = {r["doc_id"]: r["decoded"] for r in frame.collect()}
+    # null, empty and blank texts have no language; documents 1 and 2 hold a benchmark item
+    assert not {1, 2, 3, 4, 5} & set(got)
+    assert 6 in got and len(got[6].split()) == 60_000
+    assert all("jo@" not in text for text in got.values())
+    empty = corpus_pipeline.run(spark, f"{odd_dir}/none")
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+
+
+@pytest.mark.parametrize("name", ["op11_alignment", "op12_lm_scoring"])
+def test_queries_of_documents_over_odd_rows(spark, odd_dir, name):
+    assert registry.queries()[name](spark, f"{odd_dir}/odd").count() == len(odd_rows()) + 2
+    assert registry.queries()[name](spark, f"{odd_dir}/none").count() == 0

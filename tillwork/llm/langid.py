@@ -36,12 +36,15 @@ SCALE = 100.0
 ALPHA, BETA, LASSO, RIDGE = 1.0, 1.0, 0.02, 0.01
 # what \w takes besides letters, digits and "_": characters that stand for numbers, such as fractions and Roman numerals
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
+_NUMERALS = re.compile(f"[{re.escape(_NUMBERS)}]")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def slots(text: str | None) -> np.ndarray:
     """The slot of every character n-gram of a text; empty if the text has no letter."""
-    plain = _OTHER.sub(" ", text.lower()).strip() if text else ""
+    lower = text.lower() if text else ""
+    # a set of characters and classes together would be slow
+    plain = _OTHER.sub(" ", lower if lower.isascii() else _NUMERALS.sub(" ", lower)).strip()
     if not plain:
         return np.zeros(0, np.int64)
     points = np.frombuffer(f" {plain} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from tillwork.llm.shared import documents, pick, ready, texts
 
 #: Words whose ids a Python worker keeps; the half that is older goes when there are more.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 600_000
 LONGEST_KEPT = 64
 #: Pairs of tokens whose compatibility a Python worker keeps.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
 SPACE = "▁"
 HIDDEN = "\udc00"
 ID = np.dtype("<i4")
