@@ -32,6 +32,15 @@ def test_exceptions_are_patched():
     assert (idfiles.unpack_block(memoryview(data)) == ids).all()
 
 
+def test_blocks_together_are_blocks_alone():
+    rng = np.random.default_rng(4)
+    for n in (1, 1024, 1025, 300 * 1024 + 7):
+        tops = rng.choice([1, 2, 300, 50_000, 2**31], -(-n // 1024))
+        flat = (rng.random(n) * np.repeat(tops, 1024)[:n]).astype(idfiles.ID) + rng.integers(0, 5, n).astype(idfiles.ID)
+        flat[rng.random(n) < 0.03] = 2**32 - 1
+        assert idfiles.pack_blocks(flat) == [idfiles.pack_block(flat[i : i + 1024]) for i in range(0, n, 1024)]
+
+
 def test_file_and_random_access():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 50_000, n).astype(idfiles.ID) for n in (1, 3000, 1, 1023, 1024, 7)]

@@ -14,6 +14,7 @@ without reading what is before it.  All integers are little-endian.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import struct
@@ -37,6 +38,8 @@ HEAD = struct.Struct("<8sIIIIIIQ")
 VERSION = 2
 BLOCK_HEAD = struct.Struct("<IHBBI")
 BLOCK = 1024
+#: Blocks that are packed at a time.
+PACKED = 256
 PERCENTILE = 0.9
 END_ID = 0
 #: Ids after which a task closes a file and opens the next one.
@@ -87,6 +90,34 @@ def pack_block(ids: np.ndarray) -> bytes:
     return b"".join([head, packed, b"\0" * (-len(packed) % 8), places.tobytes(), high.tobytes()])
 
 
+def pack_blocks(flat: np.ndarray) -> list[bytes]:
+    """All blocks of a file: those that are full by groups of equal width, the last one on its own."""
+    full = len(flat) // BLOCK
+    made: list[bytes] = [b""] * full
+    for start in range(0, full, PACKED):
+        part = flat[start * BLOCK : min(full, start + PACKED) * BLOCK].reshape(-1, BLOCK)
+        low = part.min(axis=1)
+        rest = part - low[:, None]
+        needed = _widths(rest)
+        most = math.ceil(BLOCK * PERCENTILE) - 1
+        widths = np.partition(needed, most, axis=1)[:, most]
+        for width in np.unique(widths).tolist():
+            some = np.flatnonzero(widths == width)
+            cell = "<u2" if width <= 16 else "<u4"
+            bits = np.unpackbits(rest[some].astype(cell).view(np.uint8).reshape(len(some), BLOCK, -1), axis=2, bitorder="little")
+            packed = np.packbits(bits[:, :, :width].reshape(len(some), -1), axis=1, bitorder="little")
+            row, places = np.nonzero(needed[some] > width)
+            high = (rest[some][row, places].astype(np.uint64) >> np.uint64(width)).astype("<u4")
+            places, cuts = places.astype("<u2"), np.searchsorted(row, np.arange(len(some) + 1)).tolist()
+            for i, block in enumerate(some.tolist()):
+                a, b = cuts[i], cuts[i + 1]
+                head = BLOCK_HEAD.pack(int(low[block]), BLOCK, width, 0, b - a)
+                made[start + block] = head + packed[i].tobytes() + places[a:b].tobytes() + high[a:b].tobytes()
+    if len(flat) > full * BLOCK:
+        made.append(pack_block(flat[full * BLOCK :]))
+    return made
+
+
 def unpack_block(data: memoryview) -> np.ndarray:
     low, count, width, _, exceptions = BLOCK_HEAD.unpack_from(data)
     at, size = BLOCK_HEAD.size, (count * width + 7) // 8
@@ -112,7 +143,7 @@ def pack_file(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
         raise ValueError("documents without an id come last")
     flat = np.frombuffer(b"".join(ids), ID)
     ends = np.cumsum([len(x) // ID.itemsize for x in ids]).astype("<u8")
-    blocks = [pack_block(flat[i : i + BLOCK]) for i in range(0, len(flat), BLOCK)]
+    blocks = pack_blocks(flat)
     starts = np.cumsum([0] + [len(b) for b in blocks]).astype("<u8")
     head = HEAD.pack(MAGIC, VERSION, BLOCK, len(doc_ids), len(blocks), unnamed, 0, len(flat))
     return b"".join([head, np.array([i or 0 for i in doc_ids], "<i8").tobytes(), ends.tobytes(), starts.tobytes(), *blocks])
