@@ -34,17 +34,23 @@ EPOCHS = 4
 SCALE = 100.0
 # follow-the-regularised-leader: step size, its offset, and the two penalties
 ALPHA, BETA, LASSO, RIDGE = 1.0, 1.0, 0.02, 0.01
-# what \w takes besides letters, digits and "_": characters that stand for numbers, such as fractions and Roman numerals
+# what \w takes besides letters, digits and "_": characters that stand for numbers, such as fractions and Roman numerals; sets that
+# reach beyond the basic plane are slow, so those there are looked for only where a text has any such character
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NUMERALS = re.compile(f"[{re.escape(_NUMBERS)}]")
+_NUMERALS = re.compile(f"[{''.join(c for c in _NUMBERS if ord(c) < 1 << 16)}]")
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+_RARE_NUMERALS = re.compile(f"[{''.join(c for c in _NUMBERS if ord(c) >= 1 << 16)}]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
 def slots(text: str | None) -> np.ndarray:
     """The slot of every character n-gram of a text; empty if the text has no letter."""
     lower = text.lower() if text else ""
-    # a set of characters and classes together would be slow
-    plain = _OTHER.sub(" ", lower if lower.isascii() else _NUMERALS.sub(" ", lower)).strip()
+    if not lower.isascii():
+        lower = _NUMERALS.sub(" ", lower)
+        if _BEYOND.search(lower):
+            lower = _RARE_NUMERALS.sub(" ", lower)
+    plain = _OTHER.sub(" ", lower).strip()
     if not plain:
         return np.zeros(0, np.int64)
     points = np.frombuffer(f" {plain} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
