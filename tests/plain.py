@@ -8,14 +8,14 @@ opinion on small data and as the yardstick of the benchmark.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions import MONEY, average, month_index, month_start, pct, ratio
-from tillwork.operators import projection, sla, weekly
-from tillwork.plans.queries import MONTHS_BACK, YEARS, portable
+from tillwork.operators import checks, projection, sla, weekly
+from tillwork.plans.queries import CONTRACT, MONTHS_BACK, YEARS, _contract_tables, portable
 from tillwork.sources.testdata import TestData
 
 SETTLED = "SETTLED"
@@ -419,15 +419,67 @@ def monthly_sales(d: TestData) -> DataFrame:
     )
 
 
+def _schedule(d: TestData) -> DataFrame:
+    """Every account fanned out to its periods where it lies."""
+    terms = projection._terms(d.projection_accounts(), ["goal"])
+    return projection._with_balances(terms.withColumn("period", F.explode(F.sequence(F.lit(1), "periods"))))
+
+
+REAL = "end_balance / power(1 + inflation_rate, period)"
+SCHEDULE = ["account_key", "period", "year", "start_balance", "interest", "contribution", "end_balance"]
+
+
 def real_balances(d: TestData) -> DataFrame:
     """Running totals from ordered windows."""
-    schedule = projection.project_real_balances(d.projection_accounts())
     running = Window.partitionBy("account_key").orderBy("period")
-    return schedule.withColumn("total_contrib", F.sum("contribution").over(running)).withColumn(
-        "total_interest", F.sum("interest").over(running)
+    return _schedule(d).select(
+        *SCHEDULE,
+        F.expr(REAL).alias("real_end_balance"),
+        F.sum("contribution").over(running).alias("total_contrib"),
+        F.sum("interest").over(running).alias("total_interest"),
+    )
+
+
+def time_to_goal(d: TestData) -> DataFrame:
+    reached = F.when(F.col("end_balance") >= F.col("goal"), F.col("year"))
+    return _schedule(d).groupBy("account_key").agg(F.min(reached).alias("goal_year"))
+
+
+def projection_summary(d: TestData) -> DataFrame:
+    """Last periods and first periods that reach the goal, out of all of them."""
+    last = {
+        "final_nominal": F.col("end_balance"),
+        "final_real": F.expr(REAL),
+        "total_contrib": F.col("contribution") * F.col("period"),
+        "total_interest": F.col("end_balance") - F.col("principal") - F.col("contribution") * F.col("period"),
+    }
+    return _schedule(d).groupBy("account_key").agg(
+        *[F.max_by(value, "period").alias(name) for name, value in last.items()],
+        F.min(F.when(F.expr(f"{REAL} >= goal"), F.col("year"))).alias("goal_year"),
     )
 
 
+def contract_checks(d: TestData) -> DataFrame:
+    """A query for each rule: rows in surplus, rows without a parent, rows outside."""
+    tables, parts = _contract_tables(d), []
+    for rule in CONTRACT:
+        df = tables[rule.table]
+        column = ",".join(rule.columns) if isinstance(rule, checks.Unique) else rule.column
+        if isinstance(rule, checks.Unique):
+            kind, found = "unique", df.groupBy(*rule.columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
+        elif isinstance(rule, checks.ForeignKey):
+            parents = tables[rule.parent].select(F.col(rule.parent_column).alias("parent"))
+            orphans = df.select(F.col(rule.column).alias("ref")).where("ref is not null")
+            kind, found = "foreign_key", orphans.join(parents, F.col("ref") == F.col("parent"), "left_anti").agg(F.count("*").alias("n"))
+        elif isinstance(rule, checks.NotNull):
+            kind, found = "not_null", df.where(F.col(column).isNull()).agg(F.count("*").alias("n"))
+        else:
+            kind, found = "accepted_values", df.where(~F.col(column).isin(*rule.values)).agg(F.count("*").alias("n"))
+        names = {"table_name": rule.table, "rule": kind, "column_name": column}
+        parts.append(found.select(*[F.lit(v).alias(k) for k, v in names.items()], F.col("n").alias("violations")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 PLAIN: dict[str, Callable[[TestData], DataFrame]] = {
     "a3_top_customers": top_customers,
     "a5_fraud_by_segment": lambda d: _fraud(_customer_txns(d), "risk_segment"),
@@ -457,7 +509,11 @@ PLAIN: dict[str, Callable[[TestData], DataFrame]] = {
     .join(d.plans(), "plan_id")
     .groupBy("plan_name")
     .agg(F.count("*").alias("n")),
+    "g11_contract_checks": contract_checks,
+    "h1_project_balances": lambda d: _schedule(d).select(*SCHEDULE),
     "h2_project_real_balances": real_balances,
+    "h3_time_to_goal": time_to_goal,
+    "h4_projection_summary": projection_summary,
 }
 
 
