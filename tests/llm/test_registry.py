@@ -155,7 +155,8 @@ def test_pipeline(spark, docs):
 @pytest.fixture
 def odd_dir(spark, tmp_path):
     """Tables of odd rows, in columns that clash, beside empty ones."""
-    made = documents(spark, [*odd_rows(), (8, prose(9, 40) + " mail jo@example.com"), (9, prose(9, 40))])
+    known = [(100 + i, prose(100 + i, 60), "en" if i % 2 else "fr") for i in range(30)]
+    made = documents(spark, [*odd_rows(), (8, prose(9, 40) + " mail jo@example.com"), (9, prose(9, 40)), *known])
     made = clashing(made, "fp", "spans", "h1", "best", "block")
     for name, frame in {"odd": made, "none": made.limit(0)}.items():
         frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
@@ -183,5 +184,5 @@ def test_pipeline_over_odd_rows_and_empty_tables(spark, odd_dir):
 
 @pytest.mark.parametrize("name", ["op11_alignment", "op12_lm_scoring"])
 def test_queries_of_documents_over_odd_rows(spark, odd_dir, name):
-    assert registry.queries()[name](spark, f"{odd_dir}/odd").count() == len(odd_rows()) + 2
+    assert registry.queries()[name](spark, f"{odd_dir}/odd").count() == len(odd_rows()) + 32
     assert registry.queries()[name](spark, f"{odd_dir}/none").count() == 0
