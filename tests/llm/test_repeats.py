@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import clashing, documents, odd_rows, prose
@@ -147,3 +148,50 @@ def test_rows_without_an_id_are_documents_of_their_own(spark):
     got = repeats.remove_repeats(documents(spark, rows)).collect()
     told = sorted((r["doc_id"] is None, r["n_words"], r["n_removed"]) for r in got)
     assert told == [(False, 20, 0), (False, 60, 0), (True, 20, 0), (True, 20, 20), (True, 60, 60), (True, 60, 60)]
+
+
+def odd_words(seed: int, n: int) -> str:
+    """Words of 1 to 100 bytes, some of which share their first bytes or hold a zero byte or letters of several bytes."""
+    rng = random.Random(seed)
+    return " ".join(rng.choice(["a", "a\x00", "abcdefgh", "abcdefghi", "é漢🙂", "x" * 64, "x" * 65, "x" * 100]) for _ in range(n))
+
+
+def test_anchors_of_many_texts_at_once():
+    """Grams alike have one hash wherever they stand, and the anchor of a window is its first gram of least hash; no window crosses texts."""
+    told = [odd_words(i, n) for i, n in enumerate([0, 5, 20, 3, 0, 61, 20, 19, 300, 0])]
+    found = repeats.Words([repeats.joined(t.encode()) for t in told], 20, 8)
+    words = [t.encode().split() for t in told]
+    flat = [w for ws in words for w in ws]
+    assert [found.between(i, i + 1) for i in range(len(flat))] == flat
+    grams = {}
+    for i, value in enumerate(found.grams.tolist()):
+        assert grams.setdefault(tuple(flat[i : i + 8]), value) == value
+    assert len(set(grams.values())) == len(grams)
+    starts = [int(found.first[i]) + k for i, ws in enumerate(words) for k in range(len(ws) - 19)]
+    assert found.windows.tolist() == starts
+    assert found.at.tolist() == [min(range(w, w + 13), key=lambda p: (found.grams[p], p)) for w in starts]
+
+
+def test_words_are_hashed_by_batch(monkeypatch):
+    """One call for the texts of a batch, where there was one for each document: most of the time of the operator."""
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": [prose(i, 60) for i in range(299)] + [None]})
+    calls = []
+    whole = repeats.gram_hashes
+    monkeypatch.setattr(repeats, "gram_hashes", lambda hashed, gram: calls.append(len(hashed)) or whole(hashed, gram))
+    once = pa.Table.from_batches(repeats._anchor_counts(iter([rows]), 20, 8)).to_pydict()
+    assert calls == [299 * 60]
+    monkeypatch.setattr(repeats, "CHUNK", 1)
+    each = pa.Table.from_batches(repeats._anchor_counts(iter([rows]), 20, 8))
+    assert len(calls) == 301
+    total = each.group_by("anchor").aggregate([("n", "sum")]).to_pydict()
+    assert dict(zip(total["anchor"], total["n_sum"], strict=True)) == dict(zip(once["anchor"], once["n"], strict=True))
+
+
+def test_texts_side_by_side_keep_their_own_spans(spark):
+    """Texts removed to their ends, beside each other and beside empty ones, with words of all lengths and all kinds of spaces."""
+    text = odd_words(3, 40)
+    rows = [(1, text), (2, text.replace(" ", "\v\f ")), (3, ""), (4, f"\n{text}\r\n"), (5, None), (6, text + " " + prose(8, 30)), (7, prose(9, 5))]
+    got, all_rows = told(repeats.remove_repeats(documents(spark, rows).coalesce(1)))
+    assert got == plain(rows)
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in all_rows}
+    assert [spans[i] for i in (2, 3, 4, 5, 6, 7)] == [[(0, 40)], [], [(0, 40)], [], [(0, 40)], []]

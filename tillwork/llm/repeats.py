@@ -20,14 +20,14 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.fm_index import FMIndex, encode
-from tillwork.llm.shared import documents, ready, texts
+from tillwork.llm.shared import documents, ready
 
 WINDOW = 20
 #: Words of an anchor.
@@ -36,47 +36,123 @@ GRAM = 8
 GROUP_RUNS = 4000
 #: Words of a shard's index, about; a shard ends where an anchor does.
 SHARD_WORDS = 400_000
+#: Bytes of texts whose words are hashed together, about.
+CHUNK = 1 << 20
+#: Bytes of a word beyond which it is hashed by itself.
+LONG = 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """The words between ASCII spaces and line ends."""
-    return text.encode().split() if text else []
-
-
-def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For each window the place of its anchor, and the hash of the gram at each place."""
-    grams = window - gram + 1
-    if len(words) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashed = pd.util.hash_array(np.array(words, object), categorize=False)
-    n = len(words) - gram + 1
+_SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+#: The lowest bytes of a number, by how many.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def joined(text: bytes | None) -> bytes:
+    """The words between ASCII spaces and line ends, joined by a space."""
+    told = text.translate(_SPACES).strip(b" ") if text else b""
+    return b" ".join(told.split()) if b"  " in told else told
+
+
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word of ``data``, behind which eight more bytes stand; long words alone are hashed one by one."""
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    left = ends - starts
+    hashed = (eights[starts] & _MASKS[np.minimum(left, 8)]) * _ODD
+    hashed ^= hashed >> np.uint64(32)
+    more = np.flatnonzero(left > 8)
+    for at in range(8, LONG, 8):
+        told = hashed[more] ^ (eights[starts[more] + at] & _MASKS[np.minimum(left[more] - at, 8)])
+        told *= _ODD
+        hashed[more] = told ^ (told >> np.uint64(32))
+        more = more[left[more] > at + 8]
+    for i in more.tolist():
+        hashed[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return hashed * _ODD
+
+
+def gram_hashes(hashed: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of the words of each gram."""
+    n = max(0, len(hashed) - gram + 1)
     rolled = np.zeros(n, np.uint64)
     for i in range(gram):
-        rolled = rolled * np.uint64(0x100000001B3) + hashed[i : i + n]
+        rolled *= np.uint64(0x100000001B3)
+        rolled += hashed[i : i + n]
     rolled = (rolled ^ (rolled >> np.uint64(31))) * _ODD
-    rolled ^= rolled >> np.uint64(29)
-    at = np.concatenate(
-        [np.lib.stride_tricks.sliding_window_view(rolled[i : i + 65_536 + grams - 1], grams).argmin(axis=1) for i in range(0, n - grams + 1, 65_536)]
-    )
-    return at + np.arange(len(at)), rolled
+    return rolled ^ (rolled >> np.uint64(29))
+
+
+def least_places(values: np.ndarray, size: int) -> np.ndarray:
+    """Of each stretch of ``size`` values the place of the least, the first of equal ones; stretches double until they have that size."""
+    places, width = np.arange(len(values)), 1
+    while width < size:
+        ahead = min(width, size - width)
+        here, there = places[: len(places) - ahead], places[ahead:]
+        places = np.where(values[here] <= values[there], here, there)
+        width += ahead
+    return places
+
+
+class Words:
+    """The words of some texts, numbered through all of them, and the anchors of the windows, none of which crosses two texts."""
+
+    def __init__(self, told: list[bytes], window: int, gram: int):
+        self.data = b"".join([*(t + b" " for t in told if t), bytes(8)])
+        self.ends = np.flatnonzero(np.frombuffer(self.data, np.uint8) == 32)
+        self.starts = np.append(0, self.ends + 1)[:-1]
+        self.sizes = np.array([t.count(b" ") + 1 if t else 0 for t in told], np.int64)
+        #: Number of the first word of each text, and of all words.
+        self.first = np.append(0, np.cumsum(self.sizes))
+        self.counts = np.maximum(self.sizes - window + 1, 0)
+        before = np.cumsum(self.counts) - self.counts
+        #: First word of each window.
+        self.windows = np.arange(self.counts.sum()) + np.repeat(self.first[:-1] - before, self.counts)
+        self.grams = gram_hashes(word_hashes(self.data, self.starts, self.ends), gram)
+        self.at = least_places(self.grams, window - gram + 1)[self.windows]
+        #: First and last window of each run, by their first words, and its anchor.
+        begins = np.flatnonzero(np.append(True, np.diff(self.at) != 0))[: len(self.at)]
+        last = np.append(begins[1:], len(self.at))[: len(begins)] - 1
+        self.begins, self.last, self.anchors = self.windows[begins], self.windows[last], self.at[begins]
+
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        """The text that each word belongs to."""
+        return np.searchsorted(self.first, places, side="right") - 1
+
+    def between(self, start: int, end: int) -> bytes:
+        return self.data[self.starts[start] : self.ends[end - 1]]
+
+    def flags(self, places: pa.Array) -> np.ndarray:
+        """A mark at each of some places, listed by text; places beyond the end belong to another text under the same id."""
+        owner, told = _listed(places)
+        told = told.to_numpy(zero_copy_only=False).astype(np.int64)
+        inside = told < self.sizes[owner]
+        marked = np.zeros(self.first[-1], bool)
+        marked[self.first[owner[inside]] + told[inside]] = True
+        return marked
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of each item of a column of lists, and the items."""
+    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), sizes), column.flatten()
+
+
+def _read(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Rows with their words, some ``CHUNK`` bytes of texts at a time."""
+    for batch in batches:
+        told = [joined(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        start, held = 0, 0
+        for i, text in enumerate(told, 1):
+            held += len(text)
+            if held >= CHUNK or i == len(told):
+                yield batch.slice(start, i - start), Words(told[start:i], window, gram)
+                start, held = i, 0
 
 
-def flags(places: list[int] | None, size: int) -> np.ndarray:
-    """A mark at each of some places; places beyond the end belong to another text under the same id."""
-    marked = np.zeros(size, bool)
-    if places:
-        told = np.array(places, np.int64)
-        marked[told[told < size]] = True
-    return marked
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def runs(at: np.ndarray, single: np.ndarray) -> list[tuple[int, int]]:
-    """First and last window of each run whose anchor is not single."""
-    first = np.flatnonzero(np.append(True, np.diff(at) != 0)) if len(at) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(at)) - 1
-    kept = ~single[at[first]]
-    return list(zip(first[kept].tolist(), last[kept].tolist(), strict=True))
+def _strings(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
 
 
 def _longs(values, signed: bool = True) -> pa.Array:
@@ -86,17 +162,12 @@ def _longs(values, signed: bool = True) -> pa.Array:
 
 def _anchor_counts(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Each anchor of some documents, how often it occurs there, and one place."""
-    for batch in batches:
-        hashes, ids, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-            at, rolled = anchors(words_of(text), window, gram)
-            at = np.unique(at)
-            hashes.append(rolled[at])
-            ids.append(np.full(len(at), doc_id, np.int64))
-            places.append(at)
-        found, where, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+    for batch, words in _read(batches, window, gram):
+        found, where, n = np.unique(words.grams[words.anchors], return_index=True, return_counts=True)
+        places = words.anchors[where]
+        owner = words.text_of(places)
         yield pa.RecordBatch.from_arrays(
-            [_longs(found, False), _longs(n), _longs(np.concatenate(ids)[where]), _longs(np.concatenate(places)[where])],
+            [_longs(found, False), _longs(n), _longs(_ids(batch)[owner]), _longs(places - words.first[owner])],
             ["anchor", "n", "doc_id", "place"],
         )
 
@@ -107,22 +178,25 @@ def _columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 
 def _run_hashes(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Anchor and 128-bit hash of the words of each run that may repeat; within a document the first of equal runs."""
-    for batch in batches:
-        out: list[tuple] = []
-        for doc_id, text, single in _columns(batch, "doc_id", "text", "single"):
-            words = words_of(text)
-            at, rolled = anchors(words, window, gram)
-            seen = set()
-            for a, b in runs(at, flags(single, len(rolled))):
-                digest = xxhash.xxh3_128_digest(b" ".join(words[a : b + window]))
-                if digest not in seen:
-                    seen.add(digest)
-                    out.append((rolled[at[a]], digest, doc_id, a))
-        halves = np.frombuffer(b"".join(d for _, d, _, _ in out), "<i8").reshape(-1, 2)
+    for batch, words in _read(batches, window, gram):
+        several = np.flatnonzero(~words.flags(batch.column("single"))[words.anchors])
+        begins = words.begins[several]
+        owner = words.text_of(begins)
+        spans = zip(words.starts[begins].tolist(), words.ends[words.last[several] + window - 1].tolist(), owner.tolist(), strict=True)
+        data, digests, seen, first = words.data, [], {}, []
+        for i, (a, b, text) in enumerate(spans):
+            digest = xxhash.xxh3_128_digest(data[a:b])
+            if seen.get(digest) != text:
+                seen[digest] = text
+                digests.append(digest)
+                first.append(i)
+        first = np.array(first, np.int64)
+        halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        owner = owner[first]
         yield pa.RecordBatch.from_arrays(
             [
-                _longs(np.array([x for x, *_ in out], np.uint64), False), _longs(halves[:, 0]), _longs(halves[:, 1]),
-                _longs([d for _, _, d, _ in out]), _longs([s for *_, s in out]),
+                _longs(words.grams[words.anchors[several[first]]], False), _longs(halves[:, 0]), _longs(halves[:, 1]),
+                _longs(_ids(batch)[owner]), _longs(begins[first] - words.first[owner]),
             ],
             ["anchor", "h1", "h2", "doc_id", "start"],
         )
@@ -130,25 +204,25 @@ def _run_hashes(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> It
 
 def _first_runs(batches: Iterator[pa.RecordBatch], window: int, gram: int, cut: bool) -> Iterator[pa.RecordBatch]:
     """The words of the first runs, whole or window by window."""
-    for batch in batches:
-        keys, ids, starts, told = [], [], [], []
-        for doc_id, text, first in _columns(batch, "doc_id", "text", "first"):
-            words = words_of(text)
-            at, rolled = anchors(words, window, gram)
-            last = dict(runs(at, flags(None, len(rolled))))
-            for a in first:
-                if a not in last:  # a place of another text under the same id
-                    continue
-                spans = [(w, w + window) for w in range(a, last[a] + 1)] if cut else [(a, last[a] + window)]
-                for x, y in spans:
-                    keys.append(rolled[at[a]])
-                    ids.append(doc_id)
-                    starts.append(x)
-                    told.append(b" ".join(words[x:y]).decode())
+    for batch, words in _read(batches, window, gram):
+        # a place where no run starts is one of another text under the same id
+        first = np.flatnonzero(words.flags(batch.column("first"))[words.begins])
+        begins, sizes = words.begins[first], words.last[first] - words.begins[first] + 1
+        ends = words.last[first] + window
+        keys = words.grams[words.anchors[first]]
+        if cut:
+            before = np.cumsum(sizes) - sizes
+            begins, keys = np.arange(sizes.sum()) + np.repeat(begins - before, sizes), np.repeat(keys, sizes)
+            ends = begins + window
+        owner = words.text_of(begins)
+        spans = zip(words.starts[begins].tolist(), words.ends[ends - 1].tolist(), strict=True)
         yield pa.RecordBatch.from_arrays(
-            [_longs(np.array(keys, np.uint64), False), _longs(ids), _longs(starts), pa.array(told, pa.string())],
+            [
+                _longs(keys, False), _longs(_ids(batch)[owner]), _longs(begins - words.first[owner]),
+                _strings([words.data[a:b] for a, b in spans]),
+            ],
             ["shard", "doc_id", "start", "words"],
-        )
+        )
 
 
 def _searched(rows: list[tuple[int, int, str]], window: int) -> pa.RecordBatch:
@@ -184,36 +258,41 @@ def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for doc_id, text, single, firsts in _columns(batch, "given_id", "text", "single", "firsts"):
-            words = words_of(text)
-            at, rolled = anchors(words, window, gram)
-            own = np.zeros(len(at) + window, bool)
-            if firsts:
-                starts, masks = (np.array([f[c] for f in firsts], np.int64) for c in ("start", "mask"))
-                starts, masks = starts[starts < len(at)], masks[starts < len(at)]
-                for i in range(window - gram + 1):
-                    own[starts[masks >> i & 1 > 0] + i] = True
-            repeated = np.flatnonzero(~flags(single, len(rolled))[at] & ~own[: len(at)])
-            edges = np.zeros(len(words) + 1, np.int64)
-            edges[repeated] += 1
-            edges[repeated + window] -= 1
-            gone = np.cumsum(edges[:-1]) > 0 if len(words) else np.zeros(0, bool)
-            turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            spans = [{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2], strict=True)]
-            kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]) if spans else b" ".join(words)
-            out.append((doc_id, len(words), int(gone.sum()), kept.decode(), spans))
+    for batch, words in _read(batches, window, gram):
+        owner, firsts = _listed(batch.column("firsts"))
+        starts, masks = (firsts.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "mask"))
+        own = np.zeros(words.first[-1], bool)
+        for i in range(window - gram + 1):
+            told = (masks >> i & 1 > 0) & (starts + i < words.counts[owner])
+            own[words.first[owner[told]] + starts[told] + i] = True
+        single = words.flags(batch.column("single"))
+        repeated = words.windows[~single[words.at] & ~own[words.windows]]
+        edges = np.zeros(words.first[-1] + 1, np.int64)
+        edges[repeated] += 1
+        edges[repeated + window] -= 1
+        gone = np.cumsum(edges[:-1]) > 0
+        removed = np.append(0, np.cumsum(gone))[words.first]
+        # spans end with their text
+        inner = words.first[words.first < len(gone)]
+        begins, ends = np.append(True, ~gone[:-1])[: len(gone)], np.append(~gone[1:], True)[: len(gone)]
+        begins[inner], ends[inner - 1] = True, True
+        begins, ends = np.flatnonzero(gone & begins), np.flatnonzero(gone & ends) + 1
+        owner = words.text_of(begins)
+        before = np.searchsorted(owner, np.arange(len(words.sizes) + 1))
+        base = words.first[owner]
+        spans = pa.StructArray.from_arrays([_longs(begins - base), _longs(ends - base)], ["start", "end"])
+        kept = []
+        for i, (first, n) in enumerate(zip(words.first[:-1].tolist(), words.sizes.tolist(), strict=True)):
+            a, b = before[i], before[i + 1]
+            edge = [first, *np.stack([begins[a:b], ends[a:b]], axis=1).ravel().tolist(), first + n] if a < b else [first, first + n]
+            kept.append(b" ".join([words.between(x, y) for x, y in zip(edge[::2], edge[1::2], strict=True) if x < y]))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([d for d, *_ in out], pa.int64()),
-                _longs([n for _, n, *_ in out]),
-                _longs([g for _, _, g, *_ in out]),
-                pa.array([k for *_, k, _ in out], pa.string()),
-                pa.array([s for *_, s in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                batch.column("given_id"), _longs(words.sizes), _longs(np.diff(removed)), _strings(kept),
+                pa.ListArray.from_arrays(pa.array(before, pa.int32()), spans),
             ],
             ["doc_id", "n_words", "n_removed", "kept", "spans"],
-        )
+        )
 
 
 def remove_repeats(
